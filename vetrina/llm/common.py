@@ -73,28 +73,23 @@ def no_spans() -> Column:
     return F.expr("cast(array() as array<struct<s:bigint,e:bigint,m:string>>)")
 
 
-def spans_of(text: Column, pattern: str) -> Column:
-    """Leftmost non-overlapping matches as array<struct<s, e, m>>, in code points, end exclusive.
+def spans_of(text: Column, pattern: str, group: int = 0) -> Column:
+    """Leftmost non-overlapping matches as array<struct<s, e, m>>, in code points, end exclusive; m is the group.
 
     pattern must not match the empty string: the texts between the matches then give the offsets.
     """
-    def placed(between: Column, found: Column) -> Column:
-        step = lambda acc, i: F.struct(
-            (acc["at"] + F.length(F.get(between, i)) + F.length(F.get(found, i))).cast("long").alias("at"),
-            F.array_append(
-                acc["out"],
-                F.struct(
-                    (acc["at"] + F.length(F.get(between, i))).cast("long").alias("s"),
-                    (acc["at"] + F.length(F.get(between, i)) + F.length(F.get(found, i))).cast("long").alias("e"),
-                    F.get(found, i).alias("m"),
-                ),
-            ).alias("out"),
-        )
-        start = F.struct(F.lit(0).cast("long").alias("at"), no_spans().alias("out"))
-        # the first piece of split() is never lost: a match has a positive width
-        return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), start, step, lambda acc: acc["out"])
-
+    def placed(x: Column) -> Column:
+        at = lambda acc, i: acc["at"] + F.length(F.get(x["between"], i))
+        grown = lambda acc, i: at(acc, i) + F.length(F.get(x["found"], i))
+        return F.aggregate(
+            F.sequence(F.lit(0), F.size(x["found"]) - 1),
+            F.struct(F.lit(0).cast("long").alias("at"), no_spans().alias("out")),
+            lambda acc, i: F.struct(
+                grown(acc, i).alias("at"),
+                F.array_append(acc["out"], F.struct(at(acc, i).alias("s"), grown(acc, i).alias("e"), F.get(x["part"], i).alias("m"))).alias("out")),
+            lambda acc: acc["out"])
+
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     return F.when(F.regexp_like(text, F.lit(pattern)), let(
-        F.struct(F.split(text, pattern, -1).alias("b"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("f")),
-        lambda x: placed(x["b"], x["f"]),
-    )).otherwise(no_spans())
+        F.struct(F.split(text, pattern, -1).alias("between"), found.alias("found"), part.alias("part")), placed)).otherwise(no_spans())

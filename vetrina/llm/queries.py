@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vetrina.llm import bpe, quality
+from vetrina.llm import bpe, quality, secrets
 from vetrina.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,10 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -27,8 +31,30 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_bpe": op5_bpe, "op8_quality": op8_quality}
+    return {"op2_secrets": op2_secrets, "op5_bpe": op5_bpe, "op8_quality": op8_quality}
+
+
+def spans_sql(text: str, pattern: str, kind: str, rank: int, keep: str = "true", group: int = 0) -> str:
+    """A DuckDB list of {s, k, e, kind} structs; keep is a condition over m, the match's group."""
+    quoted = pattern.replace("'", "''")
+    between, found, part = f"string_split_regex({text}, '{quoted}')", f"regexp_extract_all({text}, '{quoted}')", f"regexp_extract_all({text}, '{quoted}', {group})"
+    upto = lambda xs, n: f"coalesce(list_sum(list_transform(({xs})[1:{n}], lambda z: length(z))), 0)"
+    return (f"list_transform(list_filter(list_transform(generate_series(1, len({found})), lambda i: {{'s': ({upto(between, 'i')} + {upto(found, 'i - 1')})::BIGINT, 'k': {rank}, "
+            f"'e': ({upto(between, 'i')} + {upto(found, 'i')})::BIGINT, 'kind': '{kind}', 'm': ({part})[i]}}), lambda x: {keep.replace('m', 'x.m', 1) if keep != 'true' else keep}), "
+            "lambda x: {'s': x.s, 'k': x.k, 'e': x.e, 'kind': x.kind})")
+
+
+def joined_sql(spans: str) -> str:
+    return f"coalesce(array_to_string(list_transform({spans}, lambda x: concat_ws(':', x.kind, x.s, x.e)), ','), '')"
+
 
+_RULES = secrets.BASE + secrets.MORE
+OP2_SQL = (
+    "WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), r AS (SELECT doc_id, "
+    + ", ".join(f"{spans_sql('t', r.pattern, r.kind, k, f'length(m) >= {r.least}' if r.least else 'true', r.group)} AS r{k}" for k, r in enumerate(_RULES))
+    + " FROM d), a AS (SELECT *, list_sort(flatten([" + ", ".join(f"r{k}" for k in range(len(_RULES))) + "])) AS every FROM r) SELECT doc_id, len(r0)::BIGINT AS n_assign, len(r1)::BIGINT AS n_access, len(r2)::BIGINT AS n_hex, "
+    + "sha256(" + joined_sql("list_filter(every, lambda x: x.k < 3)") + ") AS base_sha256, " + joined_sql("every") + " AS spans FROM a"
+)
 
 OP8_SQL = r"""
 WITH d AS (
@@ -55,4 +81,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (mas
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_quality": OP8_SQL}
+    return {"op2_secrets": OP2_SQL, "op8_quality": OP8_SQL}
