@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vetrina.llm import bpe, quality, secrets
+from vetrina.llm import bpe, line_dedup, quality, secrets
 from vetrina.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,8 +30,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_secrets": op2_secrets, "op5_bpe": op5_bpe, "op8_quality": op8_quality}
+    return {"op2_secrets": op2_secrets, "op5_bpe": op5_bpe, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup}
 
 
 def spans_sql(text: str, pattern: str, kind: str, rank: int, keep: str = "true", group: int = 0) -> str:
@@ -80,5 +84,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (mas
 """
 
 
+OP9_SQL = r"""
+WITH d AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+x AS (SELECT doc_id, text, unnest(ls) AS line, generate_subscripts(ls, 1) - 1 AS pl FROM d),
+l AS (SELECT *, row_number() OVER (PARTITION BY doc_id, text ORDER BY pl) AS i, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM x WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+a AS (SELECT doc_id, text, list(line ORDER BY i) AS ls, list(pl ORDER BY i) AS pls, list(w ORDER BY i) AS ws FROM l GROUP BY doc_id, text),
+p AS (SELECT *, unnest(range(1, len(ls) + 1)) AS s FROM a),
+f AS (SELECT *, list_first(list_filter(range(1, least(50, len(ws) - s + 1) + 1), lambda n: list_sum(ws[s:s + n - 1]) >= 50)) AS fw,
+  list_first(list_filter(range(1, least(50, s) + 1), lambda n: list_sum(ws[s - n + 1:s]) >= 50)) AS bw FROM p),
+r AS (
+  SELECT doc_id, text, pls, s, fw AS n, array_to_string(ls[s:s + fw - 1], chr(10)) AS run FROM f WHERE fw IS NOT NULL
+  UNION SELECT doc_id, text, pls, s - bw + 1, bw, array_to_string(ls[s - bw + 1:s], chr(10)) FROM f WHERE bw IS NOT NULL),
+k AS (SELECT *, min(doc_id) OVER (PARTITION BY run) AS fd, min({'d': doc_id, 's': s}) OVER (PARTITION BY run) AS fs FROM r),
+c AS (SELECT DISTINCT doc_id, text, unnest(pls[s:s + n - 1]) AS pl FROM k WHERE doc_id <> fs.d OR s <> fs.s),
+g AS (SELECT doc_id, text, list(pl ORDER BY pl) AS removed FROM c GROUP BY doc_id, text),
+o AS (SELECT documents.doc_id, documents.text, string_split(documents.text, chr(10)) AS ls, coalesce(removed, []) AS removed FROM documents LEFT JOIN g ON g.doc_id = documents.doc_id AND g.text = documents.text)
+SELECT doc_id, coalesce(len(ls), 0)::BIGINT AS n_lines, len(removed)::BIGINT AS n_removed, coalesce(array_to_string(removed, ','), '') AS removed,
+  sha256(coalesce(array_to_string(list_transform(list_filter(range(0, len(ls)), lambda i: NOT list_contains(removed, i)), lambda i: ls[i + 1]), chr(10)), '')) AS text_sha256
+FROM o
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": OP2_SQL, "op8_quality": OP8_SQL}
+    return {"op2_secrets": OP2_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL}
