@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vetrina.llm import bpe, line_dedup, quality, secrets
+from vetrina.llm import bpe, decontamination, line_dedup, quality, secrets
 from vetrina.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_secrets": op2_secrets, "op5_bpe": op5_bpe, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup}
+    return {"op2_secrets": op2_secrets, "op5_bpe": op5_bpe, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup}
 
 
 def spans_sql(text: str, pattern: str, kind: str, rank: int, keep: str = "true", group: int = 0) -> str:
@@ -105,5 +109,26 @@ FROM o
 """
 
 
+OP7_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+i AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+iw AS (SELECT DISTINCT item, ws[p:p + 12] AS w FROM (SELECT item, ws, unnest(range(1, greatest(1, len(ws) - 12) + 1)) AS p FROM i WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT len(w) AS n FROM iw),
+dg AS (SELECT r, p, n, ws[p:p + n - 1] AS w FROM (SELECT r, n, ws, unnest(range(1, len(ws) - n + 2)) AS p FROM d, sizes WHERE len(ws) >= n)),
+hit AS (SELECT r, p, dg.n, item FROM dg JOIN iw USING (w)),
+cov AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM hit) GROUP BY r),
+its AS (SELECT r, count(*) AS n_items, array_to_string(list(item ORDER BY item), ',') AS items FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r),
+dw AS (SELECT r, unnest(ws) AS term, generate_subscripts(ws, 1) AS pos FROM d),
+tf AS (SELECT term, count(*) AS n FROM dw GROUP BY term),
+ww AS (SELECT w, unnest(w) AS term, generate_subscripts(w, 1) AS off FROM (SELECT DISTINCT w FROM iw)),
+an AS (SELECT * FROM (SELECT w, term, off, row_number() OVER (PARTITION BY w ORDER BY coalesce(n, 0), off) AS k FROM ww LEFT JOIN tf USING (term)) WHERE k <= 2),
+po AS (SELECT DISTINCT r, w, k, pos - off AS s FROM dw JOIN an USING (term)),
+nr AS (SELECT r, count(DISTINCT a.w) AS n_near FROM po a JOIN po b USING (r, w) WHERE a.k = 1 AND b.k = 2 AND abs(a.s - b.s) BETWEEN 1 AND 3 GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+  coalesce(n_near, 0)::BIGINT AS n_near, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r) LEFT JOIN nr USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": OP2_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op2_secrets": OP2_SQL, "op7_decontamination": OP7_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL}
