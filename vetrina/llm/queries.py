@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vetrina.llm import bpe, decontamination, line_dedup, quality, secrets
+from vetrina.llm import bpe, decontamination, line_dedup, pii, quality, secrets
 from vetrina.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,8 +38,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op2_secrets": op2_secrets, "op5_bpe": op5_bpe, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup}
+    return {"op2_secrets": op2_secrets, "op5_bpe": op5_bpe, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup, "op10_pii": op10_pii}
 
 
 def spans_sql(text: str, pattern: str, kind: str, rank: int, keep: str = "true", group: int = 0) -> str:
