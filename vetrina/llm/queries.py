@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vetrina.llm import bpe, decontamination, line_dedup, pii, quality, secrets
+from vetrina.llm import bpe, decontamination, language_id, line_dedup, pii, quality, secrets, sharding, url_filter
 from vetrina.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,14 +19,29 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.digest(table(spark, sf_dir, "documents"))
+
+
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The outcomes are the labels whose doc_id is a page's id: bad is low quality or toxic."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    return url_filter.judge(pages, pages.join(labels, "page_id").select("url", "bad"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -43,7 +59,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_secrets": op2_secrets, "op5_bpe": op5_bpe, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup, "op10_pii": op10_pii}
+    return {"op1_language": op1_language, "op2_secrets": op2_secrets, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup, "op10_pii": op10_pii}
 
 
 def spans_sql(text: str, pattern: str, kind: str, rank: int, keep: str = "true", group: int = 0) -> str:
@@ -113,6 +129,34 @@ FROM o
 """
 
 
+def _strength_sql(groups: str) -> str:
+    return (f"(SELECT CASE WHEN k IS NULL OR k <= 0 THEN 1000.0 ELSE greatest(1.0, least(1000.0, k)) END FROM (SELECT (p * (1 - p) - s) / nullif(s - p * (1 - p) * m / tn, 0) AS k FROM ("
+            f"SELECT tb / tn AS p, (sq - tb * tb / tn) / tn AS s, m, tn FROM (SELECT sum(n)::DOUBLE AS tn, sum(bad)::DOUBLE AS tb, count(*) AS m, sum(bad * bad / n) AS sq FROM {groups} WHERE n > 0))))")
+
+
+OP6_SQL = rf"""
+WITH p AS (
+  SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+    CASE WHEN contains(coalesce(url, ''), '://') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM pages),
+o AS (SELECT host, (quality = 0 OR toxic = 1) AS bad FROM p JOIN labels ON doc_id = page_id),
+h AS (SELECT host, regexp_extract(host, '([^.]*\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix, count(bad) AS n, coalesce(sum(bad::INT), 0)::BIGINT AS bad
+  FROM (SELECT host, NULL::BOOLEAN AS bad FROM p UNION ALL SELECT * FROM o) GROUP BY host),
+d AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM h GROUP BY domain, suffix),
+s AS (SELECT suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM h GROUP BY suffix),
+k AS (SELECT {_strength_sql('s')} AS ks, {_strength_sql('d')} AS kd, {_strength_sql('h')} AS kh, (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.5) FROM h) AS p0),
+sp AS (SELECT suffix, (ks * p0 + bad) / (ks + n) AS ps FROM s, k),
+dp AS (SELECT domain, (kd * ps + bad) / (kd + n) AS pd FROM d JOIN sp USING (suffix), k),
+hp AS (SELECT host, (kh * pd + bad) / (kh + n) AS m, kh + n AS t FROM h JOIN dp USING (domain), k),
+r AS (SELECT p.*, m - sqrt(m * (1 - m) / (t + 1)) > 0.35 AS blocked,
+  CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+    WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+    WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM p JOIN hp USING (host))
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN blocked THEN 'block' ELSE 'allow' END AS verdict FROM r
+"""
+
 OP7_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 i AS (SELECT item_id::VARCHAR AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
@@ -135,4 +179,4 @@ FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r) LEFT JOIN nr USING (r)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": OP2_SQL, "op7_decontamination": OP7_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op2_secrets": OP2_SQL, "op6_url_filter": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL}
