@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrina.llm import bpe, decontamination, language_id, line_dedup, pii, quality, secrets, sharding, url_filter
+from vetrina.llm import bpe, decontamination, jaccard, language_id, line_dedup, pii, quality, secrets, sharding, url_filter
 from vetrina.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents"))
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -59,7 +63,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_language": op1_language, "op2_secrets": op2_secrets, "op3_sharding": op3_sharding, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup, "op10_pii": op10_pii}
+    return {"op1_language": op1_language, "op2_secrets": op2_secrets, "op3_sharding": op3_sharding, "op4_jaccard": op4_jaccard, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup, "op10_pii": op10_pii}
 
 
 def spans_sql(text: str, pattern: str, kind: str, rank: int, keep: str = "true", group: int = 0) -> str:
@@ -134,6 +138,16 @@ def _strength_sql(groups: str) -> str:
             f"SELECT tb / tn AS p, (sq - tb * tb / tn) / tn AS s, m, tn FROM (SELECT sum(n)::DOUBLE AS tn, sum(bad)::DOUBLE AS tb, count(*) AS m, sum(bad * bad / n) AS sq FROM {groups} WHERE n > 0))))")
 
 
+OP4_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[p:p + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, greatest(1, len(ws) - 4) + 1)) AS p FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i.n >= 80 * (x.n + y.n - i.n)),
+r AS (SELECT doc_id, doc_id AS c FROM d UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id) m ON m.doc_id = d.doc_id
+"""
+
 OP6_SQL = rf"""
 WITH p AS (
   SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
@@ -179,4 +193,4 @@ FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r) LEFT JOIN nr USING (r)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": OP2_SQL, "op6_url_filter": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op2_secrets": OP2_SQL, "op4_jaccard": OP4_SQL, "op6_url_filter": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL}
