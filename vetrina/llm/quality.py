@@ -78,6 +78,15 @@ def _repeat_words(words: Column) -> Column:
 
 def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, measurements): one pass over the texts, no shuffle."""
+    return docs.select(F.col(key), _facts(text).alias("f")).select(key, *_columns())
+
+
+def _columns() -> list[Column]:
+    return [F.col("f.n_words"), F.col("f.word_chars"), F.col("f.n_symbols"), F.col("f.lines.dup").alias("n_dup_lines"), F.col("f.n_repeat_words"),
+            F.col("f.lines.n").alias("n_lines"), F.col("f.n_upper")]
+
+
+def _facts(text: str) -> Column:
     body = F.coalesce(F.col(text), F.lit(""))
 
     def facts(words: Column) -> Column:
@@ -92,14 +101,15 @@ def measure(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
             (F.length(body) - F.length(F.translate(body, UPPER, ""))).cast("long").alias("n_upper"),
         )
 
-    return docs.select(F.col(key), let(words_of(body), facts).alias("f")).select(
-        key, "f.n_words", "f.word_chars", "f.n_symbols", F.col("f.lines.dup").alias("n_dup_lines"), "f.n_repeat_words",
-        F.col("f.lines.n").alias("n_lines"), "f.n_upper")
+    return let(words_of(body), facts)
 
 
 def ledger(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """The measurements and ``mask`` (long): a bit for each failed rule."""
-    m = measure(docs, key, text)
+    return measure(docs, key, text).withColumn("mask", _mask(limits))
+
+
+def _mask(limits: Limits) -> Column:
     c = F.col
     fails = {
         "few_words": c("n_words") < limits.min_words,
@@ -110,7 +120,13 @@ def ledger(docs: DataFrame, limits: Limits = Limits(), key: str = "doc_id", text
         "long_words": c("word_chars") > limits.max_mean_word_chars * c("n_words"),
     }
     mask = sum((F.when(fails[r], BIT[r]).otherwise(0) for r in RULES[1:]), F.when(fails[RULES[0]], BIT[RULES[0]]).otherwise(0))
-    return m.withColumn("mask", mask.cast("long"))
+    return mask.cast("long")
+
+
+def keep(docs: DataFrame, policy: Policy = STANDARD, limits: Limits = Limits(), text: str = "text") -> DataFrame:
+    """The rows of docs that no rule of the policy rejects, with all their columns, whatever their names."""
+    rows = docs.select(F.struct("*").alias("row"), _facts(text).alias("f")).select("row", *_columns()).withColumn("mask", _mask(limits))
+    return rows.where(F.col("mask").bitwiseAND(F.lit(policy.mask).cast("long")) == 0).select("row.*")
 
 
 def apply_policy(rows: DataFrame, policy: Policy = STANDARD) -> DataFrame:
