@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def load() -> None:
-    from vetrina.queries import funnel, lifecycle, misc, operations, profiles, scans, stream  # noqa: F401
+    from vetrina.queries import funnel, lifecycle, misc, operations, profiles, reports, scans, stream  # noqa: F401
