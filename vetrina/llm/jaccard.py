@@ -23,7 +23,8 @@ empty table gives an empty result. Other columns are not read. Texts are read wh
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -43,6 +44,10 @@ GROUP, QUERIES = 64, 256
 LEAST, FREQUENT = 6, 1 << 18
 #: Rows of a frequent token's posting that are dealt to one task.
 POSTING = 20_000
+#: Texts that a task handles at once.
+BLOCK = 256
+#: Share of its prefix that a set has in common with another one for the two to be compared at once.
+TRY_SHARE = 0.3
 #: log2 of the bits of the filter on wanted sets: 1 MB.
 FILTER = 23
 
@@ -55,18 +60,33 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+def shingle_sets(texts: Iterable[str | None], k: int = WORDS) -> Iterator[np.ndarray]:
+    """For each text the sorted distinct fingerprints of the k-word shingles of its lower-cased words; a block of texts at a time."""
+    texts = iter(texts)
+    while block := list(islice(texts, BLOCK)):
+        words = [(t or "").encode("utf-8", "surrogatepass").lower().split() for t in block]
+        sizes = [len(w) for w in words]
+        n = sum(sizes)
+        h = np.fromiter(map(xxhash.xxh3_64_intdigest, chain.from_iterable(words)), dtype=np.uint64, count=n)
+        codes = _window_codes(h, k)
+        at = 0
+        for size in sizes:
+            own = codes[at : at + size - k + 1] if size >= k else _window_codes(h[at : at + size], size) if size else codes[:0]
+            own = np.sort(own)
+            yield own[np.concatenate(([True], own[1:] != own[:-1]))] if size else own
+            at += size
+
+
+def _window_codes(h: np.ndarray, k: int) -> np.ndarray:
+    n = max(0, len(h) - k + 1)
+    total = np.full(n, k, dtype=np.uint64)
+    for i in range(k):
+        total += _mixed(h[i : n + i] * _ODD[i % len(_ODD)] + np.uint64(i))
+    return _mixed(total).view(np.int64)
+
+
 def shingles(text: str | None, k: int = WORDS) -> np.ndarray:
-    """Sorted distinct fingerprints of the k-word shingles of the lower-cased text."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    n = len(words)
-    if not n:
-        return np.zeros(0, dtype=np.int64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), dtype=np.uint64, count=n)
-    width = min(n, k)
-    total = np.full(n - width + 1, width, dtype=np.uint64)
-    for i in range(width):
-        total += _mixed(h[i : n - width + 1 + i] * _ODD[i % len(_ODD)] + np.uint64(i))
-    return np.unique(_mixed(total).view(np.int64))
+    return next(shingle_sets([text], k))
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -82,8 +102,7 @@ def _frequent(docs: DataFrame, key: str, text: str, k: int) -> tuple[np.ndarray,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             sets = {}
-            for t in x[text]:
-                s = shingles(t, k)
+            for s in shingle_sets(x[text], k):
                 if len(s):
                     sets[_set_id(s)] = s
             if sets:
@@ -104,8 +123,7 @@ def _prefixes(docs: DataFrame, key: str, text: str, k: int, percent: int) -> Dat
         done: set[int] = set()
         for x in batches:
             rows = []
-            for t in x[text]:
-                s = shingles(t, k)
+            for s in shingle_sets(x[text], k):
                 if not len(s):
                     rows.append((0, None, None, None))
                     continue
@@ -116,9 +134,13 @@ def _prefixes(docs: DataFrame, key: str, text: str, k: int, percent: int) -> Dat
                 done.add(sid)
                 at = np.minimum(np.searchsorted(tokens, s), max(0, len(tokens) - 1))
                 n = np.where(tokens[at] == s, counts[at], 0) if len(tokens) else np.zeros(len(s), dtype=np.int64)
-                order = np.lexsort((s, n))[: prefix_size(len(s), percent)]
-                parts = n[order] // POSTING + 1
-                rows.append((len(s), sid, s[order], (sid % parts).astype(np.int32)))
+                size = prefix_size(len(s), percent)
+                if n.any():
+                    order = np.lexsort((s, n))[:size]
+                    prefix, parts = s[order], n[order] // POSTING + 1
+                else:
+                    prefix, parts = s[:size], n[:size] + 1
+                rows.append((len(s), sid, prefix, (sid % parts).astype(np.int32)))
             yield pd.DataFrame({key: x[key], "n": [r[0] for r in rows], "sid": pd.array([r[1] for r in rows], dtype="Int64"),
                                 "tokens": [r[2] for r in rows], "salts": [r[3] for r in rows]})
 
@@ -138,8 +160,7 @@ def _sets(docs: DataFrame, text: str, k: int, wanted: DataFrame) -> DataFrame:
         f, done = shared.value, set()
         for x in batches:
             rows = []
-            for t in x[text]:
-                s = shingles(t, k)
+            for s in shingle_sets(x[text], k):
                 if len(s) and (sid := _set_id(s)) not in done:
                     b = sid & ((1 << FILTER) - 1)
                     if int(f[b >> 6]) >> (b & 63) & 1:
@@ -218,8 +239,11 @@ def links(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
 
     # 1. groups
     near = lambda c: (F.col(f"{c}.sid") != F.col("sid")) & (100 * F.col(f"{c}.n") >= percent * F.col("n"))
-    tries = shared.select("sid", F.explode(F.array_distinct(F.array_compact(F.array(F.when(near("first"), F.col("first")), F.when(near("prev"), F.col("prev")))))).alias("up"))
-    best = cut(tries.groupBy("sid", "up").count().groupBy("sid").agg(F.min(F.struct((-F.col("count")).alias("c"), "up")).alias("x")).select("sid", F.col("x.up.sid").alias("up")))
+    tries = shared.select("sid", "n", F.explode(F.array_distinct(F.array_compact(F.array(F.when(near("first"), F.col("first")), F.when(near("prev"), F.col("prev")))))).alias("up"))
+    # links share most of their prefixes: pairs that share little are left to the exact search below
+    prefix = lambda n: n - F.ceil(F.lit(percent) * n / 100 - 1e-9) + 1
+    likely = tries.groupBy("sid", "n", "up").count().where(F.col("count") >= TRY_SHARE * prefix(F.col("n")))
+    best = cut(likely.groupBy("sid").agg(F.min(F.struct((-F.col("count")).alias("c"), "up")).alias("x")).select("sid", F.col("x.up.sid").alias("up")))
     sets = _sets(docs, text, k, best.select("sid").union(best.select("up")))
     sets = scratch.keep(sets, "sets")
     pairs = best.join(sets.withColumnRenamed("tokens", "ta"), "sid").join(sets.select(F.col("sid").alias("up"), F.col("tokens").alias("tb")), "up")
