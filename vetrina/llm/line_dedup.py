@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vetrina.llm.common import BLANKS, BLANK_RUN, let
+from vetrina.llm.common import BLANKS, BLANK_RUN, Scratch, cut, let
 
 MIN_WORDS = 50
 
@@ -79,6 +79,11 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id
     runs = docs.where(F.col(text).isNotNull()).select(F.col(key), F.xxhash64(text).alias("d"), _lines(F.col(text)).alias("lines")).select(
         key, "d", _worded(F.col("lines")).alias("worded")).select(key, "d", F.explode(_runs(F.col("worded"), min_words)).alias("r")).select(
         key, "d", "r.name", "r.s", "r.n")
+    with Scratch(docs.sparkSession) as scratch:
+        return cut(_later(scratch.keep(runs, "runs"), key))
+
+
+def _later(runs: DataFrame, key: str) -> DataFrame:
     place = F.struct(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("key"), F.col("d"), F.col("s"))
     first = runs.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first != last").select("name", "first")
     later = runs.join(first, "name").where(place != F.col("first"))
