@@ -16,7 +16,6 @@ TRANSIENT = ("err_connection_closed", "err_connection_reset", "err_network_chang
 LABELS = (("err_connection_closed", "ERR_CONNECTION_CLOSED (TCP FIN)"), ("err_connection_reset", "ERR_CONNECTION_RESET (TCP RST)"),
           ("err_proxy_connection_failed", "ERR_PROXY_CONNECTION_FAILED (proxy unavailable)"), ("err_connection_timed_out", "ERR_CONNECTION_TIMED_OUT (TCP timeout)"),
           ("timeout", "Timeout error"))
-SPECIAL = set(r".^$*+?()[]{}|\\/-&~# ")
 
 
 def escaped(word: str) -> str:

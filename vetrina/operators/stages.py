@@ -15,8 +15,6 @@ from vetrina.config import Config
 from vetrina.functions.text import stopword_first_match
 from vetrina.operators.price import STATS, price_floor, price_stats, price_verdict
 
-ALIVE = F.col
-
 
 def _after(df: DataFrame, stage: str, passed: Column, reason: Column) -> DataFrame:
     """Adds the verdict of the rows that are alive, and lets the others of them go."""

@@ -1 +1,53 @@
-"""Queries."""
+"""Streaming queries, each driven once over the test table as a file stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vetrina.queries import query
+from vetrina.queries.lifecycle import _RUNS
+from vetrina.sources.sinks import shared_path
+from vetrina.streaming import jobs as J
+
+
+def events(spark: SparkSession, d: str) -> DataFrame:
+    """The events as a stream of files: the table's own if it is a folder, else those of a copy in two parts by time."""
+    table = spark.read.parquet(f"{d}/events.parquet")
+    path = shared_path(spark, "events")
+    middle = table.agg((F.expr("percentile_approx(unix_micros(cast(ts as timestamp)), 0.5)")).alias("m")).first()["m"]
+    early = F.unix_micros(F.col("ts").cast("timestamp")) < F.lit(middle)
+    for part in (table.where(early), table.where(~early)):
+        part.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("stream_velocity", "SELECT user_id::VARCHAR AS item_id, count(*) AS n, min(ts) AS first_at, max(ts) AS last_at, arg_min(value, ts) AS first_value, arg_max(value, ts) AS last_value FROM events GROUP BY user_id")
+def stream_velocity(spark: SparkSession, d: str) -> DataFrame:
+    rows = events(spark, d).selectExpr("cast(user_id as string) as item_id", "ts as parsed_at", "value as price")
+    return J.latest(J.run_once(J.velocity(rows), shared_path(spark, "velocity"), "update"), ["item_id"])
+
+
+@query("stream_consecutive_errors", _RUNS)
+def stream_errors(spark: SparkSession, d: str) -> DataFrame:
+    rows = events(spark, d).selectExpr("user_id as id", "ts", "event_id as seq", "event_type = 'error' as failed")
+    return J.latest(J.run_once(J.consecutive_errors(rows), shared_path(spark, "errors"), "update"), ["id"]).withColumn("run", F.col("run").cast("long"))
+
+
+@query("stream_status_counts", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def stream_status(spark: SparkSession, d: str) -> DataFrame:
+    rows = events(spark, d).select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    out = J.latest(J.run_once(J.status_counts(rows, "ts", "event_type"), shared_path(spark, "status"), "update"), ["start", "event_type"])
+    return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+@query("stream_dedup")
+def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
+    rows = events(spark, d).select("user_id", F.col("ts").cast("timestamp").alias("ts"))
+    return J.run_once(J.first_seen(rows, "user_id", "ts", "365 days"), shared_path(spark, "dedup")).drop("batch")
+
+
+@query("stream_silence_alert")
+def stream_silence(spark: SparkSession, d: str) -> DataFrame:
+    rows = events(spark, d).select(F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"))
+    return J.run_once(J.silence_alert(rows, 6 * 3600), shared_path(spark, "silence")).drop("batch")
