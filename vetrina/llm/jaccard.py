@@ -142,7 +142,7 @@ def _prefixes(docs: DataFrame, key: str, text: str, k: int, percent: int) -> Dat
                     prefix, parts = s[:size], n[:size] + 1
                 rows.append((len(s), sid, prefix, (sid % parts).astype(np.int32)))
             yield pd.DataFrame({key: x[key], "n": [r[0] for r in rows], "sid": pd.array([r[1] for r in rows], dtype="Int64"),
-                                "tokens": [r[2] for r in rows], "salts": [r[3] for r in rows]})
+                                "tokens": pd.Series([r[2] for r in rows], dtype=object), "salts": pd.Series([r[3] for r in rows], dtype=object)})
 
     kind = dict(docs.dtypes)[key]
     return docs.select(key, text).mapInPandas(run, f"`{key}` {kind}, n long, sid long, tokens array<long>, salts array<int>")
@@ -166,7 +166,7 @@ def _sets(docs: DataFrame, text: str, k: int, wanted: DataFrame) -> DataFrame:
                     if int(f[b >> 6]) >> (b & 63) & 1:
                         done.add(sid)
                         rows.append((sid, s))
-            yield pd.DataFrame({"sid": np.array([r[0] for r in rows], dtype=np.int64), "tokens": [r[1] for r in rows]})
+            yield pd.DataFrame({"sid": np.array([r[0] for r in rows], dtype=np.int64), "tokens": pd.Series([r[1] for r in rows], dtype=object)})
 
     return docs.select(text).mapInPandas(run, "sid long, tokens array<long>").dropDuplicates(["sid"])
 

@@ -134,7 +134,7 @@ FROM o
 
 
 def _strength_sql(groups: str) -> str:
-    return (f"(SELECT CASE WHEN k IS NULL OR k <= 0 THEN 1000.0 ELSE greatest(1.0, least(1000.0, k)) END FROM (SELECT (p * (1 - p) - s) / nullif(s - p * (1 - p) * m / tn, 0) AS k FROM ("
+    return (f"(SELECT CASE WHEN b > 0 THEN greatest(1.0, least(1000.0, (p * (1 - p) - s) / b)) ELSE 1000.0 END FROM (SELECT p, s, s - p * (1 - p) * m / tn AS b FROM ("
             f"SELECT tb / tn AS p, (sq - tb * tb / tn) / tn AS s, m, tn FROM (SELECT sum(n)::DOUBLE AS tn, sum(bad)::DOUBLE AS tb, count(*) AS m, sum(bad * bad / n) AS sq FROM {groups} WHERE n > 0))))")
 
 
@@ -157,7 +157,7 @@ h AS (SELECT host, regexp_extract(host, '([^.]*\.)?[^.]*$') AS domain, regexp_ex
   FROM (SELECT host, NULL::BOOLEAN AS bad FROM p UNION ALL SELECT * FROM o) GROUP BY host),
 d AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM h GROUP BY domain, suffix),
 s AS (SELECT suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM h GROUP BY suffix),
-k AS (SELECT {_strength_sql('s')} AS ks, {_strength_sql('d')} AS kd, {_strength_sql('h')} AS kh, (SELECT coalesce(sum(bad) / nullif(sum(n), 0), 0.5) FROM h) AS p0),
+k AS (SELECT {_strength_sql('s')} AS ks, {_strength_sql('d')} AS kd, {_strength_sql('h')} AS kh, (SELECT sum(bad) / nullif(sum(n), 0) FROM h) AS p0),
 sp AS (SELECT suffix, (ks * p0 + bad) / (ks + n) AS ps FROM s, k),
 dp AS (SELECT domain, (kd * ps + bad) / (kd + n) AS pd FROM d JOIN sp USING (suffix), k),
 hp AS (SELECT host, (kh * pd + bad) / (kh + n) AS m, kh + n AS t FROM h JOIN dp USING (domain), k),

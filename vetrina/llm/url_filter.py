@@ -7,7 +7,7 @@ groups. A host is blocked if a lower bound of its posterior bad rate exceeds a l
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is
 judged as host ''. A host without labels gets its domain's rate. Null outcomes count as no label.
-Repeated rows are judged one by one. Without labels the prior is even and nothing is blocked. An
+Repeated rows are judged one by one. Without any label there is no reputation and nothing is blocked. An
 empty table gives an empty result. Other columns are not read.
 
 Hosts and domains may be hot: counts are aggregated before any shuffle and joined back salted.
@@ -66,11 +66,12 @@ def _strength(groups: DataFrame) -> DataFrame:
     """One row (k): how many labels the prior of a level weighs, by moments over its groups' n and bad."""
     low, high = STRENGTH_RANGE
     some = groups.where("n > 0")
-    total = some.agg(F.sum("n").alias("tn"), F.sum("bad").alias("tb"), F.count("*").alias("m"), F.sum(1 / F.col("n")).alias("inv"), F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("sq"))
+    total = some.agg(F.sum("n").alias("tn"), F.sum("bad").alias("tb"), F.count("*").alias("m"), F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("sq"))
     p, m = F.col("tb") / F.col("tn"), F.col("m")
     spread = (F.col("sq") - F.col("tb") * p) / F.col("tn")
-    k = F.try_divide(p * (1 - p) - spread, spread - p * (1 - p) * m / F.col("tn"))
-    return total.select(F.when(k.isNull() | (k <= 0), high).otherwise(F.greatest(F.lit(low), F.least(F.lit(high), k))).alias("k"))
+    beyond = spread - p * (1 - p) * m / F.col("tn")  # more spread than chance gives
+    k = F.when(beyond > 0, F.greatest(F.lit(low), F.least(F.lit(high), (p * (1 - p) - spread) / beyond)))
+    return total.select(F.coalesce(k, F.lit(high)).alias("k"))
 
 
 def reputations(pages: DataFrame, outcomes: DataFrame, url: str = "url") -> DataFrame:
@@ -82,7 +83,7 @@ def reputations(pages: DataFrame, outcomes: DataFrame, url: str = "url") -> Data
     totals = lambda key: hosts.groupBy(key).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = totals("suffix")
-    root = hosts.agg(F.coalesce(F.try_divide(F.sum("bad"), F.sum("n")), F.lit(0.5)).alias("p0"))
+    root = hosts.agg(F.try_divide(F.sum("bad"), F.sum("n")).alias("p0"))
     ks, kd, kh = (_strength(g).withColumnRenamed("k", n) for g, n in ((suffixes, "ks"), (domains, "kd"), (hosts, "kh")))
     # one row each
     suffixes = suffixes.join(F.broadcast(root)).join(F.broadcast(ks)).select("suffix", ((F.col("ks") * F.col("p0") + F.col("bad")) / (F.col("ks") + F.col("n"))).alias("ps"))
