@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from vetrina.llm import bpe, decontamination, jaccard, language_id, line_dedup, pii, quality, secrets, sharding, url_filter
+from vetrina.llm.common import Scratch
 from vetrina.llm.queries import vocabulary
 
 SF = "/root/testdata/sf0.001"
@@ -152,7 +153,7 @@ def test_jaccard(spark):
 
 def test_jaccard_small_parts_and_empty(spark, monkeypatch):
     texts = near_copies()
-    for k, v in (("GROUP", 2), ("QUERIES", 3), ("LEAST", 2), ("POSTING", 4), ("TRY_SHARE", 0.9)):
+    for k, v in (("GROUP", 2), ("QUERIES", 3), ("LEAST_SUM", 2), ("POSTING", 4), ("TRY_SHARE", 0.9), ("TRIES", 1), ("TURNS", 2)):
         monkeypatch.setattr(jaccard, k, v)
     rows = jaccard.classes(docs(spark, texts).repartition(3)).orderBy("doc_id").collect()
     assert [(r.n_shingles, r.component_id) for r in rows] == brute_components(texts)
@@ -163,7 +164,9 @@ def test_jaccard_small_parts_and_empty(spark, monkeypatch):
 
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90)], "a long, b long")
-    assert {r["id"]: r["root"] for r in jaccard.components(edges).collect()} == {**{i: 0 for i in range(41)}, 90: 90, 100: 90}
+    with Scratch(spark) as scratch:
+        found = {r["id"]: r["root"] for r in jaccard.components(edges, scratch).collect()}
+    assert found == {**{i: 0 for i in range(41)}, 90: 90, 100: 90}
 
 
 # BPE

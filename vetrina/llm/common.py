@@ -54,6 +54,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
+        self.steps = 0
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/vetrina-{uuid.uuid4().hex}"
 
     def __enter__(self) -> Scratch:
@@ -64,6 +65,12 @@ class Scratch:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def step(self, df: DataFrame) -> DataFrame:
+        """As keep, for the many small tables of a loop: the sizes that Spark expects of a table's readers are those of its files,
+        while those that a checkpoint hands on multiply with every join of the loop."""
+        self.steps += 1
+        return self.keep(df, f"step{self.steps}")
+
     def __exit__(self, *_: object) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -40,14 +40,15 @@ WORDS = 5
 PERCENT = 80
 #: Sets in a part of a group; queries that open one part in one task.
 GROUP, QUERIES = 64, 256
-#: Frequent tokens: least sets in a block of documents, and how many are told apart (16 bytes each are broadcast).
-LEAST, FREQUENT = 6, 1 << 18
+#: Frequent tokens: least sets in a block of documents, least sum over the blocks, and how many are told apart (16 bytes each are broadcast).
+LEAST, LEAST_SUM, FREQUENT = 2, 8, 1 << 18
 #: Rows of a frequent token's posting that are dealt to one task.
 POSTING = 20_000
 #: Texts that a task handles at once.
 BLOCK = 256
-#: Share of its prefix that a set has in common with another one for the two to be compared at once.
-TRY_SHARE = 0.3
+#: Share of its prefix that a set has in common with another one for the two to be compared at once, and with how many at most;
+#: this only forms the groups, and what it leaves out is found by the matrix.
+TRY_SHARE, TRIES, TURNS = 0.3, 4, 4
 #: log2 of the bits of the filter on wanted sets: 1 MB.
 FILTER = 23
 
@@ -109,7 +110,7 @@ def _frequent(docs: DataFrame, key: str, text: str, k: int) -> tuple[np.ndarray,
                 tokens, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
                 yield pd.DataFrame({"token": tokens[n >= LEAST], "n": n[n >= LEAST]})
 
-    counts = docs.select(text).mapInPandas(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = docs.select(text).mapInPandas(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_SUM)
     top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas().sort_values("token")  # at most FREQUENT rows
     return top["token"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
 
@@ -176,29 +177,35 @@ def _linked(a: Column, b: Column, percent: int) -> Column:
     return 100 * both >= percent * (F.size(a) + F.size(b) - both)
 
 
-def _roots(edges: DataFrame) -> DataFrame:
-    """(sid, root) for each sid of (sid, up), where up comes before sid in one order: pointers are doubled until they rest."""
-    at = cut(edges.select("sid", F.col("up").alias("root")))
-    while True:
-        nxt = cut(at.alias("a").join(at.select(F.col("sid").alias("s2"), F.col("root").alias("r2")).alias("b"), F.col("a.root") == F.col("s2"), "left").select(
-            "sid", F.coalesce("r2", "root").alias("root"), F.col("r2").isNotNull().alias("moved")))
-        if nxt.where("moved").isEmpty():
-            return nxt.select("sid", "root")
-        at = nxt.select("sid", "root")
+def _likely(rows: DataFrame, turn: int, percent: int) -> DataFrame:
+    """(sid, up, g, h): for each set up to TRIES sets of other groups that share much of its prefix with it.
+
+    rows: (token, salt, sid, n, g). In each posting a set looks at the first one and at three before it, in an order of the turn.
+    Links share most of their prefixes; pairs that share little are left to the exact search.
+    """
+    order = ("n", "sid") if not turn else (F.xxhash64("sid", F.lit(turn)), "sid")
+    w = Window.partitionBy("token", "salt").orderBy(*order)
+    placed = rows.withColumn("me", F.struct("n", "sid", "g")).select("sid", "n", "g", F.first("me").over(w).alias("p0"), *(F.lag("me", i).over(w).alias(f"p{i}") for i in (1, 2, 3)))
+    tries = placed.select("sid", "n", "g", F.explode(F.array_distinct(F.array_compact(F.array("p0", "p1", "p2", "p3")))).alias("up")).where(
+        (F.col("up.g") != F.col("g")) & (100 * F.least("n", "up.n") >= percent * F.greatest("n", "up.n")))
+    prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) + 1
+    likely = tries.groupBy("sid", "n", "g", "up").count().where(F.col("count") >= TRY_SHARE * prefix)
+    best = Window.partitionBy("sid").orderBy(F.desc("count"), "up")  # of one set's prefix
+    return likely.withColumn("i", F.row_number().over(best)).where(F.col("i") <= TRIES).select("sid", F.col("up.sid").alias("up"), "g", F.col("up.g").alias("h"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, root) for the ends of undirected edges (a, b): root is the least id reached. Labels and pointers, a checkpoint a round."""
-    both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    at = cut(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).withColumnRenamed("a", "id"))
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, root) for the ends of undirected edges (a, b): root is the least id reached. Labels and pointers, two tables a round."""
+    both = scratch.step(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    at = scratch.step(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).withColumnRenamed("a", "id"))
     while True:
         labels = at.select(F.col("id").alias("b"), F.col("root").alias("r"))
         near = both.join(labels, "b").groupBy("a").agg(F.min("r").alias("r")).withColumnRenamed("a", "id")
-        low = cut(at.join(near, "id").select("id", F.least("root", "r").alias("root"), (F.col("r") < F.col("root")).alias("moved")))
+        low = scratch.step(at.join(near, "id").select("id", F.least("root", "r").alias("root"), (F.col("r") < F.col("root")).alias("moved")))
         if low.where("moved").isEmpty():
             return low.select("id", "root")
         up = low.select(F.col("id").alias("root"), F.col("root").alias("r2"))
-        at = cut(low.join(up, "root", "left").select("id", F.least("root", F.coalesce("r2", "root")).alias("root")))
+        at = scratch.step(low.join(up, "root", "left").select("id", F.least("root", F.coalesce("r2", "root")).alias("root")))
 
 
 def _need(small: Column, large: Column, percent: int) -> Column:
@@ -232,22 +239,25 @@ def links(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     rows = scratch.keep(_prefixes(docs, key, text, k, percent), "prefixes")
     posting = rows.where("tokens is not null").select("sid", "n", F.explode(F.arrays_zip("tokens", "salts")).alias("t")).select(
         F.col("t.tokens").alias("token"), F.col("t.salts").alias("salt"), "sid", "n")
-    by_token = Window.partitionBy("token", "salt").orderBy("n", "sid")
-    seen = posting.select("token", "sid", "n", F.struct("n", "sid").alias("me"), F.first(F.struct("n", "sid")).over(by_token).alias("first"),
-                          F.lag(F.struct("n", "sid")).over(by_token).alias("prev"), F.lead("sid").over(by_token).alias("next"))
-    shared = scratch.keep(seen.where((F.col("prev.sid") != F.col("sid")) | (F.col("next") != F.col("sid"))), "shared")
+    by_token = Window.partitionBy("token", "salt").orderBy("sid")
+    seen = posting.select("token", "salt", "sid", "n", F.lag("sid").over(by_token).alias("prev"), F.lead("sid").over(by_token).alias("next"))
+    shared = scratch.keep(seen.where((F.col("prev") != F.col("sid")) | (F.col("next") != F.col("sid"))).select("token", "salt", "sid", "n"), "shared")
 
     # 1. groups
-    near = lambda c: (F.col(f"{c}.sid") != F.col("sid")) & (100 * F.col(f"{c}.n") >= percent * F.col("n"))
-    tries = shared.select("sid", "n", F.explode(F.array_distinct(F.array_compact(F.array(F.when(near("first"), F.col("first")), F.when(near("prev"), F.col("prev")))))).alias("up"))
-    # links share most of their prefixes: pairs that share little are left to the exact search below
-    prefix = lambda n: n - F.ceil(F.lit(percent) * n / 100 - 1e-9) + 1
-    likely = tries.groupBy("sid", "n", "up").count().where(F.col("count") >= TRY_SHARE * prefix(F.col("n")))
-    best = cut(likely.groupBy("sid").agg(F.min(F.struct((-F.col("count")).alias("c"), "up")).alias("x")).select("sid", F.col("x.up.sid").alias("up")))
-    sets = _sets(docs, text, k, best.select("sid").union(best.select("up")))
-    sets = scratch.keep(sets, "sets")
-    pairs = best.join(sets.withColumnRenamed("tokens", "ta"), "sid").join(sets.select(F.col("sid").alias("up"), F.col("tokens").alias("tb")), "up")
-    roots = _roots(pairs.where(_linked(F.col("ta"), F.col("tb"), percent)).select("sid", "up"))
+    tried = scratch.step(_likely(shared.withColumn("g", F.col("sid")), 0, percent))
+    sets = scratch.keep(_sets(docs, text, k, tried.select("sid").union(tried.select("up"))), "sets")
+    roots = sets.select("sid", F.col("sid").alias("root"))
+    for turn in range(1, TURNS + 1):
+        pairs = tried.join(sets.withColumnRenamed("tokens", "ta"), "sid").join(sets.select(F.col("sid").alias("up"), F.col("tokens").alias("tb")), "up")
+        edges = scratch.step(pairs.where(_linked(F.col("ta"), F.col("tb"), percent)).select(F.col("g").alias("a"), F.col("h").alias("b")).distinct())
+        if not edges.isEmpty():
+            merged = components(edges, scratch).withColumnRenamed("root", "top")
+            roots = scratch.step(roots.join(merged, F.col("root") == F.col("id"), "left").select("sid", F.coalesce("top", "root").alias("root")))
+        if turn < TURNS:
+            known = salted_join(shared, roots, "sid", F.xxhash64("token")).where("root is not null").withColumnRenamed("root", "g")
+            tried = scratch.step(_likely(known, turn, percent))
+            if tried.isEmpty():
+                break
 
     # 2. the matrix, of sets that share a token outside their own group
     placed = salted_join(shared.select("token", "sid", "n").distinct(), roots, "sid", F.xxhash64("token")).select("token", "sid", "n", F.coalesce("root", "sid").alias("g"))
@@ -265,7 +275,7 @@ def links(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
         least = F.least(
             F.when(F.col("low") <= F.col("n"), _need(F.greatest(F.col("low"), F.ceil(F.col("n") * n - 1e-9)), F.col("n"), percent)),
             F.when(F.col("high") >= F.col("n"), _need(F.col("n"), F.least(F.col("high"), F.floor(F.col("n") / n + 1e-9)), percent)))
-        ready = cut(hits.where(F.col("c") >= least).select("sid", "part"))
+        ready = scratch.step(hits.where(F.col("c") >= least).select("sid", "part"))
         # 3. opening
         if not ready.isEmpty():
             inside = dealt.select("part", "sid").distinct()
@@ -276,12 +286,12 @@ def links(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
             fresh = lambda df: df.select(*(F.col(c).alias(c) for c in ("part", "deal", "sid", "tokens")))  # noqa: E731  both sides read one table
             extra = _opened(fresh(asked), fresh(members), percent)
             named = lambda c: roots.select(F.col("sid").alias(c), F.col("root").alias(f"r{c}"))
-            over = cut(extra.join(named("a"), "a", "left").join(named("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct())
+            over = scratch.step(extra.join(named("a"), "a", "left").join(named("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct())
             if not over.isEmpty():
-                merged = components(over)
+                merged = components(over, scratch)
                 up = roots.union(roots.select(F.col("root").alias("sid"), "root")).union(over.select(F.col("a").alias("sid"), F.col("a").alias("root"))).union(
                     over.select(F.col("b").alias("sid"), F.col("b").alias("root"))).distinct()
-                roots = cut(up.join(merged.withColumnRenamed("root", "top"), F.col("root") == F.col("id"), "left").select("sid", F.coalesce("top", "root").alias("root")))
+                roots = scratch.step(up.join(merged.withColumnRenamed("root", "top"), F.col("root") == F.col("id"), "left").select("sid", F.coalesce("top", "root").alias("root")))
     return rows.select(key, "n", "sid"), roots
 
 
