@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vetrina.llm.common import cut
+
 #: (host, path, verdict)
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 SALTS = 16
@@ -62,8 +64,8 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, salt: Column) -> Da
     return left.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int")).join(spread, [key, "_salt"], "left").drop("_salt")
 
 
-def _strength(groups: DataFrame) -> DataFrame:
-    """One row (k): how many labels the prior of a level weighs, by moments over its groups' n and bad."""
+def _strength(groups: DataFrame) -> Column:
+    """A literal: how many labels the prior of a level weighs, by moments over its groups' n and bad."""
     low, high = STRENGTH_RANGE
     some = groups.where("n > 0")
     total = some.agg(F.sum("n").alias("tn"), F.sum("bad").alias("tb"), F.count("*").alias("m"), F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("sq"))
@@ -71,28 +73,24 @@ def _strength(groups: DataFrame) -> DataFrame:
     spread = (F.col("sq") - F.col("tb") * p) / F.col("tn")
     beyond = spread - p * (1 - p) * m / F.col("tn")  # more spread than chance gives
     k = F.when(beyond > 0, F.greatest(F.lit(low), F.least(F.lit(high), (p * (1 - p) - spread) / beyond)))
-    return total.select(F.coalesce(k, F.lit(high)).alias("k"))
+    return F.lit(total.select(F.coalesce(k, F.lit(high))).first()[0])
 
 
 def reputations(pages: DataFrame, outcomes: DataFrame, url: str = "url") -> DataFrame:
     """(host, n, bad, rate, bound) for every host of pages; outcomes: (url, bad boolean)."""
     seen = pages.select(host_of(F.col(url)).alias("host"), F.lit(None).cast("boolean").alias("bad")).unionByName(
         outcomes.select(host_of(F.col("url")).alias("host"), "bad"))
-    hosts = seen.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad")).select(
-        "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad")
-    totals = lambda key: hosts.groupBy(key).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = totals("suffix")
-    root = hosts.agg(F.try_divide(F.sum("bad"), F.sum("n")).alias("p0"))
-    ks, kd, kh = (_strength(g).withColumnRenamed("k", n) for g, n in ((suffixes, "ks"), (domains, "kd"), (hosts, "kh")))
-    # one row each
-    suffixes = suffixes.join(F.broadcast(root)).join(F.broadcast(ks)).select("suffix", ((F.col("ks") * F.col("p0") + F.col("bad")) / (F.col("ks") + F.col("n"))).alias("ps"))
-    domains = salted_join(domains, suffixes, "suffix", F.xxhash64("domain")).join(F.broadcast(kd)).select(
-        "domain", ((F.col("kd") * F.col("ps") + F.col("bad")) / (F.col("kd") + F.col("n"))).alias("pd"))
-    a = F.col("kh") * F.col("pd") + F.col("bad")
-    t = F.col("kh") + F.col("n")
-    mean = a / t
-    return salted_join(hosts, domains, "domain", F.xxhash64("host")).join(F.broadcast(kh)).select(
+    hosts = cut(seen.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum(F.col("bad").cast("long")), F.lit(0)).alias("bad")).select(
+        "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad"))
+    domains = cut(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    suffixes = cut(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    p0 = F.lit(suffixes.agg(F.try_divide(F.sum("bad"), F.sum("n"))).first()[0]).cast("double")
+    ks, kd, kh = map(_strength, (suffixes, domains, hosts))
+    suffixes = suffixes.select("suffix", ((ks * p0 + F.col("bad")) / (ks + F.col("n"))).alias("ps"))
+    domains = salted_join(domains, suffixes, "suffix", F.xxhash64("domain")).select("domain", ((kd * F.col("ps") + F.col("bad")) / (kd + F.col("n"))).alias("pd"))
+    t = kh + F.col("n")
+    mean = (kh * F.col("pd") + F.col("bad")) / t
+    return salted_join(hosts, domains, "domain", F.xxhash64("host")).select(
         "host", "n", "bad", mean.alias("rate"), (mean - Z * F.sqrt(mean * (1 - mean) / (t + 1))).alias("bound"))
 
 
