@@ -31,7 +31,7 @@ BIT = {name: 1 << i for i, name in enumerate(RULES)}
 class Limits:
     min_words: int = 10
     max_repeat_pct: int = 20
-    max_symbols_pct: int = 50
+    max_symbols_pct: int = 30
     max_duplicate_lines_pct: int = 50
     max_upper_pct: int = 60
     max_mean_word_chars: int = 40

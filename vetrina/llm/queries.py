@@ -105,7 +105,7 @@ m AS (
     coalesce(cov.n, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper
   FROM d LEFT JOIN cov USING (r) LEFT JOIN ln USING (r)),
 k AS (
-  SELECT *, ((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (100 * n_symbols > 50 * n_words)::INT
+  SELECT *, ((n_words < 10)::INT + 2 * (100 * n_repeat_words > 20 * n_words)::INT + 4 * (100 * n_symbols > 30 * n_words)::INT
     + 8 * (100 * n_dup_lines > 50 * n_lines)::INT + 16 * (100 * n_upper > 60 * word_chars)::INT + 32 * (word_chars > 40 * n_words)::INT)::BIGINT AS mask
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (mask & 3) <> 0 AS base_failed, mask = 0 AS kept, mask FROM k
