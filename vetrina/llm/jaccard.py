@@ -39,7 +39,7 @@ from vetrina.llm.url_filter import salted_join
 WORDS = 5
 PERCENT = 80
 #: Sets in a part of a group; queries that open one part in one task.
-GROUP, QUERIES = 64, 256
+GROUP, QUERIES = 256, 256
 #: Frequent tokens: least sets in a block of documents, least sum over the blocks, and how many are told apart (16 bytes each are broadcast).
 LEAST, LEAST_SUM, FREQUENT = 2, 8, 1 << 18
 #: Rows of a frequent token's posting that are dealt to one task.
@@ -48,7 +48,7 @@ POSTING = 20_000
 BLOCK = 256
 #: Share of its prefix that a set has in common with another one for the two to be compared at once, and with how many at most;
 #: this only forms the groups, and what it leaves out is found by the matrix.
-TRY_SHARE, TRIES, TURNS = 0.3, 4, 4
+TRY_SHARE, TRIES, TURNS = 0.3, 3, 2
 #: log2 of the bits of the filter on wanted sets: 1 MB.
 FILTER = 23
 
