@@ -36,9 +36,9 @@ def flags(spark: SparkSession, d: str) -> DataFrame:
     return V.quality_flags(V.view_velocity(X.measurements(spark, d), keep_all=True))
 
 
-@query("velocity_stats", _W + "SELECT count(*) AS n, min(views_per_hour) AS low, max(views_per_hour) AS high, avg(views_per_hour) AS mean, count(*) FILTER (views_per_hour IS NULL) AS n_null FROM velo WHERE first_views IS NOT NULL AND last_views IS NOT NULL")
+@query("velocity_stats", _W + "SELECT count(*) AS n, min(views_per_hour) AS low, max(views_per_hour) AS high, round(avg(views_per_hour), 6) AS mean, count(*) FILTER (views_per_hour IS NULL) AS n_null FROM velo WHERE first_views IS NOT NULL AND last_views IS NOT NULL")
 def velocity_stats(spark: SparkSession, d: str) -> DataFrame:
-    return V.velocity_stats(velocity(spark, d))
+    return V.velocity_stats(velocity(spark, d)).withColumn("mean", F.round("mean", 6))
 
 
 @query("measure_multiplicity", "SELECT count(*) FILTER (n >= 2) AS n_many, count(*) FILTER (n = 1) AS n_one FROM (SELECT doc_id % 400 + (doc_id // 400) * (doc_id % 3) AS item_id, count(*) AS n FROM documents GROUP BY 1)")
@@ -58,7 +58,7 @@ def reparse(spark: SparkSession, d: str) -> DataFrame:
     return V.reparse_candidates(m, items, keys, active, X.AS_OF, 24)
 
 
-_PR = "prof AS (SELECT key, count(*) AS listings, min(price) AS min_price, median(price) AS median_price, avg(price) AS avg_price, max(price) AS max_price, count(*) FILTER (price <= 12000) AS n_low, count(*) FILTER (price <= 20000) AS n_high FROM listings GROUP BY key HAVING min(price) < 5000)"
+_PR = "prof AS (SELECT key, count(*) AS listings, min(price) AS min_price, median(price) AS median_price, round(avg(price), 6) AS avg_price, max(price) AS max_price, count(*) FILTER (price <= 12000) AS n_low, count(*) FILTER (price <= 20000) AS n_high FROM listings GROUP BY key HAVING min(price) < 5000)"
 
 
 def profile(spark: SparkSession, d: str) -> DataFrame:
@@ -67,7 +67,7 @@ def profile(spark: SparkSession, d: str) -> DataFrame:
 
 @query("price_profile", X.sql(X.LISTINGS, _PR) + "SELECT * FROM prof")
 def price_profile(spark: SparkSession, d: str) -> DataFrame:
-    return profile(spark, d).orderBy("min_price")
+    return profile(spark, d).withColumn("avg_price", F.round("avg_price", 6)).orderBy("min_price")
 
 
 @query("price_big_gap", X.sql(X.LISTINGS, _PR) + "SELECT key, min_price, median_price, median_price / min_price AS ratio FROM prof ORDER BY ratio DESC, key LIMIT 10")
@@ -127,9 +127,10 @@ def payload(spark: SparkSession, d: str) -> DataFrame:
 
 @query("token_cost", """WITH r AS (SELECT conv_id::VARCHAR AS run, sum(CASE WHEN role = 'user' THEN length(text) ELSE 0 END)::DOUBLE AS tokens_in, sum(CASE WHEN role <> 'user' THEN length(text) ELSE 0 END)::DOUBLE AS tokens_out, count(*) AS images FROM conversations GROUP BY conv_id),
   c AS (SELECT *, (tokens_in * 0.6 + tokens_out * 3.0) / 1e6 AS cost FROM r)
-  SELECT run, tokens_in, tokens_out, cost, cost / images AS per_image, NULL::DOUBLE AS projected FROM c UNION ALL SELECT NULL, avg(tokens_in), avg(tokens_out), avg(cost), sum(cost) / sum(images), avg(cost) * 1000 * 0.8 FROM c""")
+  SELECT run, round(tokens_in, 6) AS tokens_in, round(tokens_out, 6) AS tokens_out, round(cost, 9) AS cost, round(per_image, 9) AS per_image, round(projected, 6) AS projected FROM (
+  SELECT run, tokens_in, tokens_out, cost, cost / images AS per_image, NULL::DOUBLE AS projected FROM c UNION ALL SELECT NULL, avg(tokens_in), avg(tokens_out), avg(cost), sum(cost) / sum(images), avg(cost) * 1000 * 0.8 FROM c)""")
 def token_cost(spark: SparkSession, d: str) -> DataFrame:
     runs = t(spark, d, "conversations").groupBy(F.col("conv_id").cast("string").alias("run")).agg(
         F.sum(F.when(F.col("role") == "user", F.length("text")).otherwise(0)).cast("double").alias("tokens_in"),
         F.sum(F.when(F.col("role") != "user", F.length("text")).otherwise(0)).cast("double").alias("tokens_out"), F.count("*").alias("images"))
-    return P.token_cost(runs)
+    return P.token_cost(runs).withColumns({c: F.round(c, n) for c, n in (("tokens_in", 6), ("tokens_out", 6), ("cost", 9), ("per_image", 9), ("projected", 6))})  # sums depend on their order
