@@ -317,6 +317,25 @@ def test_pii_redaction(spark, table):
     assert out == {0: "mail <EMAIL> now", 1: "none", 2: None}
 
 
+def test_pii_adds_what_the_base_rules_leave_out(spark):
+    r = random.Random(8)
+    number = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    texts = []
+    for i in range(160):
+        card = number(16)
+        texts += [f"{words(3, i)} +1 ({number(3)}) 555-{number(4)} {words(2, i)}", f"{words(2, i)} a{number(2)}.b@mail{i % 9}.example.com {words(2, i)}",
+                  f"{words(2, i)} {card} {words(2, i)}", f"x = {number(3)}af{number(8)}bc", next(f"{words(2, i)} {card[:-1]}{c} {words(2, i)}" for c in "0123456789" if luhn(card[:-1] + c))]
+    planted = {"so (499) 555-6503 is": "(499) 555-6503", "call 499-555-6503 now": "499-555-6503", "to jane.doe (at) example (dot) org please": "jane.doe (at) example (dot) org",
+               "to +1 (603) 555-8791 499-555-6503 or": "+1 (603) 555-8791 499-555-6503"}
+    clean = ["so 4111111111111112 is", "on 2021-03-14 we", "a 0af12345678bc b"]
+    rows = {r.doc_id: r.spans for r in pii.find(docs(spark, [*texts, *planted, *clean])).collect()}
+    added = [[(x.s, x.e) for x in rows[len(texts) + i] if x.kind not in pii.KINDS] for i in range(len(planted) + len(clean))]
+    for found, (t, span) in zip(added, list(planted.items())[:3]):
+        assert found == [(t.index(span), t.index(span) + len(span))], t
+    assert added[len(planted):] == [[], [], []]
+    assert all([(x.kind, x.s, x.e) for x in rows[i] if x.kind in pii.KINDS] == base_pii(t) for i, t in enumerate(texts))
+
+
 # pipeline
 
 
