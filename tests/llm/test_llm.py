@@ -162,6 +162,27 @@ def test_jaccard_small_parts_and_empty(spark, monkeypatch):
     assert [r.component_id for r in jaccard.classes(twice).collect()] == [0, 0]
 
 
+def test_jaccard_bound_holds_for_all_sizes(spark):
+    for percent, most in ((80, 110), (75, 60)):
+        up = lambda a, b: -(-a // b)
+        need = lambda n, m: up(percent * (n + m), 100 + percent) - up(percent * max(n, m), 100) + 1
+        rows = []
+        for n in range(1, most):
+            sizes = range(up(percent * n, 100), 100 * n // percent + 1)
+            rows += [(n, low, high, min(need(n, m) for m in range(low, high + 1))) for low in sizes for high in sizes if low <= high]
+            rows += [(n, 1, 2 * n, min(need(n, m) for m in sizes))]
+        found = spark.createDataFrame(rows, "n long, low long, high long, least long").withColumn(
+            "found", jaccard._least_need(F.col("n"), F.col("low"), F.col("high"), percent))
+        assert found.where("found is null or found != least").take(3) == []
+
+
+def test_jaccard_by_the_matrix_alone(spark, monkeypatch):
+    texts = near_copies()
+    monkeypatch.setattr(jaccard, "TRIES", 0)
+    rows = jaccard.classes(docs(spark, texts)).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id) for r in rows] == brute_components(texts)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90)], "a long, b long")
     with Scratch(spark) as scratch:

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
+from math import gcd
 
 import numpy as np
 import pandas as pd
@@ -213,6 +214,20 @@ def _need(small: Column, large: Column, percent: int) -> Column:
     return F.ceil(F.lit(percent) * (small + large) / F.lit(100 + percent) - 1e-9) - F.ceil(F.lit(percent) * large / 100 - 1e-9) + 1
 
 
+def _least_need(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """The least of _need over all sizes from low to high that can link with a set of size n.
+
+    For smaller sizes it grows with the size. For larger ones it goes up and down by its two ceilings, but never up over a
+    whole period of the prefixes' sizes, so that the last period up to the upper end has the least one.
+    """
+    share, period = percent / 100, 100 // gcd(percent, 100)
+    top = F.least(high, F.floor(n / share + 1e-9))
+    last = F.sequence(F.greatest(low, n, top - (period - 1)), top)
+    return F.least(
+        F.when(low <= n, _need(F.greatest(low, F.ceil(n * share - 1e-9)), n, percent)),
+        F.when(top >= F.greatest(low, n), F.array_min(F.transform(last, lambda large: _need(n, large, percent)))))
+
+
 def _opened(queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """(a, b): verified links; queries (part, deal, sid, tokens) against members (part, deal, sid, tokens)."""
     def run(q: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
@@ -272,10 +287,7 @@ def links(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
             (F.col("q.g") > F.col("m.g")) & (F.col("m.low") * n <= q + 1e-9) & (F.col("m.high") >= q * n - 1e-9))
         hits = hits.groupBy(F.col("q.sid").alias("sid"), q.alias("n"), F.col("m.part").alias("part")).agg(
             F.count("*").alias("c"), F.min("m.low").alias("low"), F.max("m.high").alias("high"))
-        least = F.least(
-            F.when(F.col("low") <= F.col("n"), _need(F.greatest(F.col("low"), F.ceil(F.col("n") * n - 1e-9)), F.col("n"), percent)),
-            F.when(F.col("high") >= F.col("n"), _need(F.col("n"), F.least(F.col("high"), F.floor(F.col("n") / n + 1e-9)), percent)))
-        ready = scratch.step(hits.where(F.col("c") >= least).select("sid", "part"))
+        ready = scratch.step(hits.where(F.col("c") >= _least_need(F.col("n"), F.col("low"), F.col("high"), percent)).select("sid", "part"))
         # 3. opening
         if not ready.isEmpty():
             inside = dealt.select("part", "sid").distinct()
