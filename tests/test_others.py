@@ -1,6 +1,7 @@
 """Velocity, lifecycle, answers, sources, streams and the registry."""
 
 import datetime as dt
+import random
 
 import duckdb
 import pytest
@@ -11,7 +12,9 @@ from vetrina.operators import lifecycle as L
 from vetrina.operators import model_io as M
 from vetrina.plans import profiles as P
 from vetrina.plans import velocity as V
+from vetrina.queries import stream
 from vetrina.sources import sinks, text
+from vetrina.streaming import jobs as J
 
 T0 = dt.datetime(2025, 1, 1)
 
@@ -85,3 +88,26 @@ def test_query_equals_its_sql(spark, name):
     cols = [c[0] for c in cur.description]
     norm = lambda rows: sorted((tuple(f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in rows))
     assert norm(df.select(*cols).collect()) == norm(cur.fetchall())
+
+
+def test_stream_of_a_hot_key_in_many_files(spark, tmp_path, monkeypatch):
+    """A key's state sees a row for each slice of time, and the copy is written by many tasks."""
+    r = random.Random(4)
+    rows = [(i, T0 + dt.timedelta(seconds=r.randrange(40_000)) if i % 500 else None, 0 if i % 3 else r.randrange(9), "error" if r.random() < 0.4 else "view", 1.0, "") for i in range(6000)]
+    rows += [(7000 + i, T0 + dt.timedelta(seconds=i), 50, "error", 1.0, "") for i in range(3)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(stream, "ROWS", 500)
+    seen = []
+    monkeypatch.setattr(stream, "shared_path", lambda _, name: seen.append(f"{tmp_path}/{name}") or f"{tmp_path}/{name}")
+    got = {x["id"]: (x["run"], x["blocked"]) for x in stream.stream_errors(spark, str(tmp_path)).collect()}
+    last = dt.datetime.max
+    want = {}
+    for _, _, user, kind in sorted((t or last, i, u, k) for i, t, u, k, _, _ in rows):
+        n, blocked = want.get(user, (0, False))
+        n = n + 1 if kind == "error" else 0
+        want[user] = (n, blocked or n >= 3)
+    assert got == want
+    files = spark.read.parquet(seen[0]).select(F.input_file_name().alias("f"), "ts").groupBy("f").count().collect()
+    assert len(files) == 2 * -(-6003 // 1000) and max(x["count"] for x in files) < 1000
+    hot = spark.read.parquet(seen[0]).selectExpr("user_id as id", "ts", "event_id as seq", "event_type = 'error' as failed")
+    assert J._summaries(hot, 600).where("id = 0").count() <= 40_000 // 600 + 2

@@ -11,15 +11,21 @@ from vetrina.sources.sinks import shared_path
 from vetrina.streaming import jobs as J
 
 
+#: Rows of a file of the copy.
+ROWS = 1_000_000
+
+
 def events(spark: SparkSession, d: str) -> DataFrame:
-    """The events as a stream of files: the table's own if it is a folder, else those of a copy in two parts by time."""
+    """The events as a stream of two micro-batches: a copy of the table in two parts by time, each in equally many files."""
     table = spark.read.parquet(f"{d}/events.parquet")
     path = shared_path(spark, "events")
-    middle = table.agg((F.expr("percentile_approx(unix_micros(cast(ts as timestamp)), 0.5)")).alias("m")).first()["m"]
-    early = F.unix_micros(F.col("ts").cast("timestamp")) < F.lit(middle)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    found = table.agg(F.percentile_approx(at, 0.5).alias("m"), F.count("*").alias("n")).first()
+    files = max(1, -(-found["n"] // (2 * ROWS)))
+    early = F.coalesce(at < F.lit(found["m"]), F.lit(False))
     for part in (table.where(early), table.where(~early)):
-        part.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        part.repartition(files).write.mode("append").parquet(path)
+    return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query("stream_velocity", "SELECT user_id::VARCHAR AS item_id, count(*) AS n, min(ts) AS first_at, max(ts) AS last_at, arg_min(value, ts) AS first_value, arg_max(value, ts) AS last_value FROM events GROUP BY user_id")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +59,38 @@ def silence_alert(rows: DataFrame, seconds: int, late: str = "1 minute") -> Data
         _Silence(seconds), "id long, silent_since timestamp", "Append", "EventTime")
 
 
+def _runs(none: np.ndarray, key: np.ndarray, part: np.ndarray, at: np.ndarray, seq: np.ndarray, failed: np.ndarray) -> pd.DataFrame:
+    """A row for each key and part: its rows' number, leading, trailing and longest run of failures, in order of at and seq."""
+    order = np.lexsort((seq, at, part, key, none))
+    none, key, part, failed = none[order], key[order], part[order], failed[order]
+    first = np.ones(len(key), dtype=bool)
+    first[1:] = (none[1:] != none[:-1]) | (key[1:] != key[:-1]) | (part[1:] != part[:-1])
+    starts, here = np.flatnonzero(first), np.arange(len(key))
+    size = np.diff(np.append(starts, len(key)))
+    run = here - np.maximum.accumulate(np.where(~failed, here, np.where(first, here - 1, -1)))
+    lead = np.minimum(np.minimum.reduceat(np.where(failed, len(key), here), starts) - starts, size)
+    return pd.DataFrame({"none": none[starts], "key": key[starts], "part": part[starts], "size": size, "lead": lead,
+                         "trail": run[starts + size - 1], "longest": np.maximum.reduceat(run, starts)})
+
+
+def _summaries(rows: DataFrame, seconds: int) -> DataFrame:
+    """(id, part, size, lead, trail, longest) of every slice of time of an id; the slices of one id are dealt to many tasks."""
+    last = F.lit((1 << 63) - 1)  # nulls are last
+    at = F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), last)
+    flat = rows.select(F.col("id").isNull().alias("none"), F.coalesce(F.col("id").cast("long"), F.lit(0)).alias("key"), at.alias("at"),
+                       F.coalesce(F.col("seq").cast("long"), last).alias("seq"), F.coalesce("failed", F.lit(False)).alias("failed"))
+    names = ["none", "key", "part", "at", "seq", "failed"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = [[x[c].to_numpy() for c in names] for x in batches if len(x)]
+        if found:
+            yield _runs(*(np.concatenate(c) for c in zip(*found)))
+
+    dealt = flat.withColumn("part", F.expr(f"at div {seconds * 1_000_000}")).select(*names).repartition("none", "key", "part")
+    out = dealt.mapInPandas(run, "none boolean, key long, part long, size long, lead long, trail long, longest long")
+    return out.select(F.when(~F.col("none"), F.col("key")).alias("id"), "part", "size", "lead", "trail", "longest")
+
+
 class _Errors(StatefulProcessor):
     """The present run of failures of a resource and whether a run has ever reached the limit."""
 
@@ -69,16 +102,20 @@ class _Errors(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
         n, blocked = self.state.get() if self.state.exists() else (0, False)
-        for failed in pd.concat(list(rows)).sort_values(["ts", "seq"])["failed"]:
-            n = n + 1 if failed else 0
-            blocked = blocked or n >= self.limit
+        for x in pd.concat(list(rows)).sort_values("part").itertuples(index=False, name="Slice"):  # a row for each slice of time
+            blocked = blocked or n + x.lead >= self.limit or x.longest >= self.limit
+            n = n + x.size if x.lead == x.size else x.trail
+        n = int(n)
         self.state.update((n, bool(blocked)))
         yield pd.DataFrame({"id": [key[0]], "run": [n], "blocked": [bool(blocked)]})
 
 
-def consecutive_errors(rows: DataFrame, limit: int = 3) -> DataFrame:
-    """(id, run, blocked) after each micro-batch; rows have id (long), ts, seq and failed. Rows of a later batch count as later."""
-    return rows.groupBy("id").transformWithStateInPandas(_Errors(limit), "id long, run int, blocked boolean", "Update", "None")
+def consecutive_errors(rows: DataFrame, limit: int = 3, seconds: int = 600) -> DataFrame:
+    """(id, run, blocked) after each micro-batch; rows have id (long), ts, seq and failed. Rows of a later batch count as later.
+
+    Only the runs of each slice of so many seconds reach the task that keeps an id's state.
+    """
+    return _summaries(rows, seconds).groupBy("id").transformWithStateInPandas(_Errors(limit), "id long, run int, blocked boolean", "Update", "None")
 
 
 def run_once(df: DataFrame, path: str, mode: str = "append", latest_by: Column | None = None) -> DataFrame:
