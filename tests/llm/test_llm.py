@@ -160,6 +160,23 @@ def test_jaccard_small_parts_and_empty(spark, monkeypatch):
     assert jaccard.classes(docs(spark, EMPTY)).count() == 0
     twice = docs(spark, [words(20)]).union(docs(spark, [words(20)])).withColumn("sid", F.lit("x"))
     assert [r.component_id for r in jaccard.classes(twice).collect()] == [0, 0]
+    clash = twice.withColumnRenamed("doc_id", "n").withColumn("tokens", F.lit(1)).union(twice.selectExpr("null", "text", "lang", "source", "n_chars", "sid", "1"))
+    assert {(r[0], r.n_shingles, r.component_id) for r in jaccard.classes(clash, key="n").collect()} == {(0, 16, 0), (None, 16, 0)}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_jaccard_links_of_much_copied_texts_are_kept(spark, monkeypatch, seed):
+    """Two near copies, each copied into many Arrow batches, whose postings are dealt into parts."""
+    ws = words(120, seed).split()
+    texts = [" ".join(ws), " ".join([*ws[:-2], "x", "y"])] * 40 + [words(30, seed + 9)]
+    for k, v in (("POSTING", 4), ("LEAST", 1), ("LEAST_SUM", 1)):
+        monkeypatch.setattr(jaccard, k, v)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        rows = jaccard.classes(docs(spark, texts).repartition(4)).orderBy("doc_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert [r.component_id for r in rows] == [0] * 80 + [80]
 
 
 def test_jaccard_bound_holds_for_all_sizes(spark):

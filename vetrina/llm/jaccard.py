@@ -1,20 +1,23 @@
 """N-gram Jaccard self-join by a token-group matrix.
 
 A document is the set of its distinct 5-word shingles, 64-bit fingerprints; documents with one
-set are one from here on. Tokens are ordered by how many sets have them, as counted in blocks
-over all documents, and two sets that link share tokens in their prefixes under any such order.
-
-1. Grouping. Sets that share a prefix token are compared with the first and the previous one of
-   its posting; verified links make trees, whose sets form a group of similar documents. Groups
-   of more than ``GROUP`` sets are dealt into parts.
-2. Matrix. A group's row is the union of its members' prefix tokens, with their range of sizes.
-   A query counts its own prefix tokens in each row of another group. No member can reach the
-   threshold if that count is under a bound that follows from the sizes; such groups stay closed.
-3. Opening. The whole token unions of the groups left are compared with the query first, then
-   their members one by one. The links found join groups into components.
-
-All links between different sets are found inside trees or by opened groups, so components are
-exact; copies and near copies cost a row each and no pairs of a group are listed.
+set are one from here on. The sets are written once, with the tokens of their prefix first. Tokens
+are ordered by how many sets have them, as counted in blocks over all documents, and two sets that
+link share tokens in their prefixes under any such order.
+
+1. Grouping. In a few turns, sets that share much of their prefix with another one are compared
+   with it. Verified links make components; these, joined by pairs that are similar but don't link,
+   make groups of similar documents. A group is dealt into parts of about ``GROUP`` sets; a large
+   component gets parts of its own.
+2. Matrix. A part's row is the union of its members' prefix tokens, with their sizes. Two parts are
+   compared by the tokens that their rows share. If these are fewer than linked sets of such sizes
+   need, or all is one component, the pair stays closed.
+3. Opening. A query of one part counts its tokens in the other part's whole token union, and reads
+   its members only if these can reach the threshold. The links found join components.
+
+All links between different components are found by opened parts, so components are exact; copies
+and near copies cost a row each and no pairs of a group are listed. Similar sets that don't link are
+the remaining cost: ``m`` of them in one group are compared by m / GROUP parts, inside tasks.
 
 Defined cases: null texts and texts without words have no shingle and link with nothing; fewer
 than five words are one shingle. Repeated rows share a component. A null key is in no minimum. An
@@ -24,11 +27,13 @@ empty table gives an empty result. Other columns are not read. Texts are read wh
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 from itertools import chain, islice
 from math import gcd
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,19 +44,23 @@ from vetrina.llm.url_filter import salted_join
 
 WORDS = 5
 PERCENT = 80
-#: Sets in a part of a group; queries that open one part in one task.
+#: Sets in a part of a group, about; queries that open one part in one task.
 GROUP, QUERIES = 256, 256
 #: Frequent tokens: least sets in a block of documents, least sum over the blocks, and how many are told apart (16 bytes each are broadcast).
 LEAST, LEAST_SUM, FREQUENT = 2, 8, 1 << 18
-#: Rows of a frequent token's posting that are dealt to one task.
+#: Classes of counts per doubling, to find the least count of a frequent token.
+CLASSES = 8
+#: Rows of a frequent token's posting that are looked through in one task while groups are formed.
 POSTING = 20_000
 #: Texts that a task handles at once.
 BLOCK = 256
-#: Share of its prefix that a set has in common with another one for the two to be compared at once, and with how many at most;
-#: this only forms the groups, and what it leaves out is found by the matrix.
-TRY_SHARE, TRIES, TURNS = 0.3, 3, 2
-#: log2 of the bits of the filter on wanted sets: 1 MB.
-FILTER = 23
+#: Share of its prefix that a set has in common with another one for the two to be compared at once, with how many at most, and
+#: how often; from which similarity on they are in one group. This only forms the groups: what it leaves out is found by the matrix.
+TRY_SHARE, TRIES, TURNS, SIMILAR = 0.3, 3, 2, 50
+#: Sets first in a posting, and before a set, that it may be compared with.
+HUBS, NEAR = 2, 3
+#: log2 of the bits of the filter on wanted sets: 2 MB.
+FILTER = 24
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -95,118 +104,154 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _prefix(percent: int) -> Column:
+    return (F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) + 1).cast("int")
+
+
 def _set_id(tokens: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(tokens.tobytes()) - (1 << 63)
 
 
-def _frequent(docs: DataFrame, key: str, text: str, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The tokens in most sets, sorted, and their counts."""
+def _frequent(docs: DataFrame, k: int, scratch: Scratch) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens in most sets, sorted, and their counts: FREQUENT at most."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             sets = {}
-            for s in shingle_sets(x[text], k):
+            for s in shingle_sets(x["_text"], k):
                 if len(s):
                     sets[_set_id(s)] = s
             if sets:
                 tokens, n = np.unique(np.concatenate(list(sets.values())), return_counts=True)
                 yield pd.DataFrame({"token": tokens[n >= LEAST], "n": n[n >= LEAST]})
 
-    counts = docs.select(text).mapInPandas(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_SUM)
-    top = counts.orderBy(F.desc("n"), "token").limit(FREQUENT).toPandas().sort_values("token")  # at most FREQUENT rows
+    kind = F.floor(F.log2("n") * CLASSES)
+    counts = scratch.keep(docs.select("_text").mapInPandas(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).where(
+        F.col("n") >= LEAST_SUM).withColumn("class", kind), "counts")
+    classes = sorted(((r["class"], r["count"]) for r in counts.groupBy("class").count().collect()), reverse=True)  # 64 CLASSES rows at most
+    least, total = 64 * CLASSES, 0
+    for c, n in classes:
+        total += n
+        if total > FREQUENT:
+            break
+        least = c
+    top = counts.where(F.col("class") >= least).select("token", "n").toPandas().sort_values("token")
     return top["token"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
 
 
-def _prefixes(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
-    """(key, n, sid, prefix array<struct<token, salt>>): the prefix only with the first row that a task has of a set."""
-    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, key, text, k))
+def _ordered_sets(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """(_key, n, sid, tokens, salts) of every row; tokens, the prefix first, only in the first row that a task has of a set.
+
+    salts has the part of its posting for each token of the prefix, -1 if the posting is whole; null if all are.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, k, scratch))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens, counts = shared.value
         done: set[int] = set()
         for x in batches:
             rows = []
-            for s in shingle_sets(x[text], k):
+            for s in shingle_sets(x["_text"], k):
                 if not len(s):
                     rows.append((0, None, None, None))
                     continue
-                sid = _set_id(s)
+                sid, salts = _set_id(s), None
                 if sid in done:
                     rows.append((len(s), sid, None, None))
                     continue
                 done.add(sid)
-                at = np.minimum(np.searchsorted(tokens, s), max(0, len(tokens) - 1))
-                n = np.where(tokens[at] == s, counts[at], 0) if len(tokens) else np.zeros(len(s), dtype=np.int64)
-                size = prefix_size(len(s), percent)
-                if n.any():
-                    order = np.lexsort((s, n))[:size]
-                    prefix, parts = s[order], n[order] // POSTING + 1
-                else:
-                    prefix, parts = s[:size], n[:size] + 1
-                rows.append((len(s), sid, prefix, (sid % parts).astype(np.int32)))
-            yield pd.DataFrame({key: x[key], "n": [r[0] for r in rows], "sid": pd.array([r[1] for r in rows], dtype="Int64"),
+                if len(tokens):
+                    at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
+                    n = np.where(tokens[at] == s, counts[at], 0)
+                    if n.any():
+                        order = np.lexsort((s, n))
+                        s, parts = s[order], n[order][: prefix_size(len(s), percent)] // POSTING + 1
+                        if parts[-1] > 1:
+                            salts = np.where(parts > 1, sid % parts, -1).astype(np.int32)
+                rows.append((len(s), sid, s, salts))
+            yield pd.DataFrame({"_key": x["_key"], "n": [r[0] for r in rows], "sid": pd.array([r[1] for r in rows], dtype="Int64"),
                                 "tokens": pd.Series([r[2] for r in rows], dtype=object), "salts": pd.Series([r[3] for r in rows], dtype=object)})
 
-    kind = dict(docs.dtypes)[key]
-    return docs.select(key, text).mapInPandas(run, f"`{key}` {kind}, n long, sid long, tokens array<long>, salts array<int>")
+    kind = dict(docs.dtypes)["_key"]
+    return scratch.keep(docs.mapInPandas(run, f"_key {kind}, n long, sid long, tokens array<long>, salts array<int>"), "sets")
 
 
-def _sets(docs: DataFrame, text: str, k: int, wanted: DataFrame) -> DataFrame:
+def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(sid, tokens) of the wanted sets and, as the filter is hashed, a few more."""
     bits = wanted.select(F.expr(f"sid & {(1 << FILTER) - 1}").alias("b")).groupBy(F.expr("b div 64").alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("m")).toPandas()  # at most 2^FILTER / 64 rows
     field = np.zeros((1 << FILTER) // 64, dtype=np.int64)
     field[bits["w"].to_numpy(np.int64)] = bits["m"].to_numpy(np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(field)
+    shared = rows.sparkSession.sparkContext.broadcast(field)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        f, done = shared.value, set()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = shared.value
         for x in batches:
-            rows = []
-            for s in shingle_sets(x[text], k):
-                if len(s) and (sid := _set_id(s)) not in done:
-                    b = sid & ((1 << FILTER) - 1)
-                    if int(f[b >> 6]) >> (b & 63) & 1:
-                        done.add(sid)
-                        rows.append((sid, s))
-            yield pd.DataFrame({"sid": np.array([r[0] for r in rows], dtype=np.int64), "tokens": pd.Series([r[1] for r in rows], dtype=object)})
+            b = x.column("sid").to_numpy(zero_copy_only=False) & ((1 << FILTER) - 1)
+            yield x.filter(pa.array((f[b >> 6] >> (b & 63) & 1).astype(bool)))
 
-    return docs.select(text).mapInPandas(run, "sid long, tokens array<long>").dropDuplicates(["sid"])
+    return rows.where("tokens is not null").select("sid", "tokens").mapInArrow(run, "sid long, tokens array<long>").dropDuplicates(["sid"])
 
 
-def _linked(a: Column, b: Column, percent: int) -> Column:
-    both = F.size(F.array_intersect(a, b))
-    return 100 * both >= percent * (F.size(a) + F.size(b) - both)
+def _shared(rows: DataFrame, percent: int) -> DataFrame:
+    """(token, salt, sid, n): the prefix tokens of each set that another set may have, once.
+
+    In a posting that is dealt into parts, by which only groups are formed, all rows stay.
+    """
+    posting = rows.where("tokens is not null").select("sid", "n", "salts", F.posexplode(F.slice("tokens", 1, _prefix(percent))).alias("at", "token")).select(
+        "token", F.coalesce(F.get("salts", "at"), F.lit(-1)).alias("salt"), "sid", "n")
+    by_token = Window.partitionBy("token", "salt").orderBy("sid")
+    once = posting.withColumn("prev", F.lag("sid").over(by_token)).where("prev is null or prev <> sid")  # a set has a row a task
+    seen = once.select("token", "salt", "sid", "n", F.lag("sid").over(by_token).alias("prev"), F.lead("sid").over(by_token).alias("next"))
+    return seen.where("salt >= 0 or prev is not null or next is not null").select("token", "salt", "sid", "n")
 
 
 def _likely(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(sid, up, g, h): for each set up to TRIES sets of other groups that share much of its prefix with it.
+    """(sid, up, g, h): for each set up to TRIES sets of other components that share much of its prefix with it.
 
-    rows: (token, salt, sid, n, g). In each posting a set looks at the first one and at three before it, in an order of the turn.
-    Links share most of their prefixes; pairs that share little are left to the exact search.
+    rows: (token, salt, sid, n, g, size). In each posting a set looks at the first ones, which are of the largest component from
+    the second turn on, and at some before it. Links share most of their prefixes; what shares little is left to the matrix.
     """
-    order = ("n", "sid") if not turn else (F.xxhash64("sid", F.lit(turn)), "sid")
+    order = ("n", "sid") if not turn else (F.desc("size"), F.xxhash64("sid", F.lit(turn)), "sid")
     w = Window.partitionBy("token", "salt").orderBy(*order)
-    placed = rows.withColumn("me", F.struct("n", "sid", "g")).select("sid", "n", "g", F.first("me").over(w).alias("p0"), *(F.lag("me", i).over(w).alias(f"p{i}") for i in (1, 2, 3)))
-    tries = placed.select("sid", "n", "g", F.explode(F.array_distinct(F.array_compact(F.array("p0", "p1", "p2", "p3")))).alias("up")).where(
+    looks = [F.nth_value("me", i).over(w) for i in range(1, HUBS + 1)] + [F.lag("me", i).over(w) for i in range(1, NEAR + 1)]
+    placed = rows.withColumn("me", F.struct("n", "sid", "g")).select("sid", "n", "g", *(x.alias(f"p{i}") for i, x in enumerate(looks)))
+    tries = placed.select("sid", "n", "g", F.explode(F.array_distinct(F.array_compact(F.array(*(f"p{i}" for i in range(len(looks))))))).alias("up")).where(
         (F.col("up.g") != F.col("g")) & (100 * F.least("n", "up.n") >= percent * F.greatest("n", "up.n")))
-    prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100 - 1e-9) + 1
-    likely = tries.groupBy("sid", "n", "g", "up").count().where(F.col("count") >= TRY_SHARE * prefix)
+    likely = tries.groupBy("sid", "n", "g", "up").count().where(F.col("count") >= TRY_SHARE * _prefix(percent))
     best = Window.partitionBy("sid").orderBy(F.desc("count"), "up")  # of one set's prefix
     return likely.withColumn("i", F.row_number().over(best)).where(F.col("i") <= TRIES).select("sid", F.col("up.sid").alias("up"), "g", F.col("up.g").alias("h"))
 
 
+def _compared(tried: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b, linked): the pairs of components that were tried, if similar."""
+    pairs = tried.join(sets.withColumnRenamed("tokens", "ta"), "sid").join(sets.select(F.col("sid").alias("up"), F.col("tokens").alias("tb")), "up")
+    both = F.size(F.array_intersect("ta", "tb"))
+    sized = pairs.select(F.col("g").alias("a"), F.col("h").alias("b"), both.alias("both"), (F.size("ta") + F.size("tb")).alias("sum"))
+    reaches = lambda p: 100 * F.col("both") >= p * (F.col("sum") - F.col("both"))
+    return sized.where(reaches(min(SIMILAR, percent))).groupBy("a", "b").agg(F.max(reaches(percent)).alias("linked"))
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(id, root) for the ends of undirected edges (a, b): root is the least id reached. Labels and pointers, two tables a round."""
-    both = scratch.step(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    at = scratch.step(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")).withColumnRenamed("a", "id"))
+    """(id, root) for the ends of undirected edges (a, b): root is the least id reached.
+
+    By contraction: each end hooks on to its least neighbour, paths are halved twice, and the edges between different
+    roots are those of the next round.
+    """
+    left = scratch.step(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    at = None
     while True:
-        labels = at.select(F.col("id").alias("b"), F.col("root").alias("r"))
-        near = both.join(labels, "b").groupBy("a").agg(F.min("r").alias("r")).withColumnRenamed("a", "id")
-        low = scratch.step(at.join(near, "id").select("id", F.least("root", "r").alias("root"), (F.col("r") < F.col("root")).alias("moved")))
-        if low.where("moved").isEmpty():
-            return low.select("id", "root")
-        up = low.select(F.col("id").alias("root"), F.col("root").alias("r2"))
-        at = scratch.step(low.join(up, "root", "left").select("id", F.least("root", F.coalesce("r2", "root")).alias("root")))
+        hooks = left.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("p"))
+        for _ in range(2):
+            up = hooks.select(F.col("a").alias("p"), F.col("p").alias("pp"))
+            hooks = scratch.step(hooks.join(up, "p").select("a", F.col("pp").alias("p")))
+        if at is None:
+            at = hooks.select(F.col("a").alias("id"), F.col("p").alias("root"))
+        else:
+            at = scratch.step(salted_join(at, hooks.select(F.col("a").alias("root"), "p"), "root", F.xxhash64("id")).select("id", F.coalesce("p", "root").alias("root")))
+        one = salted_join(left, hooks, "a", F.xxhash64("b")).select(F.col("p").alias("x"), F.col("b").alias("a"))
+        left = scratch.step(salted_join(one, hooks, "a", F.xxhash64("x")).select(F.col("x").alias("a"), F.col("p").alias("b")).where("a <> b").distinct())
+        if left.isEmpty():
+            return at
 
 
 def _need(small: Column, large: Column, percent: int) -> Column:
@@ -228,92 +273,126 @@ def _least_need(n: Column, low: Column, high: Column, percent: int) -> Column:
         F.when(top >= F.greatest(low, n), F.array_min(F.transform(last, lambda large: _need(n, large, percent)))))
 
 
+def _grown(roots: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """roots (sid, root, size) after the links (a, b) between roots."""
+    merged = components(edges, scratch).select(F.col("id").alias("root"), F.col("root").alias("top"))
+    new = scratch.step(salted_join(roots.select("sid", "root"), merged, "root", F.xxhash64("sid")).select("sid", F.coalesce("top", "root").alias("root")))
+    return scratch.step(salted_join(new, new.groupBy("root").agg(F.count("*").alias("size")), "root", F.xxhash64("sid")).select("sid", "root", "size"))
+
+
 def _opened(queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """(a, b): verified links; queries (part, deal, sid, tokens) against members (part, deal, sid, tokens)."""
+    """(a, b): verified links between components; queries and members are (part, deal, c, tokens)."""
     def run(q: pd.DataFrame, m: pd.DataFrame) -> pd.DataFrame:
-        out = []
+        out = set()
         if len(q) and len(m):
-            sets = [np.asarray(t) for t in m["tokens"]]
-            union = np.unique(np.concatenate(sets))
-            for sid, tokens in zip(q["sid"], q["tokens"]):
-                t = np.asarray(tokens)
-                part = np.intersect1d(t, union, assume_unique=True)
-                if 100 * len(part) < percent * len(t):
+            sets, comps = [np.asarray(t) for t in m["tokens"]], m["c"].to_numpy()
+            sizes = np.array([len(s) for s in sets])
+            tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+            order = np.argsort(tokens, kind="stable")
+            owner = owner[order]
+            union, start, count = np.unique(tokens[order], return_index=True, return_counts=True)
+            for c, t in zip(q["c"], q["tokens"]):
+                t = np.asarray(t)
+                at = np.minimum(np.searchsorted(union, t), len(union) - 1)
+                at = at[union[at] == t]
+                if 100 * len(at) < percent * len(t):
                     continue  # no member can reach the threshold
-                for other, s in zip(m["sid"], sets):
-                    both = len(np.intersect1d(part, s, assume_unique=True))
-                    if 100 * both >= percent * (len(t) + len(s) - both):
-                        out.append((sid, other))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+                n, end = count[at], np.cumsum(count[at])
+                both = np.bincount(owner[np.repeat(start[at] - end + n, n) + np.arange(end[-1])], minlength=len(sets))
+                found = comps[(100 * both >= percent * (len(t) + sizes - both)) & (comps != c)]
+                out.update((c, other) for other in np.unique(found))
+        return pd.DataFrame(list(out), columns=["a", "b"], dtype="int64")
 
     return queries.groupBy("part", "deal").cogroup(members.groupBy("part", "deal")).applyInPandas(run, "a long, b long")
 
 
+def _dealt(crossing: DataFrame, scratch: Scratch) -> DataFrame:
+    """(sid, n, c, part): the sets of the matrix, dealt into parts of their groups."""
+    members = scratch.step(crossing.select("sid", "n", "c", "g").distinct())
+    by_comp = members.groupBy("g", "c").agg(F.count("*").alias("m"))
+    rest = by_comp.where(F.col("m") <= GROUP).groupBy("g").agg(F.sum("m").alias("rest"))
+    parts = salted_join(by_comp, rest, "g", F.xxhash64("c")).select(
+        "c", (F.col("m") > GROUP).alias("own"), F.ceil(F.when(F.col("m") > GROUP, F.col("m")).otherwise(F.col("rest")) / GROUP).alias("parts"))
+    part = F.when(F.col("own"), F.xxhash64("c", F.pmod(F.xxhash64("sid"), "parts"))).otherwise(F.xxhash64("g", F.lit("rest"), F.pmod(F.xxhash64("c"), "parts")))
+    return scratch.step(salted_join(members, parts, "c", F.xxhash64("sid")).select("sid", "n", "c", part.alias("part")))
+
+
+def _ready(crossing: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
+    """(ask, part): pairs of parts that can hold a link between components; the smaller one asks."""
+    facts = dealt.groupBy("part").agg(F.count("*").alias("m"), F.collect_set("n").alias("sizes"), F.min("n").alias("low"), F.max("n").alias("high"),
+                                      F.min("c").alias("c0"), F.max("c").alias("c1"))  # of about GROUP sets
+    matrix = crossing.select("token", "sid").join(dealt.select("sid", "part"), "sid").select("token", "part").distinct()
+    shared = matrix.alias("x").join(matrix.alias("y"), "token").where("x.part < y.part").groupBy(
+        F.col("x.part").alias("p"), F.col("y.part").alias("q")).agg(F.count("*").alias("both"))
+    side = lambda name: facts.select(F.col("part").alias(name), F.struct("m", "sizes", "low", "high", "c0", "c1").alias(f"f{name}"))
+    pairs = shared.join(side("p"), "p").join(side("q"), "q").where("fp.c0 <> fp.c1 or fq.c0 <> fq.c1 or fp.c0 <> fq.c0")
+    asks = F.when(F.col("fp.m") <= F.col("fq.m"), F.struct(F.col("p").alias("ask"), F.col("q").alias("part"), F.col("fp").alias("fa"), F.col("fq").alias("fo"))).otherwise(
+        F.struct(F.col("q").alias("ask"), F.col("p").alias("part"), F.col("fq").alias("fa"), F.col("fp").alias("fo")))
+    asked = pairs.select("both", asks.alias("x")).select("both", "x.*")
+    need = F.array_min(F.transform("fa.sizes", lambda n: _least_need(n, F.col("fo.low"), F.col("fo.high"), percent)))
+    return asked.where(F.col("both") >= need).select("ask", "part").unionByName(facts.where("c0 <> c1").select(F.col("part").alias("ask"), "part"))
+
+
+def _matrix_links(rows: DataFrame, crossing: DataFrame, scratch: Scratch, percent: int) -> DataFrame | None:
+    """(a, b): the links between components that are left."""
+    dealt = _dealt(crossing, scratch)
+    ready = scratch.step(_ready(crossing, dealt, percent))
+    if ready.isEmpty():
+        return None
+    one = dealt.groupBy("part").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 = c1").select("part", F.col("c0").alias("only"))
+    asked = ready.join(dealt.select(F.col("part").alias("ask"), "sid", "c"), "ask").join(one, "part", "left").where("only is null or only <> c").select("part", "sid", "c")
+    asked = scratch.step(asked)
+    deals = asked.groupBy("part").agg(F.ceil(F.count("*") / QUERIES).alias("deals"))
+    inside = scratch.step(dealt.select("part", "sid", "c").join(deals, "part"))
+    found = scratch.step(_sets(rows, asked.select("sid").union(inside.select("sid"))))
+    queries = salted_join(asked, deals, "part", F.xxhash64("sid")).withColumn("deal", F.pmod(F.xxhash64("sid"), "deals")).join(found, "sid")
+    members = inside.join(found, "sid").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
+    fresh = lambda df: df.select(*(F.col(c).alias(c) for c in ("part", "deal", "c", "tokens")))  # noqa: E731  both sides read one table
+    edges = scratch.step(_opened(fresh(queries), fresh(members), percent).distinct())
+    return None if edges.isEmpty() else edges
+
+
 def links(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """((key, n, sid) of every row, (sid, root) of the sets that are linked to another one)."""
-    rows = scratch.keep(_prefixes(docs, key, text, k, percent), "prefixes")
-    posting = rows.where("tokens is not null").select("sid", "n", F.explode(F.arrays_zip("tokens", "salts")).alias("t")).select(
-        F.col("t.tokens").alias("token"), F.col("t.salts").alias("salt"), "sid", "n")
-    by_token = Window.partitionBy("token", "salt").orderBy("sid")
-    seen = posting.select("token", "salt", "sid", "n", F.lag("sid").over(by_token).alias("prev"), F.lead("sid").over(by_token).alias("next"))
-    shared = scratch.keep(seen.where((F.col("prev") != F.col("sid")) | (F.col("next") != F.col("sid"))).select("token", "salt", "sid", "n"), "shared")
-
-    # 1. groups
-    tried = scratch.step(_likely(shared.withColumn("g", F.col("sid")), 0, percent))
-    sets = scratch.keep(_sets(docs, text, k, tried.select("sid").union(tried.select("up"))), "sets")
-    roots = sets.select("sid", F.col("sid").alias("root"))
-    for turn in range(1, TURNS + 1):
-        pairs = tried.join(sets.withColumnRenamed("tokens", "ta"), "sid").join(sets.select(F.col("sid").alias("up"), F.col("tokens").alias("tb")), "up")
-        edges = scratch.step(pairs.where(_linked(F.col("ta"), F.col("tb"), percent)).select(F.col("g").alias("a"), F.col("h").alias("b")).distinct())
-        if not edges.isEmpty():
-            merged = components(edges, scratch).withColumnRenamed("root", "top")
-            roots = scratch.step(roots.join(merged, F.col("root") == F.col("id"), "left").select("sid", F.coalesce("top", "root").alias("root")))
-        if turn < TURNS:
-            known = salted_join(shared, roots, "sid", F.xxhash64("token")).where("root is not null").withColumnRenamed("root", "g")
-            tried = scratch.step(_likely(known, turn, percent))
-            if tried.isEmpty():
-                break
-
-    # 2. the matrix, of sets that share a token outside their own group
-    placed = salted_join(shared.select("token", "sid", "n").distinct(), roots, "sid", F.xxhash64("token")).select("token", "sid", "n", F.coalesce("root", "sid").alias("g"))
-    mixed = placed.groupBy("token").agg(F.min("g").alias("g0"), F.max("g").alias("g1")).where("g0 != g1").select("token")
+    """((_key, n, sid) of every row, (sid, root) of the sets that share a token with another one)."""
+    rows = _ordered_sets(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), k, percent, scratch)
+    shared = scratch.keep(_shared(rows, percent), "shared")
+    roots = scratch.step(shared.select("sid").distinct().select("sid", F.col("sid").alias("root"), F.lit(1).cast("long").alias("size")))
+    similar = []
+    for turn in range(TURNS):
+        known = salted_join(shared, roots, "sid", F.xxhash64("token")).withColumnRenamed("root", "g")
+        tried = scratch.step(_likely(known, turn, percent))
+        compared = scratch.step(_compared(tried, _sets(rows, tried.select("sid").union(tried.select("up"))), percent))
+        similar.append(compared.where("not linked").select("a", "b"))
+        edges = compared.where("linked")
+        if edges.isEmpty():
+            break
+        roots = _grown(roots, edges, scratch)
+    groups = roots.select("sid", F.col("root").alias("c"), F.col("root").alias("g"))
+    of = lambda c: salted_join(pairs, roots.select(F.col("sid").alias(c), F.col("root").alias(f"r{c}")), c, F.xxhash64("a", "b"))
+    pairs = reduce(DataFrame.unionByName, similar) if similar else None
+    if pairs is not None:
+        pairs = of("a")
+        pairs = scratch.step(of("b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a <> b").distinct())
+        if not pairs.isEmpty():
+            alike = components(pairs, scratch).select(F.col("id").alias("c"), F.col("root").alias("top"))
+            groups = scratch.step(salted_join(groups, alike, "c", F.xxhash64("sid")).select("sid", "c", F.coalesce("top", "c").alias("g")))
+    placed = salted_join(shared.select("token", "sid", "n"), groups, "sid", F.xxhash64("token"))
+    mixed = placed.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("token")
     crossing = scratch.keep(placed.join(mixed, "token", "left_semi"), "crossing")
     if not crossing.isEmpty():
-        counts = crossing.select("g", "sid").distinct().groupBy("g").count().select("g", F.ceil(F.col("count") / GROUP).alias("parts"))
-        dealt = salted_join(crossing, counts, "g", F.xxhash64("sid", "token")).withColumn("part", F.xxhash64("g", F.pmod(F.xxhash64("sid"), F.col("parts"))))
-        matrix = dealt.groupBy("token", "g", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-        q, n = F.col("q.n"), percent / 100
-        hits = crossing.alias("q").join(matrix.alias("m"), F.col("q.token") == F.col("m.token")).where(
-            (F.col("q.g") > F.col("m.g")) & (F.col("m.low") * n <= q + 1e-9) & (F.col("m.high") >= q * n - 1e-9))
-        hits = hits.groupBy(F.col("q.sid").alias("sid"), q.alias("n"), F.col("m.part").alias("part")).agg(
-            F.count("*").alias("c"), F.min("m.low").alias("low"), F.max("m.high").alias("high"))
-        ready = scratch.step(hits.where(F.col("c") >= _least_need(F.col("n"), F.col("low"), F.col("high"), percent)).select("sid", "part"))
-        # 3. opening
-        if not ready.isEmpty():
-            inside = dealt.select("part", "sid").distinct()
-            tasks = ready.groupBy("part").count().select("part", F.ceil(F.col("count") / QUERIES).alias("deals"))
-            found = scratch.keep(_sets(docs, text, k, ready.select("sid").union(inside.join(tasks, "part", "left_semi").select("sid"))), "opened")
-            asked = salted_join(ready, tasks, "part", F.xxhash64("sid")).withColumn("deal", F.pmod(F.xxhash64("sid"), F.col("deals"))).join(found, "sid")
-            members = inside.join(tasks, "part").join(found, "sid").withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1)))
-            fresh = lambda df: df.select(*(F.col(c).alias(c) for c in ("part", "deal", "sid", "tokens")))  # noqa: E731  both sides read one table
-            extra = _opened(fresh(asked), fresh(members), percent)
-            named = lambda c: roots.select(F.col("sid").alias(c), F.col("root").alias(f"r{c}"))
-            over = scratch.step(extra.join(named("a"), "a", "left").join(named("b"), "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct())
-            if not over.isEmpty():
-                merged = components(over, scratch)
-                up = roots.union(roots.select(F.col("root").alias("sid"), "root")).union(over.select(F.col("a").alias("sid"), F.col("a").alias("root"))).union(
-                    over.select(F.col("b").alias("sid"), F.col("b").alias("root"))).distinct()
-                roots = scratch.step(up.join(merged.withColumnRenamed("root", "top"), F.col("root") == F.col("id"), "left").select("sid", F.coalesce("top", "root").alias("root")))
-    return rows.select(key, "n", "sid"), roots
+        edges = _matrix_links(rows, crossing, scratch, percent)
+        if edges is not None:
+            roots = _grown(roots, edges, scratch)
+    return rows.select("_key", "n", "sid"), roots.select("sid", "root")
 
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id): the least key reachable by links."""
     with Scratch(docs.sparkSession) as scratch:
         rows, roots = links(docs, scratch, key, text, k, percent)
-        sets = rows.where("sid is not null").groupBy("sid").agg(F.min(key).alias("least"))
+        sets = rows.where("sid is not null").groupBy("sid").agg(F.min("_key").alias("least"))
         tops = sets.join(roots, "sid", "left").withColumn("top", F.coalesce("root", "sid"))
         least = tops.groupBy("top").agg(F.min("least").alias("component_id"))
-        by_set = cut(salted_join(tops.select("sid", "top"), least, "top", F.col("sid")).select("sid", "component_id"))
-        out = salted_join(rows, by_set, "sid", F.xxhash64(key))
-        return cut(out.select(key, F.col("n").alias("n_shingles"), F.coalesce("component_id", key).alias("component_id")))
+        by_set = scratch.step(salted_join(tops.select("sid", "top"), least, "top", F.col("sid")).select("sid", "component_id"))
+        out = salted_join(rows, by_set, "sid", F.xxhash64("_key"))
+        return cut(out.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "_key").alias("component_id")))
