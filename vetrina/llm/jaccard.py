@@ -321,15 +321,17 @@ def _ready(crossing: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
     """(ask, part): pairs of parts that can hold a link between components; the smaller one asks."""
     facts = dealt.groupBy("part").agg(F.count("*").alias("m"), F.collect_set("n").alias("sizes"), F.min("n").alias("low"), F.max("n").alias("high"),
                                       F.min("c").alias("c0"), F.max("c").alias("c1"))  # of about GROUP sets
-    matrix = crossing.select("token", "sid").join(dealt.select("sid", "part"), "sid").select("token", "part").distinct()
-    shared = matrix.alias("x").join(matrix.alias("y"), "token").where("x.part < y.part").groupBy(
+    matrix = crossing.select("token", "sid").join(dealt.select("sid", "part", "n"), "sid").groupBy("token", "part").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    can = f"x.part < y.part and {percent} * x.low <= 100 * y.high and {percent} * y.low <= 100 * x.high"
+    shared = matrix.alias("x").join(matrix.alias("y"), "token").where(can).groupBy(
         F.col("x.part").alias("p"), F.col("y.part").alias("q")).agg(F.count("*").alias("both"))
     side = lambda name: facts.select(F.col("part").alias(name), F.struct("m", "sizes", "low", "high", "c0", "c1").alias(f"f{name}"))
     pairs = shared.join(side("p"), "p").join(side("q"), "q").where("fp.c0 <> fp.c1 or fq.c0 <> fq.c1 or fp.c0 <> fq.c0")
     asks = F.when(F.col("fp.m") <= F.col("fq.m"), F.struct(F.col("p").alias("ask"), F.col("q").alias("part"), F.col("fp").alias("fa"), F.col("fq").alias("fo"))).otherwise(
         F.struct(F.col("q").alias("ask"), F.col("p").alias("part"), F.col("fq").alias("fa"), F.col("fp").alias("fo")))
     asked = pairs.select("both", asks.alias("x")).select("both", "x.*")
-    need = F.array_min(F.transform("fa.sizes", lambda n: _least_need(n, F.col("fo.low"), F.col("fo.high"), percent)))
+    fit = F.filter("fa.sizes", lambda n: (percent * F.col("fo.low") <= 100 * n) & (percent * n <= 100 * F.col("fo.high")))
+    need = F.array_min(F.transform(fit, lambda n: _least_need(n, F.col("fo.low"), F.col("fo.high"), percent)))
     return asked.where(F.col("both") >= need).select("ask", "part").unionByName(facts.where("c0 <> c1").select(F.col("part").alias("ask"), "part"))
 
 
