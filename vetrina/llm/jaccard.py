@@ -33,7 +33,6 @@ from math import gcd
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,9 +53,12 @@ CLASSES = 8
 POSTING = 20_000
 #: Texts that a task handles at once.
 BLOCK = 256
-#: Share of its prefix that a set has in common with another one for the two to be compared at once, with how many at most, and
-#: how often; from which similarity on they are in one group. This only forms the groups: what it leaves out is found by the matrix.
-TRY_SHARE, TRIES, TURNS, SIMILAR = 0.3, 3, 2, 50
+#: Share of its sketch that a set has in common with another one for the two to be compared at once, and for them to be in one
+#: group; with how many at most, and how often; from which similarity on compared ones are in one group. This only forms the
+#: groups: what it leaves out is found by the matrix.
+TRY_SHARE, GROUP_SHARE, TRIES, TURNS, SIMILAR = 0.3, 0.12, 3, 2, 50
+#: Tokens of a set's prefix (in expectation, those with the least hashes) that look for other sets to compare.
+SKETCH = 12
 #: Sets first in a posting, and before a set, that it may be compared with.
 HUBS, NEAR = 2, 3
 #: log2 of the bits of the filter on wanted sets: 2 MB.
@@ -145,30 +147,25 @@ def _ordered_sets(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> Da
     """
     shared = docs.sparkSession.sparkContext.broadcast(_frequent(docs, k, scratch))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ordered(s: np.ndarray, sid: int) -> tuple[np.ndarray, np.ndarray | None]:
         tokens, counts = shared.value
+        at = np.minimum(np.searchsorted(tokens, s), max(0, len(tokens) - 1))
+        n = np.where(tokens[at] == s, counts[at], 0) if len(tokens) else np.zeros(len(s), dtype=np.int64)
+        if not n.any():
+            return s, None
+        order = np.lexsort((s, n))
+        parts = n[order][: prefix_size(len(s), percent)] // POSTING + 1
+        return s[order], np.where(parts > 1, sid % parts, -1).astype(np.int32) if parts[-1] > 1 else None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         done: set[int] = set()
-        for x in batches:
+        for x in (b.iloc[i : i + BLOCK] for b in batches for i in range(0, len(b), BLOCK)):
             rows = []
             for s in shingle_sets(x["_text"], k):
-                if not len(s):
-                    rows.append((0, None, None, None))
-                    continue
-                sid, salts = _set_id(s), None
-                if sid in done:
-                    rows.append((len(s), sid, None, None))
-                    continue
+                sid = _set_id(s) if len(s) else None
+                rows.append((len(s), sid, *(ordered(s, sid) if sid is not None and sid not in done else (None, None))))
                 done.add(sid)
-                if len(tokens):
-                    at = np.minimum(np.searchsorted(tokens, s), len(tokens) - 1)
-                    n = np.where(tokens[at] == s, counts[at], 0)
-                    if n.any():
-                        order = np.lexsort((s, n))
-                        s, parts = s[order], n[order][: prefix_size(len(s), percent)] // POSTING + 1
-                        if parts[-1] > 1:
-                            salts = np.where(parts > 1, sid % parts, -1).astype(np.int32)
-                rows.append((len(s), sid, s, salts))
-            yield pd.DataFrame({"_key": x["_key"], "n": [r[0] for r in rows], "sid": pd.array([r[1] for r in rows], dtype="Int64"),
+            yield pd.DataFrame({"_key": x["_key"].array, "n": [r[0] for r in rows], "sid": pd.array([r[1] for r in rows], dtype="Int64"),
                                 "tokens": pd.Series([r[2] for r in rows], dtype=object), "salts": pd.Series([r[3] for r in rows], dtype=object)})
 
     kind = dict(docs.dtypes)["_key"]
@@ -176,20 +173,12 @@ def _ordered_sets(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> Da
 
 
 def _sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(sid, tokens) of the wanted sets and, as the filter is hashed, a few more."""
+    """(sid, tokens) of the wanted sets and, as the filter is hashed, a few more: a join would move all tokens."""
     bits = wanted.select(F.expr(f"sid & {(1 << FILTER) - 1}").alias("b")).groupBy(F.expr("b div 64").alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("m")).toPandas()  # at most 2^FILTER / 64 rows
-    field = np.zeros((1 << FILTER) // 64, dtype=np.int64)
-    field[bits["w"].to_numpy(np.int64)] = bits["m"].to_numpy(np.int64)
-    shared = rows.sparkSession.sparkContext.broadcast(field)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = shared.value
-        for x in batches:
-            b = x.column("sid").to_numpy(zero_copy_only=False) & ((1 << FILTER) - 1)
-            yield x.filter(pa.array((f[b >> 6] >> (b & 63) & 1).astype(bool)))
-
-    return rows.where("tokens is not null").select("sid", "tokens").mapInArrow(run, "sid long, tokens array<long>").dropDuplicates(["sid"])
+        F.bit_or(F.expr("shiftleft(1L, cast(b % 64 as int))")).alias("m"))
+    placed = rows.where("tokens is not null").select("sid", "tokens", F.expr(f"(sid & {(1 << FILTER) - 1}) div 64").alias("w"))
+    hit = placed.join(F.broadcast(bits), "w").where("shiftright(m, cast(sid & 63 as int)) & 1 = 1")  # at most 2^FILTER / 64 rows are broadcast
+    return hit.select("sid", "tokens").dropDuplicates(["sid"])
 
 
 def _shared(rows: DataFrame, percent: int) -> DataFrame:
@@ -206,7 +195,7 @@ def _shared(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _likely(rows: DataFrame, turn: int, percent: int) -> DataFrame:
-    """(sid, up, g, h): for each set up to TRIES sets of other components that share much of its prefix with it.
+    """(sid, up, g, h, close): for each set up to TRIES sets of other components that share some of its prefix with it, or much.
 
     rows: (token, salt, sid, n, g, size). In each posting a set looks at the first ones, which are of the largest component from
     the second turn on, and at some before it. Links share most of their prefixes; what shares little is left to the matrix.
@@ -214,12 +203,14 @@ def _likely(rows: DataFrame, turn: int, percent: int) -> DataFrame:
     order = ("n", "sid") if not turn else (F.desc("size"), F.xxhash64("sid", F.lit(turn)), "sid")
     w = Window.partitionBy("token", "salt").orderBy(*order)
     looks = [F.nth_value("me", i).over(w) for i in range(1, HUBS + 1)] + [F.lag("me", i).over(w) for i in range(1, NEAR + 1)]
-    placed = rows.withColumn("me", F.struct("n", "sid", "g")).select("sid", "n", "g", *(x.alias(f"p{i}") for i, x in enumerate(looks)))
+    hashed = F.expr("cast(xxhash64(token) & 1048575 as double) / 1048576") < F.lit(SKETCH) / _prefix(percent)
+    placed = rows.where(hashed).withColumn("me", F.struct("n", "sid", "g")).select("sid", "n", "g", *(x.alias(f"p{i}") for i, x in enumerate(looks)))
     tries = placed.select("sid", "n", "g", F.explode(F.array_distinct(F.array_compact(F.array(*(f"p{i}" for i in range(len(looks))))))).alias("up")).where(
         (F.col("up.g") != F.col("g")) & (100 * F.least("n", "up.n") >= percent * F.greatest("n", "up.n")))
-    likely = tries.groupBy("sid", "n", "g", "up").count().where(F.col("count") >= TRY_SHARE * _prefix(percent))
+    likely = tries.groupBy("sid", "n", "g", "up").count().where(F.col("count") >= GROUP_SHARE * F.least(F.lit(SKETCH), _prefix(percent)))
     best = Window.partitionBy("sid").orderBy(F.desc("count"), "up")  # of one set's prefix
-    return likely.withColumn("i", F.row_number().over(best)).where(F.col("i") <= TRIES).select("sid", F.col("up.sid").alias("up"), "g", F.col("up.g").alias("h"))
+    return likely.withColumn("i", F.row_number().over(best)).where(F.col("i") <= TRIES).select(
+        "sid", F.col("up.sid").alias("up"), "g", F.col("up.g").alias("h"), (F.col("count") >= TRY_SHARE * F.least(F.lit(SKETCH), _prefix(percent))).alias("close"))
 
 
 def _compared(tried: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -274,10 +265,10 @@ def _least_need(n: Column, low: Column, high: Column, percent: int) -> Column:
 
 
 def _grown(roots: DataFrame, edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """roots (sid, root, size) after the links (a, b) between roots."""
+    """roots (sid, n, root, size) after the links (a, b) between roots."""
     merged = components(edges, scratch).select(F.col("id").alias("root"), F.col("root").alias("top"))
-    new = scratch.step(salted_join(roots.select("sid", "root"), merged, "root", F.xxhash64("sid")).select("sid", F.coalesce("top", "root").alias("root")))
-    return scratch.step(salted_join(new, new.groupBy("root").agg(F.count("*").alias("size")), "root", F.xxhash64("sid")).select("sid", "root", "size"))
+    new = scratch.step(salted_join(roots.drop("size"), merged, "root", F.xxhash64("sid")).select("sid", "n", F.coalesce("top", "root").alias("root")))
+    return scratch.step(salted_join(new, new.groupBy("root").agg(F.count("*").alias("size")), "root", F.xxhash64("sid")).select("sid", "n", "root", "size"))
 
 
 def _opened(queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -306,9 +297,9 @@ def _opened(queries: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return queries.groupBy("part", "deal").cogroup(members.groupBy("part", "deal")).applyInPandas(run, "a long, b long")
 
 
-def _dealt(crossing: DataFrame, scratch: Scratch) -> DataFrame:
-    """(sid, n, c, part): the sets of the matrix, dealt into parts of their groups."""
-    members = scratch.step(crossing.select("sid", "n", "c", "g").distinct())
+def _dealt(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """(sid, n, c, part): the sets (sid, n, c, g) of the matrix, dealt into parts of their groups."""
+    members = scratch.step(members)
     by_comp = members.groupBy("g", "c").agg(F.count("*").alias("m"))
     rest = by_comp.where(F.col("m") <= GROUP).groupBy("g").agg(F.sum("m").alias("rest"))
     parts = salted_join(by_comp, rest, "g", F.xxhash64("c")).select(
@@ -335,9 +326,9 @@ def _ready(crossing: DataFrame, dealt: DataFrame, percent: int) -> DataFrame:
     return asked.where(F.col("both") >= need).select("ask", "part").unionByName(facts.where("c0 <> c1").select(F.col("part").alias("ask"), "part"))
 
 
-def _matrix_links(rows: DataFrame, crossing: DataFrame, scratch: Scratch, percent: int) -> DataFrame | None:
+def _matrix_links(rows: DataFrame, crossing: DataFrame, groups: DataFrame, scratch: Scratch, percent: int) -> DataFrame | None:
     """(a, b): the links between components that are left."""
-    dealt = _dealt(crossing, scratch)
+    dealt = _dealt(groups.join(crossing.select("sid").distinct(), "sid", "left_semi"), scratch)
     ready = scratch.step(_ready(crossing, dealt, percent))
     if ready.isEmpty():
         return None
@@ -358,18 +349,19 @@ def links(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
     """((_key, n, sid) of every row, (sid, root) of the sets that share a token with another one)."""
     rows = _ordered_sets(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), k, percent, scratch)
     shared = scratch.keep(_shared(rows, percent), "shared")
-    roots = scratch.step(shared.select("sid").distinct().select("sid", F.col("sid").alias("root"), F.lit(1).cast("long").alias("size")))
+    roots = scratch.step(shared.select("sid", "n").distinct().select("sid", "n", F.col("sid").alias("root"), F.lit(1).cast("long").alias("size")))
     similar = []
     for turn in range(TURNS):
-        known = salted_join(shared, roots, "sid", F.xxhash64("token")).withColumnRenamed("root", "g")
+        known = salted_join(shared, roots.drop("n"), "sid", F.xxhash64("token")).withColumnRenamed("root", "g")
         tried = scratch.step(_likely(known, turn, percent))
-        compared = scratch.step(_compared(tried, _sets(rows, tried.select("sid").union(tried.select("up"))), percent))
-        similar.append(compared.where("not linked").select("a", "b"))
+        close = tried.where("close")
+        compared = scratch.step(_compared(close, _sets(rows, close.select("sid").union(close.select("up"))), percent))
+        similar += [compared.where("not linked").select("a", "b"), tried.where("not close").select(F.col("g").alias("a"), F.col("h").alias("b"))]
         edges = compared.where("linked")
         if edges.isEmpty():
             break
         roots = _grown(roots, edges, scratch)
-    groups = roots.select("sid", F.col("root").alias("c"), F.col("root").alias("g"))
+    groups = roots.select("sid", "n", F.col("root").alias("c"), F.col("root").alias("g"))
     of = lambda c: salted_join(pairs, roots.select(F.col("sid").alias(c), F.col("root").alias(f"r{c}")), c, F.xxhash64("a", "b"))
     pairs = reduce(DataFrame.unionByName, similar) if similar else None
     if pairs is not None:
@@ -377,12 +369,12 @@ def links(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
         pairs = scratch.step(of("b").select(F.col("ra").alias("a"), F.col("rb").alias("b")).where("a <> b").distinct())
         if not pairs.isEmpty():
             alike = components(pairs, scratch).select(F.col("id").alias("c"), F.col("root").alias("top"))
-            groups = scratch.step(salted_join(groups, alike, "c", F.xxhash64("sid")).select("sid", "c", F.coalesce("top", "c").alias("g")))
-    placed = salted_join(shared.select("token", "sid", "n"), groups, "sid", F.xxhash64("token"))
+            groups = scratch.step(salted_join(groups, alike, "c", F.xxhash64("sid")).select("sid", "n", "c", F.coalesce("top", "c").alias("g")))
+    placed = salted_join(shared.select("token", "sid"), groups.select("sid", "c"), "sid", F.xxhash64("token"))
     mixed = placed.groupBy("token").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("token")
-    crossing = scratch.keep(placed.join(mixed, "token", "left_semi"), "crossing")
+    crossing = scratch.keep(placed.select("token", "sid").join(mixed, "token", "left_semi"), "crossing")
     if not crossing.isEmpty():
-        edges = _matrix_links(rows, crossing, scratch, percent)
+        edges = _matrix_links(rows, crossing, groups, scratch, percent)
         if edges is not None:
             roots = _grown(roots, edges, scratch)
     return rows.select("_key", "n", "sid"), roots.select("sid", "root")
