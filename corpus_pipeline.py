@@ -23,28 +23,37 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of line runs of 50 words and more go; so does a document of which no word is left."""
-    out = line_dedup.dedup(docs)
-    blank = F.trim(F.col("text"), F.lit(BLANKS)) == ""
-    return out.where(~((F.col("n_removed") > 0) & blank)).withColumn(
-        "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    name = "line_dedup" + "_" * max((len(c) for c in docs.columns), default=0)  # a column that the documents haven't
+    out = line_dedup.dedup(docs, out=name)
+    changed, blank = F.col(name)["n_removed"] > 0, F.trim(F.col("text"), F.lit(BLANKS)) == ""
+    return out.where(~(changed & blank)).withColumn(
+        "n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+
+
+def _named(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a fingerprint of id and text in a column that they haven't: ids may be null or repeat with other texts."""
+    name = "row_id" + "_" * max((len(c) for c in docs.columns), default=0)
+    return docs.withColumn(name, F.xxhash64("doc_id", "text")), name
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of the documents linked by a Jaccard similarity of 0.8 the one with the least doc_id stays, once."""
-    found = jaccard.classes(docs)
-    extra = found.where("component_id <> doc_id").select("doc_id").distinct()
-    twice = found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    single = docs.join(extra, "doc_id", "left_anti")
-    if twice.isEmpty():
-        return single
-    again = single.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return single.join(twice, "doc_id", "left_anti").unionByName(again)
+    rows, row = _named(docs)
+    found = jaccard.classes(rows, key=row)
+    best = found.join(rows.select("doc_id", row).distinct(), row).groupBy("component_id").agg(F.min(F.struct("doc_id", row)).alias("best"))
+    single = rows.join(best.select(F.col("best")[row].alias(row)), row, "left_semi")
+    twice = found.where("n_shingles > 0").groupBy(row).count().where("count > 1").select(row)
+    if not twice.isEmpty():
+        again = single.join(twice, row, "left_semi").dropDuplicates([row])
+        single = single.join(twice, row, "left_anti").unionByName(again)
+    return single.select(*docs.columns)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Contaminated documents go."""
-    found = decontamination.report(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti")
+    rows, row = _named(docs)
+    found = decontamination.report(rows, table(spark, sf_dir, "benchmark"), key=row).where("contaminated").select(row).distinct()
+    return rows.join(found, row, "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -318,14 +319,27 @@ def test_line_dedup(spark):
     r = random.Random(3)
     pool = [words(r.choice([1, 2, 3, 5]), i) for i in range(8)] + [""]
     texts = [None, "", *("\n".join(r.choice(pool) for _ in range(r.randrange(12))) for _ in range(40))]
-    out = line_dedup.dedup(docs(spark, texts).withColumn("d", F.lit(1)), 5).orderBy("doc_id").collect()
+    clash = {c: F.lit(f"own {c}") for c in ("d", "k", "u", "at", "row", "x", "removed", "n_lines", "_d", "_key", "line_dedup")}
+    out = line_dedup.dedup(docs(spark, texts).withColumns(clash), 5).orderBy("doc_id").collect()
     want = brute_lines(texts, 5)
+    assert {(r.removed, r.n_lines, r._d, r.row) for r in out} == {("own removed", "own n_lines", "own _d", "own row")}
     for row, t in zip(out, texts):
-        assert set(row.removed) == want.get(row.doc_id, set()), row.doc_id
+        assert set(row.line_dedup.removed) == want.get(row.doc_id, set()), row.doc_id
         assert row.text == (None if t is None else "\n".join(x for p, x in enumerate(t.split("\n")) if p not in want.get(row.doc_id, set())))
     assert line_dedup.dedup(docs(spark, EMPTY)).count() == 0
     twice = docs(spark, [words(60)]).union(docs(spark, [words(60)]))
-    assert {r.n_removed for r in line_dedup.dedup(twice).collect()} == {0}
+    assert {r.line_dedup.n_removed for r in line_dedup.dedup(twice).collect()} == {0}
+    unkeyed = twice.selectExpr("if(doc_id = 0, null, 'b') as key", "text").union(docs(spark, [words(60) + "\nx"]).selectExpr("'b'", "text"))
+    assert sorted((r.key or "", r.line_dedup.n_removed) for r in line_dedup.dedup(unkeyed, key="key").collect()) == [("", 0), ("", 0), ("b", 1)]
+
+
+def test_line_dedup_of_one_long_text(spark):
+    """100,000 lines, in seconds: what a text costs grows with its lines."""
+    block = [f"line {i} of the block has just eight words" for i in range(50_000)]
+    began = time.time()
+    x = line_dedup.dedup(docs(spark, ["\n".join(block + block), "\n".join(block[:7])])).orderBy("doc_id").collect()
+    assert [r.line_dedup.n_removed for r in x] == [50_000, 7] and x[0].text == "\n".join(block)
+    assert time.time() - began < 90
 
 
 # PII
