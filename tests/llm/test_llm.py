@@ -364,6 +364,27 @@ def test_pii_base_spans_stay(spark):
     assert pii.digest(docs(spark, EMPTY)).count() == 0
 
 
+def test_pii_spans_of_long_texts(spark):
+    """As many matches, and as long runs, as a text may have, in seconds; matches that follow each other without a gap."""
+    touching = "a@b.c_x@d.e 1.2.3.4.5.6.7.8 %q@r.s%t@u.v"
+    many, run = " ".join(f"u{i}@h.org" for i in range(100_000)), "z" * 1_000_000
+    texts = [touching, many, "a@" + run, run + "@" + run + ".de", "7" * 200_000 + ".1.1.1", "7." * 100_000]
+    began = time.time()
+    for r, t in zip(docs(spark, texts).select("doc_id", *(x.alias(k) for x, k in zip(pii.base_spans(F.col("text")), pii.KINDS))).orderBy("doc_id").collect(), texts):
+        want = base_pii(t) if t in (touching, many) else None
+        got = [(k, x.s, x.e) for k in pii.KINDS for x in r[k]]
+        assert want is None or got == want
+        if t is texts[3]:
+            assert got == [("email", 0, len(t))]
+    assert time.time() - began < 100
+
+
+def test_pii_redacts_rows_that_share_an_id(spark):
+    df = spark.createDataFrame([(1, "mail a@b.cd now", "own"), (1, "or call +1 555 010 9999 now", "own"), (None, "x@y.zz", "own"), (1, "mail a@b.cd now", "own")], "doc_id long, text string, spans string")
+    found = pii.redact(df).collect()
+    assert sorted(r.text for r in found) == ["<EMAIL>", "mail <EMAIL> now", "mail <EMAIL> now", "or call <PHONE> now"] and {r.spans for r in found} == {"own"}
+
+
 def test_pii_redaction(spark, table):
     out = {r.doc_id: r.text for r in pii.redact(docs(spark, ["mail a@b.cd now", "none", None])).collect()}
     assert out == {0: "mail <EMAIL> now", 1: "none", 2: None}

@@ -80,21 +80,29 @@ def no_spans() -> Column:
     return F.expr("cast(array() as array<struct<s:bigint,e:bigint,m:string>>)")
 
 
+#: Lengths that are summed up at once to place the matches in a text.
+RUN = 256
+
+
+def _sum(lengths: Column, start: Column | int, n: Column | int) -> Column:
+    return F.aggregate(F.slice(lengths, start, n), F.lit(0).cast("long"), lambda a, x: a + x)
+
+
 def spans_of(text: Column, pattern: str, group: int = 0) -> Column:
     """Leftmost non-overlapping matches as array<struct<s, e, m>>, in code points, end exclusive; m is the group.
 
-    pattern must not match the empty string: the texts between the matches then give the offsets.
+    pattern must not match the empty string: the texts between the matches then give the offsets. These are sums over all
+    matches before, in two steps: of whole runs of matches, and within a run.
     """
     def placed(x: Column) -> Column:
-        at = lambda acc, i: acc["at"] + F.length(F.get(x["between"], i))
-        grown = lambda acc, i: at(acc, i) + F.length(F.get(x["found"], i))
-        return F.aggregate(
-            F.sequence(F.lit(0), F.size(x["found"]) - 1),
-            F.struct(F.lit(0).cast("long").alias("at"), no_spans().alias("out")),
-            lambda acc, i: F.struct(
-                grown(acc, i).alias("at"),
-                F.array_append(acc["out"], F.struct(at(acc, i).alias("s"), grown(acc, i).alias("e"), F.get(x["part"], i).alias("m"))).alias("out")),
-            lambda acc: acc["out"])
+        lengths = F.transform(x["found"], lambda f, i: (F.length(f) + F.length(F.get(x["between"], i))).cast("long"))
+        return let(lengths, lambda ls: let(_bases(ls), lambda bases: F.transform(x["found"], lambda f, i: let(
+            F.get(bases, F.floor(i / RUN).cast("int")) + _sum(ls, i - i % RUN + 1, i % RUN + 1), lambda e: F.struct(
+                (e - F.length(f)).alias("s"), e.alias("e"), F.get(x["part"], i).alias("m"))))))
+
+    def _bases(ls: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(ls) - 1, F.lit(RUN))
+        return let(F.transform(starts, lambda at: _sum(ls, at + 1, F.lit(RUN))), lambda sums: F.transform(starts, lambda _, k: _sum(sums, F.lit(1), k)))
 
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vetrina.llm.common import cut, let, lower_ascii
+from vetrina.llm.url_filter import salted_join
 
 WINDOW = 13
 ANCHORS = 2
@@ -34,9 +35,13 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), GAP), lambda w: w != "")
 
 
+def _fits(df: DataFrame) -> bool:
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def _small(df: DataFrame) -> DataFrame:
     """df, broadcast if a count says that it may be."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if _fits(df) else df
 
 
 def windows(items: DataFrame, size: int = WINDOW, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -49,7 +54,9 @@ def windows(items: DataFrame, size: int = WINDOW, key: str = "item_id", text: st
 
 def term_counts(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """(term, n): occurrences in the corpus of the terms listed."""
-    seen = docs.select(F.explode(words_of(F.col(text))).alias("term")).join(_small(terms), "term").groupBy("term").count()
+    words = docs.select(F.explode(words_of(F.col(text))).alias("term"))
+    # where the terms can't be broadcast, the words are counted before they are moved
+    seen = words.join(F.broadcast(terms), "term").groupBy("term").count() if _fits(terms) else words.groupBy("term").count()
     return terms.join(seen, "term", "left").select("term", F.coalesce("count", F.lit(0)).alias("n"))
 
 
@@ -63,7 +70,10 @@ def anchors(wins: DataFrame, counts: DataFrame, n: int = ANCHORS) -> DataFrame:
 
 def postings(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The index: (key, pos, columns of terms) for each place of a listed term."""
-    return docs.select(F.col(key), F.posexplode(words_of(F.col(text))).alias("pos", "term")).join(_small(terms), "term")
+    words = docs.select(F.col(key), F.posexplode(words_of(F.col(text))).alias("pos", "term"))
+    if _fits(terms):
+        return words.join(F.broadcast(terms), "term")
+    return salted_join(words, terms, "term", F.xxhash64(key, "pos")).where("wid is not null")
 
 
 def phrase_starts(docs: DataFrame, wins: DataFrame, slack: int = SLACK, key: str = "doc_id", text: str = "text") -> DataFrame:
