@@ -11,6 +11,7 @@ import __spark_entry__ as entry
 from vetrina.operators import lifecycle as L
 from vetrina.operators import model_io as M
 from vetrina.plans import profiles as P
+from vetrina.plans import reports as R
 from vetrina.plans import velocity as V
 from vetrina.queries import stream
 from vetrina.sources import sinks, text
@@ -111,3 +112,20 @@ def test_stream_of_a_hot_key_in_many_files(spark, tmp_path, monkeypatch):
     assert len(files) == 2 * -(-6003 // 1000) and max(x["count"] for x in files) < 1000
     hot = spark.read.parquet(seen[0]).selectExpr("user_id as id", "ts", "event_id as seq", "event_type = 'error' as failed")
     assert J._summaries(hot, 600).where("id = 0").count() <= 40_000 // 600 + 2
+
+
+def test_brands_without_stopwords_and_in_latin_letters(spark):
+    rows = spark.createDataFrame([("k", 5.0, "Новый Ленд Ровер для BOSCH"), ("k", 3.0, "land new rover"), ("none", 1.0, "для the")], "key string, price double, text string")
+    brands = spark.createDataFrame([("lend rover",), ("land rover",), ("bosch",), ("the",)], "brand string")
+    assert [tuple(r) for r in P.brand_tokens(rows, brands).collect()] == [("k", 3.0, "bosch, land rover, lend rover")]
+    assert P.latin(F.lit("щюжя")) is not None and spark.range(1).select(P.latin(F.lit("щюжья"))).first()[0] == "schyuzhya"
+
+
+def test_counts_of_guarded_updates_and_agreement(spark):
+    after = L.guarded_update(spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "id long, value string"),
+                             spark.createDataFrame([(1, "a", "z"), (2, "a", "z")], "id long, expected string, new string"))
+    assert tuple(L.update_counts(after).first()) == (1, 1)
+    runs = spark.createDataFrame([(1, True), (2, False), (3, None)], "id long, v boolean")
+    other = spark.createDataFrame([(1, True), (2, True), (3, True), (4, True)], "id long, v boolean")
+    assert tuple(R.agreement_rate(R.agreement(runs, other, "id", "v")).first()) == (1, 2, 50.0)
+    assert tuple(R.agreement_rate(R.agreement(runs.limit(0), other, "id", "v")).first()) == (0, 0, None)

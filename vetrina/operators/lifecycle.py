@@ -31,6 +31,11 @@ def guarded_update(snapshot: DataFrame, requests: DataFrame) -> DataFrame:
     return snapshot.join(requests, "id", "left").select("id", F.when(ok, F.col("new")).otherwise(F.col("value")).alias("value"), F.when(F.col("expected").isNotNull(), ok).alias("applied"))
 
 
+def update_counts(after: DataFrame) -> DataFrame:
+    """One row: requests of guarded_update() that were applied, and those skipped as the state was another."""
+    return after.agg(F.count_if("applied").alias("applied"), F.count_if(~F.col("applied")).alias("skipped"))
+
+
 def oldest_pending(tasks: DataFrame, parents: DataFrame, n: int) -> DataFrame:
     return tasks.where("status = 'pending'").join(parents, "key", "left_semi").orderBy("heartbeat_at", "task_id").limit(n)
 

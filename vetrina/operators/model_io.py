@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from vetrina.operators.stages import cap_per_key
 
+#: Which noise around an answer is cut off, and how broken answers are read.
 THINK = "(?s)<think>.*?</think>"
+OBJECT = r'(?s)\{[^{}]*"passed_ids"[^{}]*\{.*?\}.*?\}'
+ANY_OBJECT = r"(?s)\{.*\}"
+PASSED_LIST = r'(?s)"passed_ids"\s*:\s*\[(.*?)\]'
+QUOTED_ID = r'"(\d+)"'
+REJECTED = r'\{"id"\s*:\s*"(\d+)"\s*,\s*"reason"\s*:\s*"([^"]*)"'
 #: Classes of photos.
 PHOTO_CLASSES = ("new", "used", "catalog")
 _ANSWER = "passed_ids array<string>, rejected array<struct<id:string,reason:string>>"
@@ -36,12 +42,11 @@ def parse_verdicts(answers: DataFrame, asked: DataFrame) -> DataFrame:
     """
     cleaned = F.trim(F.regexp_replace("raw", THINK, ""))
     text = F.when(_valid(F.col("cleaned")), F.col("cleaned")).otherwise(F.coalesce(
-        _found(F.col("cleaned"), r'(?s)\{[^{}]*"passed_ids"[^{}]*\{.*?\}.*?\}'), _found(F.col("cleaned"), r"(?s)\{.*\}"), F.col("cleaned")))
+        _found(F.col("cleaned"), OBJECT), _found(F.col("cleaned"), ANY_OBJECT), F.col("cleaned")))
     read = answers.select("key", "raw", cleaned.alias("cleaned")).withColumn("text", text).withColumn("json", F.when(_valid(F.col("text")), F.from_json("text", _ANSWER)))
     broken = F.col("json").isNull()
-    ids = F.when(broken, F.regexp_extract_all(F.regexp_extract("raw", r'(?s)"passed_ids"\s*:\s*\[(.*?)\]', 1), F.lit(r'"(\d+)"'), F.lit(1))).otherwise(F.col("json.passed_ids"))
-    again = r'\{"id"\s*:\s*"(\d+)"\s*,\s*"reason"\s*:\s*"([^"]*)"'
-    pairs = F.when(broken, F.zip_with(F.regexp_extract_all("raw", F.lit(again), F.lit(1)), F.regexp_extract_all("raw", F.lit(again), F.lit(2)), lambda i, r: F.struct(i.alias("id"), r.alias("reason")))).otherwise(F.col("json.rejected"))
+    ids = F.when(broken, F.regexp_extract_all(F.regexp_extract("raw", PASSED_LIST, 1), F.lit(QUOTED_ID), F.lit(1))).otherwise(F.col("json.passed_ids"))
+    pairs = F.when(broken, F.zip_with(F.regexp_extract_all("raw", F.lit(REJECTED), F.lit(1)), F.regexp_extract_all("raw", F.lit(REJECTED), F.lit(2)), lambda i, r: F.struct(i.alias("id"), r.alias("reason")))).otherwise(F.col("json.rejected"))
     some = lambda a, kind: F.coalesce(a, F.expr(f"cast(array() as {kind})"))
     both = read.select("key", some(ids, "array<string>").alias("ids"), some(pairs, "array<struct<id:string,reason:string>>").alias("pairs"))
     said = F.concat(F.transform("ids", lambda i: F.struct(i.alias("item_id"), F.lit(True).alias("passed"), F.lit(None).cast("string").alias("reason"))),
@@ -80,8 +85,8 @@ def parse_photo_classes(answers: DataFrame) -> DataFrame:
         return F.struct(
             F.get("names", i).alias("name"),
             F.when(~broken & known, hit["status"]).otherwise("error").alias("class"),
-            F.when(broken, "JSON parse error").when(hit.isNull(), "Not in AI response").when(known, F.coalesce(hit["reason"], F.lit(""))).otherwise(
-                F.concat(F.lit("Unknown status: "), F.coalesce(hit["status"], F.lit("None")))).alias("reason"))
+            F.when(broken, "the answer is no JSON").when(hit.isNull(), "not named in the answer").when(known, F.coalesce(hit["reason"], F.lit(""))).otherwise(
+                F.concat(F.lit("no such class: "), F.coalesce(hit["status"], F.lit("None")))).alias("reason"))
 
     return read.select("batch_id", F.explode(F.transform(F.sequence(F.lit(0), F.size("names") - 1), first)).alias("p")).select("batch_id", "p.*")
 

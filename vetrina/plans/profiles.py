@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetrina.config import Config
@@ -30,11 +30,28 @@ def robust_min_price(rows: DataFrame, cfg: Config) -> DataFrame:
     return stats.groupBy("key").agg(F.min(F.when(fence.isNull() | (F.col("price") >= fence), F.col("price"))).alias("robust_min"))
 
 
-def brand_tokens(rows: DataFrame, brands: DataFrame) -> DataFrame:
-    """(key, brands, min_price): dictionary entries of one or two words found in a key's texts; brands (brand) is a dictionary."""
-    words = F.split(F.lower("text"), r"[^\p{L}\p{N}#]+")
+#: Words that never are part of a brand, and Latin forms of Cyrillic letters: one for one, then those of more letters or none.
+BRAND_STOPWORDS = ("for", "the", "and", "new", "original", "для", "новый", "оригинал")
+CYRILLIC, LATIN = "абвгдеёзийклмнопрстуфхыэ", "abvgdeezijklmnoprstufhye"
+LATIN_MORE = (("ж", "zh"), ("ц", "ts"), ("ч", "ch"), ("ш", "sh"), ("щ", "sch"), ("ю", "yu"), ("я", "ya"), ("ъ", ""), ("ь", ""))
+
+
+def latin(text: Column) -> Column:
+    out = F.translate(text, CYRILLIC, LATIN)
+    for a, b in LATIN_MORE:
+        out = F.replace(out, F.lit(a), F.lit(b))
+    return out
+
+
+def brand_tokens(rows: DataFrame, brands: DataFrame, stopwords: tuple[str, ...] = BRAND_STOPWORDS) -> DataFrame:
+    """(key, brands, min_price): dictionary entries of one or two words found in a key's texts; brands (brand) is a dictionary in Latin letters.
+
+    Texts are lower-cased; stop-words go before words are paired; Cyrillic letters become Latin ones.
+    """
+    every = F.split(F.lower("text"), r"[^\p{L}\p{N}#]+")
+    words = F.transform(F.filter(every, lambda w: ~w.isin(*stopwords)) if stopwords else every, latin)
     pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.concat_ws(" ", F.get(words, i), F.get(words, i + 1)))
-    tokens = rows.select("key", "price", F.explode(F.array_distinct(F.concat(words, pairs))).alias("brand"))
+    tokens = rows.select("key", "text").distinct().select("key", F.explode(F.array_distinct(F.concat(words, pairs))).alias("brand"))
     found = tokens.join(brands, "brand").groupBy("key").agg(F.array_join(F.array_sort(F.collect_set("brand")), ", ").alias("brands"))
     return rows.groupBy("key").agg(F.min("price").alias("min_price")).join(found, "key")
 

@@ -69,6 +69,12 @@ def agreement(stored: DataFrame, fresh: DataFrame, key: str, value: str) -> Data
     return both.withColumn("result_changed", F.col("before") != F.col("after"))
 
 
+def agreement_rate(rows: DataFrame) -> DataFrame:
+    """One row: items of agreement() on which the runs matched, those compared, and the rate in percent; items that lack a value are not compared."""
+    same = F.count_if(~F.col("result_changed"))
+    return rows.agg(same.alias("matched"), F.count("result_changed").alias("compared"), F.round(F.try_divide(100 * same, F.count("result_changed")), 1).alias("rate_pct"))
+
+
 def pass_rates(rows: DataFrame, key: str, passed: Column) -> DataFrame:
     """(key, n, n_passed, rate_pct) of each key, and overall with a null key."""
     return rows.rollup(key).agg(F.count("*").alias("n"), F.count_if(passed).alias("n_passed"), F.round(100 * F.count_if(passed) / F.count("*"), 1).alias("rate_pct"))

@@ -35,6 +35,11 @@ def guarded(spark: SparkSession, d: str) -> DataFrame:
     return L.guarded_update(keys.selectExpr("key as id", "state as value"), requests)
 
 
+@query("guarded_update_counts", X.sql(X.KEYS) + "SELECT count(*) FILTER (state = 'NEW') AS applied, count(*) FILTER (state <> 'NEW') AS skipped FROM keys WHERE key::BIGINT % 2 = 0")
+def guarded_counts(spark: SparkSession, d: str) -> DataFrame:
+    return L.update_counts(guarded(spark, d))
+
+
 @query("oldest_pending", X.sql(X.TASKS) + "SELECT task_id, key FROM tasks WHERE status = 'pending' AND key::BIGINT % 2 = 0 ORDER BY heartbeat_at, task_id LIMIT 25")
 def oldest(spark: SparkSession, d: str) -> DataFrame:
     parents = t(spark, d, "customer").where("c_custkey % 2 = 0").selectExpr("cast(c_custkey as string) as key")

@@ -106,8 +106,8 @@ def fallback(spark: SparkSession, d: str) -> DataFrame:
     return M.fallback_verdicts(parse_verdicts(spark, d), second).select("key", "item_id", "passed", "reason")
 
 
-@query("parse_photo_classes", """SELECT o_orderkey AS batch_id, 'a' AS name, CASE o_orderkey % 4 WHEN 3 THEN 'error' ELSE 'new' END AS class, CASE o_orderkey % 4 WHEN 3 THEN 'JSON parse error' ELSE 'r1' END AS reason FROM orders
-  UNION ALL SELECT o_orderkey, 'b', CASE o_orderkey % 4 WHEN 0 THEN 'used' ELSE 'error' END, CASE o_orderkey % 4 WHEN 0 THEN 'r2' WHEN 1 THEN 'Unknown status: odd' WHEN 2 THEN 'Not in AI response' ELSE 'JSON parse error' END FROM orders""")
+@query("parse_photo_classes", """SELECT o_orderkey AS batch_id, 'a' AS name, CASE o_orderkey % 4 WHEN 3 THEN 'error' ELSE 'new' END AS class, CASE o_orderkey % 4 WHEN 3 THEN 'the answer is no JSON' ELSE 'r1' END AS reason FROM orders
+  UNION ALL SELECT o_orderkey, 'b', CASE o_orderkey % 4 WHEN 0 THEN 'used' ELSE 'error' END, CASE o_orderkey % 4 WHEN 0 THEN 'r2' WHEN 1 THEN 'no such class: odd' WHEN 2 THEN 'not named in the answer' ELSE 'the answer is no JSON' END FROM orders""")
 def photos(spark: SparkSession, d: str) -> DataFrame:
     one, two = '{"photo":1,"status":"new","reason":"r1"}', '{"photo":2,"status":"used","reason":"r2"}'
     forms = [f'{{"results":[{one},{two}]}}', f'<think>x</think>{{"results":[{one},{{"photo":2,"status":"odd"}},{two}]}}', f'so: {{"results":[{one}]}} ok', "none"]

@@ -85,10 +85,16 @@ def robust_min(spark: SparkSession, d: str) -> DataFrame:
     return P.robust_min_price(X.listings(spark, d), CFG)
 
 
+_STOP = ", ".join(f"'{w}'" for w in P.BRAND_STOPWORDS)
+_LATIN = f"translate(x, '{P.CYRILLIC}', '{P.LATIN}')"
+for _a, _b in P.LATIN_MORE:
+    _LATIN = f"replace({_LATIN}, '{_a}', '{_b}')"
+
+
 @query("brand_tokens", """WITH r AS (SELECT l_partkey AS key, l_extendedprice AS price, lower(concat_ws(' ', p_name, p_brand)) AS text FROM lineitem JOIN part ON l_partkey = p_partkey),
   b AS (SELECT DISTINCT lower(p_brand) AS brand FROM part UNION SELECT DISTINCT lower(p_name) FROM part WHERE p_size < 10),
-  k AS (SELECT DISTINCT key, unnest(list_distinct(list_concat(regexp_split_to_array(text, '[^\\p{L}\\p{N}#]+'), list_transform(generate_series(1, len(regexp_split_to_array(text, '[^\\p{L}\\p{N}#]+'))), lambda i:
-    concat_ws(' ', regexp_split_to_array(text, '[^\\p{L}\\p{N}#]+')[i], regexp_split_to_array(text, '[^\\p{L}\\p{N}#]+')[i + 1]))))) AS brand FROM r)
+  w AS (SELECT key, list_transform(list_filter(regexp_split_to_array(text, '[^\\p{L}\\p{N}#]+'), lambda x: x NOT IN (""" + _STOP + """)), lambda x: """ + _LATIN + """) AS ws FROM (SELECT DISTINCT key, text FROM r)),
+  k AS (SELECT DISTINCT key, unnest(list_distinct(list_concat(ws, list_transform(generate_series(1, len(ws)), lambda i: concat_ws(' ', ws[i], ws[i + 1]))))) AS brand FROM w)
   SELECT m.key, min_price, brands FROM (SELECT key, min(price) AS min_price FROM r GROUP BY key) m JOIN (SELECT key, array_to_string(list_sort(list(DISTINCT brand)), ', ') AS brands FROM k JOIN b USING (brand) GROUP BY key) f ON f.key = m.key""")
 def brand_tokens(spark: SparkSession, d: str) -> DataFrame:
     part = t(spark, d, "part")

@@ -19,6 +19,9 @@ _REPORT = """rep AS (SELECT *, rejection_stage IS NULL AS final_passed, CASE rej
   FROM listings l LEFT JOIN pv p ON p.key = l.key AND p.item_id = l.item_id))"""
 _W = X.sql(X.LISTINGS, X.VERDICTS, _PIVOT, _REPORT)
 
+#: Least number of passed items of a key in the validated list. A fixed value.
+MIN_VALIDATED = 5
+
 
 def report(spark: SparkSession, d: str) -> DataFrame:
     return R.funnel_report(X.listings(spark, d), X.verdicts(spark, d))
@@ -69,6 +72,12 @@ def agreement(spark: SparkSession, d: str) -> DataFrame:
     return R.agreement(rows.selectExpr("doc_id", "quality = 1 as passed"), rows.selectExpr("doc_id", "toxic = 0 as passed"), "doc_id", "passed")
 
 
+@query("verdict_agreement_rate", """SELECT count(*) FILTER ((quality = 1) = (toxic = 0)) AS matched, count(*) AS compared,
+  round(100.0 * count(*) FILTER ((quality = 1) = (toxic = 0)) / count(*), 1)::DOUBLE AS rate_pct FROM labels""")
+def agreement_rate(spark: SparkSession, d: str) -> DataFrame:
+    return R.agreement_rate(agreement(spark, d))
+
+
 @query("pass_rate_summary", _W + "SELECT key, count(*) AS n, count(*) FILTER (final_passed) AS n_passed, round(100.0 * count(*) FILTER (final_passed) / count(*), 1)::DOUBLE AS rate_pct FROM rep GROUP BY ROLLUP (key)")
 def pass_rates(spark: SparkSession, d: str) -> DataFrame:
     return R.pass_rates(report(spark, d), "key", F.col("final_passed"))
@@ -88,9 +97,9 @@ def nested_json(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.schema("key string, value string").json(path).select("key", F.col("value").alias("doc"))
 
 
-@query("sink_validated_list", _W + "SELECT key || ': ' || count(*) AS line FROM rep WHERE final_passed GROUP BY key")
+@query("sink_validated_list", _W + f"SELECT key || ': ' || count(*) AS line FROM rep WHERE final_passed GROUP BY key HAVING count(*) >= {MIN_VALIDATED}")
 def validated_list(spark: SparkSession, d: str) -> DataFrame:
     path = sinks.shared_path(spark, "list")
-    rows = report(spark, d).where("final_passed").groupBy("key").agg(F.count("*").alias("n"))
+    rows = report(spark, d).where("final_passed").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= MIN_VALIDATED)
     rows.orderBy(F.desc("n"), "key").select(F.concat_ws(": ", "key", F.col("n").cast("string")).alias("value")).write.text(path)
     return spark.read.text(path).select(F.col("value").alias("line"))

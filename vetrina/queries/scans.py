@@ -57,15 +57,20 @@ def mask(spark: SparkSession, d: str) -> DataFrame:
     return record_lines(spark, d).select(text.masked(F.col("value")).alias("preview"))
 
 
-@query("src_table", "SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_quantity > 45 AND l_partkey < 500")
+@query("src_table", "SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_quantity > 45 AND l_extendedprice > 60000")
 def src_table(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "lineitem").where("l_quantity > 45 and l_partkey < 500").select("l_orderkey", "l_extendedprice")
+    return t(spark, d, "lineitem").where("l_quantity > 45 and l_extendedprice > 60000").select("l_orderkey", "l_extendedprice")
 
 
-@query("src_binary_objects")
+@query("src_binary_objects", """SELECT 'shelf=' || (page_id // 50) AS name, CASE WHEN page_id // 50 % 2 = 0 THEN sum(strlen(coalesce(url, '')) + 1)::BIGINT END AS length,
+  CASE WHEN page_id // 50 % 2 = 0 THEN sha256(string_agg(coalesce(url, ''), chr(10) ORDER BY page_id) || chr(10)) END AS sha256 FROM pages GROUP BY page_id // 50""")
 def src_binary(spark: SparkSession, d: str) -> DataFrame:
-    wanted = t(spark, d, "region").selectExpr("'region.parquet' as name").distinct().union(t(spark, d, "nation").selectExpr("concat('missing', n_nationkey) as name"))
-    return sinks.binary_objects(spark, f"{d}/region.parquet", wanted).select("name", "length", F.sha2("content", 256).alias("sha256"))
+    """An object for every other shelf of 50 pages is written first; the other shelves' objects are missing."""
+    path = sinks.shared_path(spark, "objects")
+    rows = t(spark, d, "pages").selectExpr("page_id", "coalesce(url, '') as value", "page_id div 50 as shelf")
+    rows.where("shelf % 2 = 0").repartition("shelf").sortWithinPartitions("shelf", "page_id").select("value", "shelf").write.partitionBy("shelf").text(path)
+    wanted = rows.select(F.concat(F.lit("shelf="), F.col("shelf").cast("string")).alias("name")).distinct()
+    return sinks.binary_objects(spark, path, wanted, part=-2).select("name", "length", F.sha2("content", 256).alias("sha256"))
 
 
 @query("flatten_card", """SELECT user_id::VARCHAR AS item_id, event_type AS title, floor(value)::INT AS price, 'seller ' || user_id AS seller_name, NULL::VARCHAR AS location_name,
@@ -92,13 +97,13 @@ def object_keys(spark: SparkSession, d: str) -> DataFrame:
     return t(spark, d, "lineitem").select(R.object_key("photos", F.col("l_orderkey").cast("string"), F.col("l_linenumber")).alias("object_key"))
 
 
-@query("sink_append")
+@query("sink_append", "SELECT user_id, 2 * count(*) AS n, 2 * count(*) AS stamped FROM events GROUP BY user_id")
 def sink_append(spark: SparkSession, d: str) -> DataFrame:
     path = sinks.shared_path(spark, "append")
-    rows = t(spark, d, "nation")
+    rows = t(spark, d, "events").select("event_id", "user_id")
     sinks.append(rows, path)
     sinks.append(rows, path)
-    return spark.read.parquet(path).groupBy("n_nationkey").agg(F.count("*").alias("n"), F.count("created_at").alias("stamped"))
+    return spark.read.parquet(path).groupBy("user_id").agg(F.count("*").alias("n"), F.count("created_at").alias("stamped"))
 
 
 @query("sink_insert_absent", """SELECT (SELECT count(DISTINCT o_custkey) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0)) AS inserted,
@@ -115,7 +120,7 @@ def sink_replace(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@query("sink_csv_profile")
+@query("sink_csv_profile", "SELECT l_partkey, count(*) AS listings, min(l_extendedprice)::DOUBLE AS min_price FROM lineitem GROUP BY l_partkey")
 def sink_csv(spark: SparkSession, d: str) -> DataFrame:
     path = sinks.shared_path(spark, "csv")
     t(spark, d, "lineitem").groupBy("l_partkey").agg(F.count("*").alias("listings"), F.min("l_extendedprice").alias("min_price")).write.option("header", True).csv(path)

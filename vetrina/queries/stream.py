@@ -16,7 +16,7 @@ ROWS = 1_000_000
 
 
 def events(spark: SparkSession, d: str) -> DataFrame:
-    """The events as a stream of two micro-batches: a copy of the table in two parts by time, each in equally many files."""
+    """The events as a stream of two micro-batches: always a copy of the table in two parts by time, each in equally many files."""
     table = spark.read.parquet(f"{d}/events.parquet")
     path = shared_path(spark, "events")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -47,13 +47,14 @@ def stream_status(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-@query("stream_dedup")
+@query("stream_dedup", "SELECT DISTINCT user_id FROM events")
 def stream_dedup(spark: SparkSession, d: str) -> DataFrame:
     rows = events(spark, d).select("user_id", F.col("ts").cast("timestamp").alias("ts"))
-    return J.run_once(J.first_seen(rows, "user_id", "ts", "365 days"), shared_path(spark, "dedup")).drop("batch")
+    return J.run_once(J.first_seen(rows, "user_id", "ts", "365 days"), shared_path(spark, "dedup")).select("user_id")
 
 
-@query("stream_silence_alert")
+@query("stream_silence_alert", """SELECT user_id AS id, date_trunc('milliseconds', max(ts)) AS silent_since FROM events GROUP BY user_id
+  HAVING max(ts) + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE""")
 def stream_silence(spark: SparkSession, d: str) -> DataFrame:
     rows = events(spark, d).select(F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"))
-    return J.run_once(J.silence_alert(rows, 6 * 3600), shared_path(spark, "silence")).drop("batch")
+    return J.run_once(J.silence_alert(rows, 6 * 3600), shared_path(spark, "silence")).select("id", F.col("silent_since").cast("timestamp_ntz").alias("silent_since"))

@@ -10,8 +10,13 @@ from pyspark.sql import functions as F
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder that the session names; a local one only where it names none."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="vetrina-")
+    """A new path in the shared folder that the session names; a local one only on a local master that names none."""
+    sc = spark.sparkContext
+    root = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local"):
+            raise ValueError("name a shared folder in spark.checkpoint.dir: executors don't see each other's files")
+        root = tempfile.mkdtemp(prefix="vetrina-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -39,7 +44,8 @@ def replace(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def binary_objects(spark: SparkSession, path: str, wanted: DataFrame, key: str = "name") -> DataFrame:
-    """wanted with length and content of its objects; missing ones have nulls and their content is never read."""
-    found = spark.read.format("binaryFile").load(path).select(F.element_at(F.split("path", "/"), -1).alias(key), "length", "content")
+def binary_objects(spark: SparkSession, path: str, wanted: DataFrame, key: str = "name", part: int = -1) -> DataFrame:
+    """wanted with length and content of its objects, named by a part of their path; missing ones have nulls and their content is never read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(path).select(
+        F.element_at(F.split("path", "/"), part).alias(key), "length", "content")
     return wanted.join(found, key, "left")
