@@ -1,11 +1,12 @@
 """The corpus operators against brute force, on small frames with nulls, empty and long texts, ties, repeats, clashing columns and empty tables."""
 
 import hashlib
+import math
 import random
 import re
 import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -253,6 +254,46 @@ def test_language_held_out_accuracy(spark, table):
     assert sum(truth[r.doc_id] == r.lang_pred for r in held) >= 0.95 * len(held)
 
 
+def brute_language(train, text):
+    """Scores from the training texts by the definition: words, else their n-grams' mean times 0.8 for each shortening."""
+    split = lambda t: re.findall(r"[^\W\d_]+", t.lower())
+    langs = sorted({x for _, x in train})
+    words = [w for w, _ in (x for t, lang in train for x in ((w, lang) for w in split(t)))]
+    units = lambda w, n: [w] if n > 5 else [f"^{w}$"[i : i + n] for i in range(len(w) + 3 - n)]
+    logs = []
+    for lang in langs:
+        own = {n: Counter(u for t, x in train if x == lang for w in split(t) for u in units(w, n)) for n in range(1, 7)}
+        every = {n: {u for w in words for u in units(w, n)} for n in range(1, 7)}
+        total = math.log(sum(x == lang for _, x in train) / len(train))
+        for w in split(text):
+            for step, n in enumerate(range(6, 0, -1)):
+                if found := [u for u in units(w, n) if u in every[n]]:
+                    p = [math.log((own[n][u] + 0.5) / (sum(own[n].values()) + 0.5 * len(every[n]))) for u in found]
+                    total += 0.8**step * sum(p) / len(p)
+                    break
+        logs.append(total)
+    best = max(logs)
+    return langs[logs.index(best)], 1 / sum(math.exp(x - best) for x in logs)
+
+
+def test_language_scores_by_brute_force(spark):
+    train = [("the thing with that", "en"), ("ding und dass thing", "de"), ("und und der", "de"), ("les choses été नमस्ते", "fr")]
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(train)], "doc_id long, text string, lang string")
+    model = language_id.fit(df)
+    for t in ("the und", "thingding", "zz dasß", "q", "that thit", "été", "नमस्तेद", "chose und xx the"):
+        lang, score = model.predict(t)
+        want = brute_language(train, t)
+        assert lang == want[0] and abs(score - want[1]) < 1e-5, t
+    tie = language_id.fit(spark.createDataFrame([(1, "same", "x"), (2, "same", "b")], "doc_id long, text string, lang string"))
+    assert tie.predict("same") == ("b", 0.5)
+
+
+def test_language_sample_of_a_large_table(spark):
+    """However small the share, documents are picked."""
+    df = docs(spark, [words(5, i) for i in range(400)])
+    assert 20 <= sum(language_id.fit(df, fit_docs=40).tables[0][1].shape[:1]) / 5 <= 70
+
+
 def test_language_backs_off_and_handles_odd_texts(spark):
     train = docs(spark, ["the and that with thing"] * 5, "en").union(docs(spark, ["der und dass mit ding"] * 5, "de")).union(docs(spark, ["le"], None))
     model = language_id.fit(train)

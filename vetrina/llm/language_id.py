@@ -2,12 +2,13 @@
 
 A known word adds its log frequency in each language. An unseen word backs off to its character
 n-grams, with marks at both ends: of the longest length of which any is known, the known ones'
-mean is added, less a penalty for each shortening. The language with the highest sum, counting
+mean is added, and every step of backing off weighs that evidence by ``BACKOFF``, so that a
+5-gram says less than a word and a letter says next to nothing. The language with the highest sum, counting
 its prior, wins; the score is its posterior probability.
 
 The model is fitted on at most ``FIT_DOCS`` labelled documents (in expectation), picked by hash
-of the key over all of them, and keeps the ``MAX_WORDS`` most frequent words and ``MAX_GRAMS``
-n-grams of each length; these bounds, not the input, give its size. Every text is judged whole.
+of the key over all of them; it keeps all words and n-grams of these, so that this bound, not the input,
+gives its size. Texts are split into words by one function on both sides. Every text is judged whole.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0, and so is every
 text if nothing was learned. Ties go to the first language by name. Repeated rows are judged one
@@ -16,7 +17,6 @@ by one. Labels that are null teach nothing. An empty table gives an empty result
 
 from __future__ import annotations
 
-import math
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -26,44 +26,50 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FIT_DOCS = 40_000
-MAX_WORDS = 60_000
-MAX_GRAMS = 20_000
+from vetrina.llm.common import cut
+
+FIT_DOCS = 10_000
 LONGEST = 5
-PENALTY = math.log(0.4)
+BACKOFF = 0.8
 #: Added to each count of a word or n-gram.
 SMOOTH = 0.5
+#: Texts whose words are counted at once.
+BLOCK = 512
 #: Words whose score vectors a task keeps.
 KNOWN_WORDS = 200_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def words_of(text: str | None) -> list[str]:
+    return LETTERS.findall((text or "").lower())
+
+
+def _logs(counts: pd.DataFrame) -> tuple[dict[str, int], np.ndarray]:
+    """The place of each word or n-gram (the first column) and the logs of its share in each language."""
+    m = counts.iloc[:, 1:].to_numpy(dtype=float) + SMOOTH
+    return dict(zip(counts.iloc[:, 0], range(len(counts)))), np.log(m / m.sum(axis=0)).astype(np.float32) if len(counts) else m.astype(np.float32)
+
+
 class Model:
     """Log frequencies: rows of one matrix, found by word or by n-gram of each length."""
 
-    def __init__(self, langs: list[str], prior: list[float], words: dict[str, list[int]], grams: list[dict[str, list[int]]]) -> None:
+    def __init__(self, langs: list[str], prior: list[float], words: pd.DataFrame, grams: list[pd.DataFrame]) -> None:
+        """words and grams (n-grams of length 1, 2 and so on): a name and its count in each language."""
         self.langs, self.prior = langs, np.log(np.array(prior) / sum(prior)) if langs else np.zeros(0)
-        self.words = self._logs(words)
-        self.grams = [self._logs(g) for g in grams]
+        self.tables = [_logs(words), *map(_logs, reversed(grams))]  # from words to letters
         self.known: dict[str, int] = {}
         self.rows: list[np.ndarray] = []
 
-    def _logs(self, counts: dict[str, list[int]]) -> dict[str, np.ndarray]:
-        if not counts:
-            return {}
-        m = np.array(list(counts.values()), dtype=float) + SMOOTH
-        return dict(zip(counts, np.log(m / m.sum(axis=0)).astype(np.float32)))
-
     def word(self, w: str) -> np.ndarray:
-        if (x := self.words.get(w)) is not None:
-            return x
-        marked, lost = f"^{w}$", PENALTY
-        for n in range(LONGEST, 0, -1):
-            table = self.grams[n - 1]
-            found = [x for i in range(len(marked) - n + 1) if (x := table.get(marked[i : i + n])) is not None]
+        names, logs = self.tables[0]
+        if (at := names.get(w)) is not None:
+            return logs[at]
+        marked = f"^{w}$"
+        for step, (names, logs) in enumerate(self.tables[1:], 1):
+            n = len(self.tables) - step
+            found = [at for i in range(len(marked) - n + 1) if (at := names.get(marked[i : i + n])) is not None]
             if found:
-                return np.mean(found, axis=0) + lost
-            lost += PENALTY
+                return BACKOFF**step * logs[found].mean(axis=0)
         return np.zeros(len(self.langs), dtype=np.float32)
 
     def _place(self, w: str) -> int:
@@ -72,7 +78,7 @@ class Model:
         return at
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = LETTERS.findall((text or "").lower())
+        words = words_of(text)
         if not words or not self.langs:
             return "und", 0.0
         if len(self.rows) > KNOWN_WORDS:
@@ -101,24 +107,32 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, key: str = "doc_id", text: st
     sizes = {r[label]: r["n"] for r in labelled.groupBy(label).agg(F.count("*").alias("n")).collect()}  # a row a language
     langs = sorted(sizes)
     if not langs:
-        return Model([], [], {}, [{}] * LONGEST)
+        return Model([], [], pd.DataFrame({"w": []}), [pd.DataFrame({"g": []})] * LONGEST)
     share = min(1.0, fit_docs / sum(sizes.values()))
-    chosen = labelled.where(F.pmod(F.xxhash64(key, text), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else labelled
-    word = F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"(?U)[^\W\d_]+"), F.lit(0))).alias("w")
-    per_lang = [F.sum(F.when(F.col(label) == x, 1).otherwise(0)).alias(f"c{i}") for i, x in enumerate(langs)]
+    pick = F.pmod(F.xxhash64(key, text), F.lit(1 << 52)) / float(1 << 52)
+    chosen = labelled.where(pick < share) if share < 1 else labelled
+    names = [f"c{i}" for i in range(len(langs))]
+    place = {x: i for i, x in enumerate(langs)}
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for x in batches:
+            for i in range(0, len(x), BLOCK):
+                found: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(langs), dtype=np.int64))
+                for t, lang in zip(x["t"].iloc[i : i + BLOCK], x["lang"].iloc[i : i + BLOCK]):
+                    for w in words_of(t):
+                        found[w][place[lang]] += 1
+                yield pd.DataFrame(np.array(list(found.values()), dtype=np.int64).reshape(-1, len(langs)), columns=names).assign(w=list(found))[["w", *names]]
+
+    sums = [F.sum(c).alias(c) for c in names]
     # one row a word: the counts of all languages side by side
-    words = chosen.select(label, word).groupBy("w").agg(*per_lang).persist()
-    total = sum((F.col(f"c{i}") for i in range(1, len(langs))), F.col("c0"))
-    top = lambda df, n: {r[0]: list(r[1:]) for r in df.orderBy(total.desc(), df.columns[0]).limit(n).collect()}
+    words = cut(chosen.select(F.col(text).alias("t"), F.col(label).alias("lang")).mapInPandas(count, "w string, " + ", ".join(f"{c} long" for c in names)).groupBy("w").agg(*sums))
     grams = []
     for n in range(1, LONGEST + 1):
         marked = F.concat(F.lit("^"), F.col("w"), F.lit("$"))
         at = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.length(marked) - n + 1)).otherwise(F.expr("cast(array() as array<int>)"))
-        each = words.select(F.explode(_grams(marked, at, n)).alias("g"), *(f"c{i}" for i in range(len(langs))))
-        grams.append(top(each.groupBy("g").agg(*(F.sum(f"c{i}").alias(f"c{i}") for i in range(len(langs)))), MAX_GRAMS))
-    model = Model(langs, [sizes[x] for x in langs], top(words, MAX_WORDS), grams)
-    words.unpersist()
-    return model
+        # what fit_docs documents hold reaches the driver
+        grams.append(words.select(F.explode(_grams(marked, at, n)).alias("g"), *names).groupBy("g").agg(*sums).toPandas())
+    return Model(langs, [sizes[x] for x in langs], words.toPandas(), grams)
 
 
 def _grams(marked: Column, at: Column, n: int) -> Column:
@@ -127,7 +141,7 @@ def _grams(marked: Column, at: Column, n: int) -> Column:
 
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred, score) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_WORDS and MAX_GRAMS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by FIT_DOCS
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
