@@ -34,10 +34,12 @@ def words_of(text: Column) -> Column:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; one of our own only where none is named."""
+    """The shared folder that the cluster names; one of our own only on a local master that names none."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not sc.master.startswith("local"):
+            raise ValueError("name a shared folder in spark.checkpoint.dir: executors don't see each other's files")
         named = tempfile.mkdtemp(prefix="vetrina-")
         sc.setCheckpointDir(named)
     return named
