@@ -80,11 +80,16 @@ def test_missing_verdicts_in_report_and_export(spark):
     assert {r["key"]: (r["found"], r["price_filter_no_data"], r["n"]) for r in out} == {"k": (True, 2, 3), "z": (False, 0, 0)}
 
 
-def test_the_funnel_needs_one_shuffle_by_key(spark):
-    """Beside those that join the fixture's tables."""
-    rows = frame(spark, [{"item_id": "1"}])
-    plan = PF.funnel(rows, Config(), F.lit(True))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
+def test_a_hot_key_is_counted_before_it_moves(spark):
+    """No window over a key's rows: only the model's limit, which each task applies first, and those of the groups within a key."""
+    rows = frame(spark, [{"item_id": f"{i:04d}", "key": "hot" if i % 10 else "cold", "price": 5000.0 + i % 7, "seller_name": f"s{i}", "title": f"t{i}"} for i in range(400)])
+    out = PF.funnel(rows, Config(min_items=45), F.lit(True))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Window [") == plan.count("Window [row_number") == plan.count("WindowGroupLimit") / 2 > 0
+    assert "Window" not in S.min_count_gate(alive(rows), 5, "catalog")._jdf.queryExecution().executedPlan().toString()
+    got = {r["key"]: (r["n"], r["alive"], r["gate"]) for r in out.groupBy("key").agg(F.count("*").alias("n"), F.count_if("alive").alias("alive"), F.max("gate").alias("gate")).collect()}
+    assert got == {"hot": (360, 0, "ai"), "cold": (40, 0, "catalog")}
+    assert out.where("key = 'hot' and ai").count() == 30 and out.where("key = 'cold' and price_filter is not null").count() == 0
 
 
 def test_funnel_on_the_test_table(spark):

@@ -48,3 +48,16 @@ def test_price_verdict(spark):
     m, top, bound = by_rule([p for _, p in rows])
     want = {p: "too_cheap" if p < 0.2 * top else "outlier" if p > bound else None for _, p in rows}
     assert {r["price"]: r["v"] for r in out.collect()} == want
+
+
+def test_a_hot_key_brings_its_distinct_prices_only(spark):
+    prices = [float((i * 37) % 23 + 5) for i in range(9000)]
+    df = spark.createDataFrame([("hot", p) for p in prices] + [(f"k{i % 100}", float(i)) for i in range(1000)] + [(None, 3.0)], "key string, price double")
+    got = {r["key"]: r for r in P.stats_by_key(df).collect()}
+    m, top, bound = by_rule(prices)
+    assert len(got) == 102 and got[None]["n_prices"] == 1
+    assert (got["hot"]["clean_median"], got["hot"]["top_median"], got["hot"]["upper_bound"]) == (m, top, bound)
+    assert P.price_stats(df).where("n_prices is null").count() == 0
+    lines = P.stats_by_key(df)._jdf.queryExecution().executedPlan().toString().splitlines()
+    windows = [i for i, x in enumerate(lines) if "Window [" in x]
+    assert any("HashAggregate(keys=[key" in x and "_p" in x for x in lines[max(windows):])  # counts lie below every window

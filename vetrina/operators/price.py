@@ -1,4 +1,4 @@
-"""Price statistics and verdicts of a key's listings, as window columns over one partitioning."""
+"""Price statistics of a key's listings, from counts of its prices, and verdicts."""
 
 from __future__ import annotations
 
@@ -16,16 +16,20 @@ def price_floor(price: Column, cfg: Config) -> Column:
     return F.coalesce(price >= cfg.min_price, F.lit(False))
 
 
-def price_stats(df: DataFrame, cfg: Config = Config(), eligible: Column | None = None, key: str = "key", price: str = "price") -> DataFrame:
-    """df with STATS over the eligible rows' prices of each key.
+def stats_by_key(df: DataFrame, cfg: Config = Config(), eligible: Column | None = None, key: str = "key", price: str = "price") -> DataFrame:
+    """(key, STATS): the statistics of the eligible rows' prices of each key, one row a key.
 
-    Quartiles are exclusive, from ranks; the rows inside the fences are consecutive ranks, so every
-    median is the mean of two ranks and no array of prices is gathered. One sort by (key, price).
+    Rows are counted by (key, price) before they meet, so that a key of very many rows brings one task its distinct
+    prices only. Quartiles are exclusive, from ranks; the rows inside the fences are consecutive ranks, so every median
+    is the mean of two ranks and no array of prices is gathered. One sort by (key, price).
     """
     whole = Window.partitionBy(key)
+    upto = whole.orderBy(F.asc_nulls_last("_p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     p = F.when(F.lit(True) if eligible is None else eligible, F.col(price).cast("double"))
-    ranked = df.withColumn("_p", p).withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.asc_nulls_last("_p")))).withColumn("_n", F.count("_p").over(whole))
-    at = lambda rank: F.max(F.when(F.col("_r") == rank, F.col("_p"))).over(whole)
+    ranked = df.select(key, p.alias("_p")).groupBy(key, "_p").agg(F.count("_p").alias("_m")).withColumns(
+        {"_r": F.sum("_m").over(upto), "_n": F.sum("_m").over(whole)})
+    at = lambda rank: F.max(F.when((F.col("_r") >= rank) & (F.col("_r") - F.col("_m") < rank), F.col("_p"))).over(whole)
+    count = lambda rule: F.coalesce(F.sum(F.when(rule, F.col("_m"))).over(whole), F.lit(0))
     mid = lambda low, high: (at(F.floor((low + high) / 2)) + at(F.ceil((low + high) / 2))) / 2
     n = F.col("_n")
 
@@ -37,9 +41,9 @@ def price_stats(df: DataFrame, cfg: Config = Config(), eligible: Column | None =
     steps = [
         {"q1": quartile(1), "q3": quartile(3), "_all": mid(F.lit(1), n)},
         {"_low": F.col("q1") - cfg.fence * (F.col("q3") - F.col("q1")), "_high": F.col("q3") + cfg.fence * (F.col("q3") - F.col("q1"))},
-        {"_a": F.count(F.when(F.col("_p") < F.col("_low"), 1)).over(whole) + 1, "_b": F.count(F.when(F.col("_p") <= F.col("_high"), 1)).over(whole)},
+        {"_a": count(F.col("_p") < F.col("_low")) + 1, "_b": count(F.col("_p") <= F.col("_high"))},
         {"_clean": F.when(F.col("_b") >= F.col("_a"), mid(F.col("_a"), F.col("_b")))},
-        {"_c": F.count(F.when((F.col("_p") <= F.col("_high")) & (F.col("_p") <= cfg.extreme * F.col("_clean")), 1)).over(whole)},
+        {"_c": count((F.col("_p") <= F.col("_high")) & (F.col("_p") <= cfg.extreme * F.col("_clean")))},
         {"_c": F.when(F.col("_c") < F.col("_a"), F.col("_b")).otherwise(F.col("_c"))},
         {"_k": F.greatest(F.lit(1), F.floor((F.col("_c") - F.col("_a") + 1) * 2 / 5))},
         {"_top": mid(F.col("_c") - F.col("_k") + 1, F.col("_c"))},
@@ -48,7 +52,17 @@ def price_stats(df: DataFrame, cfg: Config = Config(), eligible: Column | None =
     ]
     for step in steps:
         ranked = ranked.withColumns(step)
-    return ranked.drop("_p", "_r", "_n", "_all", "_low", "_high", "_a", "_b", "_clean", "_c", "_k", "_top")
+    return ranked.groupBy(key).agg(*(F.first(c).alias(c) for c in STATS))
+
+
+def price_stats(df: DataFrame, cfg: Config = Config(), eligible: Column | None = None, key: str = "key", price: str = "price") -> DataFrame:
+    """df with STATS of its key, see stats_by_key; df is read twice."""
+    return with_key(df, stats_by_key(df, cfg, eligible, key, price), key)
+
+
+def with_key(df: DataFrame, by_key: DataFrame, key: str = "key") -> DataFrame:
+    """df with the columns of its key's row; null is a key too. No order or partitioning is asked for, so a hot key's rows can be split."""
+    return df.join(by_key.withColumnRenamed(key, "_key"), F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
 def price_verdict(price: Column, cfg: Config = Config()) -> Column:

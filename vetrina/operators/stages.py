@@ -1,8 +1,9 @@
 """Stages of the funnel over one wide frame.
 
-A row that a stage rejects stays in the frame with ``alive`` false, so that all windows of all
-stages share one hash partitioning by key and nothing is computed twice for survivors and verdicts.
-A stage adds its verdict column (null: not judged) and a reason column.
+A row that a stage rejects stays in the frame with ``alive`` false, so that nothing is computed
+twice for survivors and verdicts. A stage adds its verdict column (null: not judged) and a reason
+column. One key may hold most rows: what a stage must know of a key is aggregated before it moves
+and joined back, and no window gathers a key's rows.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql.window import Window
 
 from vetrina.config import Config
 from vetrina.functions.text import stopword_first_match
-from vetrina.operators.price import STATS, price_floor, price_stats, price_verdict
+from vetrina.operators.price import STATS, price_floor, price_stats, price_verdict, with_key
 
 
 def _after(df: DataFrame, stage: str, passed: Column, reason: Column) -> DataFrame:
@@ -24,37 +25,62 @@ def _after(df: DataFrame, stage: str, passed: Column, reason: Column) -> DataFra
 
 def min_count_gate(df: DataFrame, least: int, stage: str, key: str = "key") -> DataFrame:
     """Lets all rows of a key go that has too few alive; ``gate`` names the first stage after which that was so."""
-    n = F.count(F.when(F.col("alive"), 1)).over(Window.partitionBy(key))
-    return df.withColumn("_n", n).withColumn("gate", F.coalesce("gate", F.when(F.col("_n") < least, stage))).withColumn(
+    n = df.groupBy(key).agg(F.count_if("alive").alias("_n"))
+    return with_key(df, n, key).withColumn("gate", F.coalesce("gate", F.when(F.col("_n") < least, stage))).withColumn(
         "alive", F.col("alive") & F.col("gate").isNull()).drop("_n")
 
 
+def min_count_gates(df: DataFrame, least: int, stages: list[str], key: str = "key") -> DataFrame:
+    """min_count_gate before the first and after each of the stages at once, for a frame that went through them without gates.
+
+    A gate takes or leaves whole keys and a stage looks at one key at a time, so the rows of a key are the same up to its first
+    gate: one count a key of the rows that passed so far finds it, and later verdicts become null.
+    """
+    passed, alive = F.lit(True), {"catalog": F.lit(True)}
+    for s in stages:
+        passed = passed & F.coalesce(F.col(s), F.lit(True))
+        alive[s] = passed
+    alive[stages[-1]] = passed & F.col("alive")
+    n = df.groupBy(key).agg(*(F.count_if(a).alias(f"_n{i}") for i, a in enumerate(alive.values()))).select(
+        key, F.coalesce(*(F.when(F.col(f"_n{i}") < least, F.struct(F.lit(i).alias("i"), F.lit(s).alias("stage"))) for i, s in enumerate(alive))).alias("_gate"))
+    seen = lambda i: F.col("_gate").isNull() | (F.col("_gate.i") >= i)
+    return with_key(df, n, key).withColumns({c: F.when(seen(i), F.col(c)) for i, s in enumerate(stages, 1) for c in (s, f"{s}_reason")}).withColumns(
+        {"alive": F.col("alive") & F.col("_gate").isNull(), "gate": F.col("_gate.stage")}).drop("_gate")
+
+
 def price_stage(df: DataFrame, cfg: Config) -> DataFrame:
     return _after(df, "price_filter", price_floor(F.col("price"), cfg), F.lit("below_floor"))
 
 
-def mechanical_reason(cfg: Config) -> Column:
-    """The first rule that fails: image, stop-word, reviews, too cheap, outlier. Null: none. Beside the columns of price_stats."""
+def row_reason(cfg: Config) -> Column:
+    """The first rule that a row fails by itself: image, stop-word, reviews. Null: none."""
     word = stopword_first_match(cfg.stopwords, F.col("title"), F.col("snippet"), F.col("seller_name"))
     few = F.coalesce(F.col("seller_reviews") < cfg.min_reviews, F.lit(True)) if cfg.min_reviews > 0 else F.lit(False)
     rules = [F.when(word.isNotNull(), F.concat(F.lit("stopword:"), word)), F.when(few, "few_reviews")]
     if cfg.require_images:
         rules.insert(0, F.when(F.coalesce("images_count", F.lit(0)) == 0, "no_image"))
-    if cfg.check_prices:
-        rules.append(price_verdict(F.col("price").cast("double"), cfg))
     return F.coalesce(*rules)
 
 
-def mechanical_stage(df: DataFrame, cfg: Config) -> DataFrame:
+def mechanical_reason(cfg: Config, by_row: Column | None = None) -> Column:
+    """by_row, by default row_reason, then too cheap or outlier. Null: none. Beside the columns of price_stats."""
+    by_row = row_reason(cfg) if by_row is None else by_row
+    return F.coalesce(by_row, price_verdict(F.col("price").cast("double"), cfg)) if cfg.check_prices else by_row
+
+
+def mechanical_stage(df: DataFrame, cfg: Config, by_row: Column | None = None) -> DataFrame:
     shown = F.coalesce("images_count", F.lit(0)) > 0 if cfg.require_images else F.lit(True)
-    df = price_stats(df, cfg, F.col("alive") & shown).withColumn("_why", mechanical_reason(cfg))
+    df = price_stats(df, cfg, F.col("alive") & shown).withColumn("_why", mechanical_reason(cfg, by_row))
     return _after(df, "mechanical", F.col("_why").isNull(), F.col("_why")).drop("_why", *STATS)
 
 
 def _best_of(df: DataFrame, stage: str, group: list[Column], bypass: Column) -> DataFrame:
-    """The best alive row of a group stays: most images, lowest price, then item_id. Only fail rows get a verdict."""
+    """The best alive row of a group stays: most images, lowest price, then item_id. Only fail rows get a verdict.
+
+    Rows that take no part are dealt by item_id.
+    """
     in_group = F.col("alive") & ~bypass
-    w = Window.partitionBy("key", in_group, *group).orderBy(F.coalesce("images_count", F.lit(0)).desc(), F.coalesce("price", F.lit(0.0)), "item_id")
+    w = Window.partitionBy("key", F.when(~in_group, F.xxhash64("item_id")), *(F.when(in_group, g) for g in group)).orderBy(F.coalesce("images_count", F.lit(0)).desc(), F.coalesce("price", F.lit(0.0)), "item_id")
     df = df.withColumns({"_i": F.row_number().over(w), "_kept": F.first("item_id").over(w), "_in": in_group})
     loses = F.col("_in") & (F.col("_i") > 1)
     return df.withColumns({stage: F.when(loses, False), f"{stage}_reason": F.when(loses, F.concat(F.lit("kept:"), F.col("_kept")))}).withColumn(
@@ -80,9 +106,10 @@ def share_above(values: Column, level: float) -> Column:
     return F.when(F.size(values) > 0, F.size(F.filter(values, lambda x: x > level)) / F.size(values))
 
 
-def array_share_stage(df: DataFrame, cfg: Config, values: str = "pixels") -> DataFrame:
-    """Rows whose share is over the limit go; rows without an array bypass. Only fail rows get a verdict."""
-    loses = F.col("alive") & F.coalesce(share_above(F.col(values), cfg.white_level) > cfg.white_share, F.lit(False))
+def array_share_stage(df: DataFrame, cfg: Config, values: str = "pixels", share: Column | None = None) -> DataFrame:
+    """Rows whose share (by default that of values) is over the limit go; rows without an array bypass. Only fail rows get a verdict."""
+    share = share_above(F.col(values), cfg.white_level) if share is None else share
+    loses = F.col("alive") & F.coalesce(share > cfg.white_share, F.lit(False))
     return df.withColumns({"_l": loses}).withColumns({"white_bg": F.when(F.col("_l"), False), "white_bg_reason": F.when(F.col("_l"), "white")}).withColumn(
         "alive", F.col("alive") & ~F.col("_l")).drop("_l")
 
@@ -92,8 +119,12 @@ def cap_per_key(df: DataFrame, n: int, key: str = "key", order: tuple[str, ...]
 
 
 def model_stage(df: DataFrame, cfg: Config, accepted: Column) -> DataFrame:
-    """The verdict of a model for the first rows of a key; rows beyond get no verdict and go."""
-    w = Window.partitionBy("key", "alive").orderBy("item_id")
-    df = df.withColumn("_asked", F.col("alive") & (F.row_number().over(w) <= cfg.model_rows))
+    """The verdict of a model for the first rows of a key by item_id, which names a row of a key; rows beyond get no verdict and go.
+
+    The last row asked is found by a limit a key, which Spark applies in each task before rows move.
+    """
+    first = cap_per_key(df.where("alive").select("key", "item_id"), cfg.model_rows)
+    df = with_key(df, first.groupBy("key").agg(F.max("item_id").alias("_last")))
+    df = df.withColumn("_asked", F.col("alive") & F.coalesce(F.col("item_id") <= F.col("_last"), F.lit(False)))
     return df.withColumns({"ai": F.when(F.col("_asked"), accepted), "ai_reason": F.when(F.col("_asked") & ~accepted, "not_relevant")}).withColumn(
-        "alive", F.col("_asked") & accepted).drop("_asked")
+        "alive", F.col("_asked") & accepted).drop("_asked", "_last")

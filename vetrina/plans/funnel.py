@@ -1,4 +1,4 @@
-"""The funnel: a fold of stages and gates over all keys, in one shuffle by key."""
+"""The funnel: stages over all keys, then all gates at once."""
 
 from __future__ import annotations
 
@@ -7,24 +7,29 @@ from pyspark.sql import functions as F
 
 from vetrina.config import Config
 from vetrina.operators import stages as S
+from vetrina.sources.sinks import kept
 
 #: Names of the stages, and of the gates after them.
 STAGES = ("price_filter", "mechanical", "seller_dedup", "image_dedup", "white_bg", "ai")
 
 
 def funnel(listings: DataFrame, cfg: Config = Config(), accepted: Column | None = None) -> DataFrame:
-    """listings with a verdict and a reason column a stage, ``alive`` (passed all) and ``gate`` (stage after which the key had too few).
+    """(key, item_id) of listings with a verdict and a reason column a stage, ``alive`` (passed all) and ``gate`` (stage after which
+    the key had too few).
 
-    accepted: a model's verdict, if there is a model.
+    accepted: a model's verdict, if there is a model. What a row shows by itself is computed first, so texts and arrays never move;
+    the narrow rows are written once before the last steps, which read them more than once.
     """
-    steps = [("price_filter", lambda d: S.price_stage(d, cfg)), ("mechanical", lambda d: S.mechanical_stage(d, cfg)), ("seller_dedup", S.seller_dedup),
-             ("image_dedup", S.content_hash_dedup), ("white_bg", lambda d: S.array_share_stage(d, cfg))]
+    rows = listings.select("key", "item_id", "price", "images_count", "seller_id", "seller_name", "image_hash", S.row_reason(cfg).alias("by_row"),
+                           S.share_above(F.col("pixels"), cfg.white_level).alias("share"), (F.lit(None).cast("boolean") if accepted is None else accepted).alias("accepted"))
+    df = S.price_stage(rows.withColumns({"alive": F.lit(True), "gate": F.lit(None).cast("string")}), cfg)
+    df = S.mechanical_stage(df, cfg, F.col("by_row"))
+    df = S.array_share_stage(S.content_hash_dedup(S.seller_dedup(df)), cfg, share=F.col("share"))
+    judged = [s for s in STAGES if s in df.columns]
+    df = kept(df.select("key", "item_id", "accepted", "alive", "gate", *judged, *(f"{s}_reason" for s in judged)), "funnel")
     if accepted is not None:
-        steps.append(("ai", lambda d: S.model_stage(d, cfg, accepted)))
-    df = S.min_count_gate(listings.withColumns({"alive": F.lit(True), "gate": F.lit(None).cast("string")}), cfg.min_items, "catalog")
-    for name, step in steps:
-        df = S.min_count_gate(step(df), cfg.min_items, name)
-    return df
+        df, judged = S.model_stage(df, cfg, F.col("accepted")), [*judged, "ai"]
+    return S.min_count_gates(df, cfg.min_items, judged).drop("accepted")
 
 
 def verdict_log(wide: DataFrame) -> DataFrame:

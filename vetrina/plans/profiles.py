@@ -58,8 +58,8 @@ def brand_tokens(rows: DataFrame, brands: DataFrame, stopwords: tuple[str, ...]
 
 def size_histogram(rows: DataFrame, n: int) -> DataFrame:
     """The n most frequent (w, h), with their share of all rows."""
-    total = rows.agg(F.count("*").alias("total"))
-    return rows.groupBy("w", "h").agg(F.count("*").alias("n")).join(F.broadcast(total)).select("w", "h", "n", (F.col("n") / F.col("total")).alias("share")).orderBy(F.desc("n"), "w", "h").limit(n)
+    total = rows.agg(F.count("*")).scalar()
+    return rows.groupBy("w", "h").agg(F.count("*").alias("n")).select("w", "h", "n", (F.col("n") / total).alias("share")).orderBy(F.desc("n"), "w", "h").limit(n)
 
 
 def download_quality(rows: DataFrame) -> DataFrame:

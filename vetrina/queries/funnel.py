@@ -37,7 +37,7 @@ def stats_sql(rows: str) -> str:
 
 @query("price_stats", X.sql(X.LISTINGS, stats_sql("listings")) + "SELECT * FROM stats")
 def price_stats(spark: SparkSession, d: str) -> DataFrame:
-    return P.price_stats(X.listings(spark, d), CFG).groupBy("key").agg(*(F.first(c).alias(c) for c in P.STATS))
+    return P.stats_by_key(X.listings(spark, d), CFG)
 
 
 @query("price_verdict", X.sql(X.LISTINGS, stats_sql("listings")) + """SELECT item_id, CASE WHEN price < 0.2 * top_median THEN 'too_cheap' WHEN price > upper_bound THEN 'outlier' END AS verdict

@@ -46,7 +46,7 @@ def cardinalities(spark: SparkSession, d: str) -> DataFrame:
 @query("backlog_keys", X.sql(X.KEYS, X.LISTINGS) + "SELECT key, count(*) OVER () AS n FROM keys WHERE state = 'VALIDATED' AND key IN (SELECT key FROM listings WHERE price > 90000)")
 def backlog(spark: SparkSession, d: str) -> DataFrame:
     keys = X.keys(spark, d).where("state = 'VALIDATED'").join(X.listings(spark, d).where("price > 90000"), "key", "left_semi").select("key")
-    return keys.join(F.broadcast(keys.agg(F.count("*").alias("n"))))  # one row
+    return keys.withColumn("n", keys.agg(F.count("*")).scalar())
 
 
 _COV = "cov AS (SELECT k.key, count(l.item_id) AS n_rows, count(*) FILTER (images_count > 0 AND price > 60000) AS n_with_items FROM keys k LEFT JOIN (SELECT * FROM listings WHERE price > 40000) l ON l.key = k.key GROUP BY k.key)"

@@ -20,6 +20,13 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """df written to the shared folder and read again: its readers share one computation, which outlives lost executors."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def append(df: DataFrame, path: str, stamp: str | None = "created_at") -> None:
     """Appends rows, with the time of writing where stamp names a column that df lacks."""
     if stamp and stamp not in df.columns:
@@ -36,8 +43,8 @@ def unseen(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 def insert_counts(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
     """One row: inserted and duplicate rows of a merge."""
-    new = unseen(incoming, target, key).agg(F.count("*").alias("inserted"))
-    return incoming.agg(F.count("*").alias("n")).join(F.broadcast(new)).select("inserted", (F.col("n") - F.col("inserted")).alias("duplicates"))
+    new = unseen(incoming, target, key).agg(F.count("*"))
+    return incoming.agg(F.count("*").alias("n"), new.scalar().alias("inserted")).select("inserted", (F.col("n") - F.col("inserted")).alias("duplicates"))
 
 
 def replace(df: DataFrame, path: str) -> None:
