@@ -475,3 +475,12 @@ def test_pipeline_on_an_empty_table(spark, tmp_path):
     docs(spark, EMPTY).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_registered_domains(spark):
+    from vetrina.llm import url_filter
+
+    want = {"a.b.co.uk": ("b.co.uk", "co.uk"), "b.co.uk": ("b.co.uk", "co.uk"), "co.uk": ("co.uk", "co.uk"), "www.shop.com.au": ("shop.com.au", "com.au"), "x.co": ("x.co", "co"),
+            "a.b.example.com": ("example.com", "com"), "net": ("net", "net"), "": ("", ""), "co.com": ("co.com", "com"), "a.com.b.de": ("b.de", "de"), "x.xco.uk": ("xco.uk", "uk")}
+    df = spark.createDataFrame([(h,) for h in want], "host string")
+    assert {r[0]: (r[1], r[2]) for r in df.select("host", url_filter.domain_of(F.col("host")), url_filter.suffix_of(F.col("host"))).collect()} == want

@@ -135,7 +135,7 @@ FROM o
 
 def _strength_sql(groups: str) -> str:
     return (f"(SELECT CASE WHEN b > 0 THEN greatest(1.0, least(1000.0, (p * (1 - p) - s) / b)) ELSE 1000.0 END FROM (SELECT p, s, s - p * (1 - p) * m / tn AS b FROM ("
-            f"SELECT tb / tn AS p, (sq - tb * tb / tn) / tn AS s, m, tn FROM (SELECT sum(n)::DOUBLE AS tn, sum(bad)::DOUBLE AS tb, count(*) AS m, sum(bad * bad / n) AS sq FROM {groups} WHERE n > 0))))")
+            f"SELECT tb / tn AS p, (sq - tb * tb / tn) / tn AS s, m, tn FROM (SELECT sum(n)::DOUBLE AS tn, sum(bad)::DOUBLE AS tb, count(*) AS m, sum((bad * bad / n)::DECIMAL(38, 9))::DOUBLE AS sq FROM {groups} WHERE n > 0))))")
 
 
 OP4_SQL = r"""
@@ -153,7 +153,7 @@ WITH p AS (
   SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
     CASE WHEN contains(coalesce(url, ''), '://') THEN regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) ELSE '' END AS path FROM pages),
 o AS (SELECT host, (quality = 0 OR toxic = 1) AS bad FROM p JOIN labels ON doc_id = page_id),
-h AS (SELECT host, regexp_extract(host, '([^.]*\.)?[^.]*$') AS domain, regexp_extract(host, '[^.]*$') AS suffix, count(bad) AS n, coalesce(sum(bad::INT), 0)::BIGINT AS bad
+h AS (SELECT host, regexp_extract(host, '(?:^|\.)((?:[^.]*\.)?{url_filter.SUFFIX})\z', 1) AS domain, regexp_extract(host, '(?:^|\.)({url_filter.SUFFIX})\z', 1) AS suffix, count(bad) AS n, coalesce(sum(bad::INT), 0)::BIGINT AS bad
   FROM (SELECT host, NULL::BOOLEAN AS bad FROM p UNION ALL SELECT * FROM o) GROUP BY host),
 d AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM h GROUP BY domain, suffix),
 s AS (SELECT suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM h GROUP BY suffix),

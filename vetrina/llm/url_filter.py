@@ -3,7 +3,8 @@
 Labelled page outcomes (good or bad) are shrunk through beta-binomial priors: the corpus rate is
 the prior of a suffix, the suffix's posterior mean that of a registered domain, the domain's that
 of a host. The strength of the prior of each level is fitted by moments to the spread of its
-groups. A host is blocked if a lower bound of its posterior bad rate exceeds a limit.
+groups; their sums are exact, so that no order of addition moves a verdict. A host is blocked if a lower
+bound of its posterior bad rate, Z standard deviations of the beta posterior under its mean, exceeds a limit.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path, fits no rule and is
 judged as host ''. A host without labels gets its domain's rate. Null outcomes count as no label.
@@ -26,6 +27,9 @@ SALTS = 16
 #: Standard deviations below the posterior mean, and the rate that the bound must exceed.
 Z, MAX_BAD = 1.0, 0.35
 STRENGTH_RANGE = (1.0, 1000.0)
+#: The categories under which countries register domains, as in co.uk, com.au, ac.jp.
+CATEGORIES = ("ac", "co", "com", "edu", "gob", "gov", "gouv", "mil", "ne", "net", "nom", "or", "org", "sch")
+SUFFIX = rf"(?:(?:{'|'.join(CATEGORIES)})\.[a-z][a-z]|[^.]*)"
 
 
 def host_of(url: Column) -> Column:
@@ -49,13 +53,14 @@ def rule_of(host: Column, path: Column, rules: tuple = RULES) -> Column:
     return out if out is not None else F.lit(None).cast("struct<rule:string,verdict:string>")
 
 
-def domain_of(host: Column) -> Column:
-    """The last two labels of a host."""
-    return F.regexp_extract(host, r"([^.]*\.)?[^.]*$", 0)
+def suffix_of(host: Column) -> Column:
+    """The suffix under which domains are registered: the last label, or two of a country with such a category."""
+    return F.regexp_extract(host, rf"(?:^|\.)({SUFFIX})\z", 1)
 
 
-def suffix_of(host: Column) -> Column:
-    return F.regexp_extract(host, r"[^.]*$", 0)
+def domain_of(host: Column) -> Column:
+    """The registered domain of a host: its suffix and a label more; a bare suffix is its own."""
+    return F.regexp_extract(host, rf"(?:^|\.)((?:[^.]*\.)?{SUFFIX})\z", 1)
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, salt: Column) -> DataFrame:
@@ -68,7 +73,7 @@ def _strength(groups: DataFrame) -> Column:
     """A literal: how many labels the prior of a level weighs, by moments over its groups' n and bad."""
     low, high = STRENGTH_RANGE
     some = groups.where("n > 0")
-    total = some.agg(F.sum("n").alias("tn"), F.sum("bad").alias("tb"), F.count("*").alias("m"), F.sum(F.col("bad") * F.col("bad") / F.col("n")).alias("sq"))
+    total = some.agg(F.sum("n").alias("tn"), F.sum("bad").alias("tb"), F.count("*").alias("m"), F.sum((F.col("bad") * F.col("bad") / F.col("n")).cast("decimal(38,9)")).cast("double").alias("sq"))
     p, m = F.col("tb") / F.col("tn"), F.col("m")
     spread = (F.col("sq") - F.col("tb") * p) / F.col("tn")
     beyond = spread - p * (1 - p) * m / F.col("tn")  # more spread than chance gives
