@@ -28,7 +28,7 @@ def stats_by_key(df: DataFrame, cfg: Config = Config(), eligible: Column | None
     p = F.when(F.lit(True) if eligible is None else eligible, F.col(price).cast("double"))
     ranked = df.select(key, p.alias("_p")).groupBy(key, "_p").agg(F.count("_p").alias("_m")).withColumns(
         {"_r": F.sum("_m").over(upto), "_n": F.sum("_m").over(whole)})
-    at = lambda rank: F.max(F.when((F.col("_r") >= rank) & (F.col("_r") - F.col("_m") < rank), F.col("_p"))).over(whole)
+    at = lambda rank: F.min(F.when(F.col("_r") >= rank, F.col("_p"))).over(whole)
     count = lambda rule: F.coalesce(F.sum(F.when(rule, F.col("_m"))).over(whole), F.lit(0))
     mid = lambda low, high: (at(F.floor((low + high) / 2)) + at(F.ceil((low + high) / 2))) / 2
     n = F.col("_n")
