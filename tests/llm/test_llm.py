@@ -110,6 +110,56 @@ def test_sharding(spark):
     assert sorted(r.slot for r in sharding.deal(twice, 1).collect()) == [0, 1]
 
 
+def brute_shards(rows, shards):
+    """{(key, text): (shard, slot)}: the whole order at once, borders by bytes, moved to the end of small groups."""
+    order = sorted(rows, key=lambda r: ("-" if r[1] is None else hashlib.md5(r[1].encode()).hexdigest(), r[0] is not None, r[0] or 0))
+    sizes = [len((t or "").encode()) + 8 for _, t in order]
+    total, before, borders, place = sum(sizes), 0, [0] + [len(order)] * (shards - 1), {}
+    for i, n in enumerate(sizes):
+        for s in range(1, shards):
+            if before * shards // total >= s:
+                borders[s] = min(borders[s], i)
+        before += n
+    for s in range(1, shards):
+        at = borders[s]
+        alike = [i for i, (_, t) in enumerate(order) if at < len(order) and t == order[at][1]]
+        if alike and sum(sizes[i] for i in alike) <= sharding.TOGETHER * total / shards:
+            borders[s] = alike[0] if at - alike[0] <= alike[-1] + 1 - at else alike[-1] + 1
+    for i, r in enumerate(order):
+        s = max(s for s in range(shards) if borders[s] <= i)
+        place[r] = (s, i - borders[s])
+    return place
+
+
+@pytest.mark.parametrize("ranges, shards", [(192, 24), (3, 5), (2000, 24)])
+def test_sharding_by_brute_force(spark, monkeypatch, ranges, shards):
+    """Few and many ranges, groups of a hundred and of two, keys that are null, negative or shared by other texts."""
+    monkeypatch.setattr(sharding, "RANGES", ranges)
+    r = random.Random(3)
+    texts = [*ODD, *["same"] * 900, *(words(r.choice([3, 20, 200]), n) for n in range(500) for _ in range(r.choice([1, 1, 2])))]
+    rows = [(i - 40, t) for i, t in enumerate(texts)] + [(None, "no key"), (7, "another"), (7, None)]
+    dealt = sharding.deal(spark.createDataFrame(rows, DOCS.split(", lang")[0]).withColumn("text_crc32", F.lit("x")), shards)
+    want = brute_shards(rows, shards)
+    by_size = defaultdict(list)
+    for (k, t), v in want.items():
+        by_size[k, len((t or "").encode()) + 8].append(v)
+    for x in dealt.collect():
+        assert (x.shard, x.slot) in by_size[x.doc_id, x.size]
+    assert dealt.select("shard", "slot").distinct().count() == len(rows)
+
+
+def test_sharding_of_other_keys(spark):
+    rows = spark.createDataFrame([("a", "t"), ("b", "t"), (None, None), ("c", "u")], "name string, text string")
+    assert sorted((r.shard, r.slot) for r in sharding.deal(rows, 1, "name").collect()) == [(0, 0), (0, 1), (0, 2), (0, 3)]
+
+
+def test_splitters_are_found_by_halving(spark):
+    bounds = ["b", "d", "f"]
+    for n in range(4):
+        got = {r.k: r.range for r in sharding._ranged(spark.createDataFrame([(c,) for c in "abcdefg"], "k string"), bounds[:n]).collect()}
+        assert got == {c: sum(b <= c for b in bounds[:n]) for c in "abcdefg"}
+
+
 # Jaccard
 
 
