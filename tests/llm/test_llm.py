@@ -79,6 +79,16 @@ def test_trigram_queries_are_necessary():
     assert secrets.trigram_query("[0-9a-f]{24,}") == [] and secrets.trigram_query("abc|d") == [] and secrets.trigram_query("a?bcd") == [frozenset({"bcd"})]
 
 
+def test_postings(spark):
+    grams = {"aba", "bab", "abc", "a.c", "://", " ke", "]^-", "\\d\n"}
+    texts = [None, "", "ab", "ABABA abcabc a.c", "x://://", " key]^-", "\\d\n" * 3, "é" * 9 + "abc"]
+    got = defaultdict(list)
+    for r in secrets.postings(docs(spark, texts), grams).collect():
+        got[r.doc_id].append(r.trigram)
+    assert {i: sorted(v) for i, v in got.items()} == {i: w for i, t in enumerate(texts) if (w := sorted(g for g in grams if g in (t or "").lower()))}
+    assert secrets.postings(docs(spark, texts), set()).count() == 0
+
+
 def test_secrets(spark):
     hexed = "0123456789abcdef" * 2
     texts = [*ODD, 'é token = "abcdef" and SECRET:x', f"token=token:abcdefgh {hexed}", "AKIA" + "A" * 16 + " AKIAB", f"passwd: '{hexed}'", "api-key=1 apikey:zzzzzz", "ghp_" + "a1" * 18]
