@@ -544,3 +544,52 @@ def test_registered_domains(spark):
             "a.b.example.com": ("example.com", "com"), "net": ("net", "net"), "": ("", ""), "co.com": ("co.com", "com"), "a.com.b.de": ("b.de", "de"), "x.xco.uk": ("xco.uk", "uk")}
     df = spark.createDataFrame([(h,) for h in want], "host string")
     assert {r[0]: (r[1], r[2]) for r in df.select("host", url_filter.domain_of(F.col("host")), url_filter.suffix_of(F.col("host"))).collect()} == want
+
+
+# all operators on a table: ids that are null or repeat with other texts, and columns whose names clash
+
+CLASHING = ("spans kinds kind n k h key m w s e p r a b t d term trigram path need at before range row mask measures words ws n_words n_hit n_near item items item_id "
+            "text_crc32 size shard slot lang_pred score held_out component_id n_shingles token tokens ids n_tokens part kept removed n_lines base_sha256 label features").split()
+MIXED = ["password = abcdef12 in one", "mail me at a.b@c.de or +49 30 1234567", None, "", words(40, 8), words(40, 8), " ".join(["one two three four five"] * 4), "10.0.0.1\n10.0.0.1\nAKIA" + "A" * 18]
+
+
+def test_language_of_texts_without_words_and_other_keys(spark):
+    """A task whose texts hold no word, in learning and in predicting; keys that are strings."""
+    blank = spark.createDataFrame([(str(i), t, "en") for i, t in enumerate(["", " ", "12", None] * 5)], "name string, text string, lang string")
+    model = language_id.fit(blank, key="name")
+    assert {(r.lang_pred, r.score) for r in language_id.predict(blank, model, key="name").collect()} == {("und", 0.0)}
+    some = blank.union(spark.createDataFrame([("x", "hello world", "en"), ("y", "hallo welt", "de"), (None, "hallo", "de")], blank.schema))
+    got = language_id.predict(some.repartition(7), language_id.fit(some, key="name"), key="name").collect()
+    assert len(got) == 23 and {r.name: r.lang_pred for r in got}["y"] == "de" and sum(r.lang_pred == "und" for r in got) == 20
+
+
+def mixed(spark, ids):
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in zip(ids, MIXED)], DOCS)
+    return frame.withColumns({c: F.lit("mine") for c in CLASHING})
+
+
+def judged(name, frame, spark):
+    bench = spark.createDataFrame([("b", words(40, 8))], "item_id string, text string")
+    return {"op1": lambda: language_id.digest(frame), "op2": lambda: secrets.digest(frame), "op3": lambda: sharding.digest(frame), "op4": lambda: jaccard.classes(frame),
+            "op5": lambda: bpe.digests(frame, vocabulary()), "op7": lambda: decontamination.report(frame, bench), "op8": lambda: quality.judge(frame),
+            "op9": lambda: line_dedup.digest(frame), "op10": lambda: pii.digest(frame)}[name]()
+
+
+@pytest.mark.parametrize("name, left_out", [
+    ("op1", {"held_out", "lang_pred", "score"}), ("op2", set()), ("op3", {"slot", "shard"}), ("op4", {"component_id"}), ("op5", set()), ("op7", set()), ("op8", set()),
+    ("op9", {"n_removed", "removed", "text_sha256"}), ("op10", {"spans"})])
+def test_repeated_and_null_ids_and_clashing_columns(spark, name, left_out):
+    """Each row is judged as with an id of its own, but for what depends on ids (left_out)."""
+    want = judged(name, mixed(spark, range(len(MIXED))), spark)
+    got = judged(name, mixed(spark, [1, 1, None, None, 2, 1, None, 2]), spark)
+    columns = [c for c in want.columns if c not in {"doc_id", *left_out}]
+    assert got.columns == want.columns and Counter(map(str, got.select(columns).collect())) == Counter(map(str, want.select(columns).collect()))
+    assert Counter(r.doc_id for r in got.collect()) == Counter([1, 1, None, None, 2, 1, None, 2])
+
+
+def test_url_ties_nulls_and_clashing_columns(spark):
+    """Pages that repeat wholly, with null ids or urls, each get a row; equal outcomes of two hosts get equal verdicts."""
+    pages = spark.createDataFrame([(1, "http://a.org/x"), (1, "http://a.org/x"), (None, "http://b.org/x"), (2, None), (None, None)], "page_id long, url string").withColumns({c: F.lit("mine") for c in CLASHING})
+    outcomes = spark.createDataFrame([(f"http://{h}.org/x", bad) for h in "ab" for bad in (True, False, True)], "url string, bad boolean")
+    rows = url_filter.judge(pages, outcomes).collect()
+    assert Counter(r.page_id for r in rows) == Counter([1, 1, None, 2, None]) and len({r.verdict for r in rows if r.host.endswith(".org")}) == 1

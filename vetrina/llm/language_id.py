@@ -121,7 +121,8 @@ def fit(docs: DataFrame, fit_docs: int = FIT_DOCS, key: str = "doc_id", text: st
                 for t, lang in zip(x["t"].iloc[i : i + BLOCK], x["lang"].iloc[i : i + BLOCK]):
                     for w in words_of(t):
                         found[w][place[lang]] += 1
-                yield pd.DataFrame(np.array(list(found.values()), dtype=np.int64).reshape(-1, len(langs)), columns=names).assign(w=list(found))[["w", *names]]
+                if found:
+                    yield pd.DataFrame(np.array(list(found.values())), columns=names).assign(w=list(found))[["w", *names]]
 
     sums = [F.sum(c).alias(c) for c in names]
     # one row a word: the counts of all languages side by side
