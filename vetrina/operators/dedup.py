@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vetrina.operators.price import with_key
+from vetrina.operators.ranks import ranked
+
 
 def first_per(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """The first row of each key; null keys are equal to each other."""
@@ -27,9 +30,14 @@ def seeded_sample(df: DataFrame, key: str, seed: str, n: int) -> DataFrame:
 
 
 def chunks(df: DataFrame, key: str, order: list[str], n: int) -> DataFrame:
-    """Adds ``chunk``: batches of n rows of each key."""
-    i = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    return df.withColumn("chunk", F.floor((i - 1) / n).cast("int"))
+    """Adds ``chunk``: batches of n rows of each key, in its order.
+
+    A key's rows are ranked by ranges of (key, order) over the whole table, so that many tasks share a large key; a rank
+    less the key's first gives the chunk.
+    """
+    rows = ranked(df, [key, *order], "_i")
+    first = rows.groupBy(key).agg(F.min("_i").alias("_first"))
+    return with_key(rows, first, key).withColumn("chunk", F.floor((F.col("_i") - F.col("_first")) / n).cast("int")).drop("_i", "_first")
 
 
 def any_rows(*frames: DataFrame) -> DataFrame:
