@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,6 +81,20 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of text that a task holds at once in its own arrays, a single longer text apart.
+BLOCK_BYTES = 8 << 20
+
+
+def blocks(batch: pa.RecordBatch, text: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in slices of so many bytes of text, of one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch[text]), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at, done = 0, 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, done + most, side="right")))
+        yield batch.slice(at, end - at)
+        at, done = end, int(ends[end - 1])
+
+
 def no_spans() -> Column:
     return F.expr("cast(array() as array<struct<s:bigint,e:bigint,m:string>>)")
 

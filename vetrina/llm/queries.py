@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vetrina.llm import bpe, decontamination, jaccard, language_id, line_dedup, pii, quality, secrets, sharding, url_filter
+from vetrina.llm import bpe, decontamination, exact_dedup, jaccard, language_id, line_dedup, phrases, pii, quality, resampling, secrets, sharding, url_filter
 from vetrina.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,8 +62,21 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_language": op1_language, "op2_secrets": op2_secrets, "op3_sharding": op3_sharding, "op4_jaccard": op4_jaccard, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup, "op10_pii": op10_pii}
+    return {"op1_language": op1_language, "op2_secrets": op2_secrets, "op3_sharding": op3_sharding, "op4_jaccard": op4_jaccard, "op5_bpe": op5_bpe, "op6_url_filter": op6_url_filter, "op7_decontamination": op7_decontamination, "op8_quality": op8_quality, "op9_line_dedup": op9_line_dedup, "op10_pii": op10_pii,
+            "op11_resampling": op11_resampling, "op12_phrases": op12_phrases, "op13_exact_dedup": op13_exact_dedup}
 
 
 def spans_sql(text: str, pattern: str, kind: str, rank: int, keep: str = "true", group: int = 0) -> str:
@@ -192,5 +205,33 @@ FROM d LEFT JOIN cov USING (r) LEFT JOIN its USING (r) LEFT JOIN nr USING (r)
 """
 
 
+OP12_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, unnest(pieces) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+t AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, ws, i, unnest(range(1, least(5, len(ws) - i + 1) + 1)) AS k FROM s)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY lang, k, phrase HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+x AS (SELECT lang, unnest([array_to_string(ws[1:k - 1], ' '), array_to_string(ws[2:k], ' ')]) AS phrase, f FROM c WHERE k > 2),
+gone AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN x ON x.lang = c.lang AND x.phrase = c.phrase WHERE x.f >= c.f),
+u AS (SELECT c.lang, c.phrase, ws, c.f AS a, unnest(range(1, k)) AS cut FROM c LEFT JOIN gone ON gone.lang = c.lang AND gone.phrase = c.phrase WHERE gone.phrase IS NULL),
+v AS (
+  SELECT u.lang, u.phrase, a, cut, l.f AS l, r.f AS r, n, ((1000::HUGEINT * a::HUGEINT * n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT))::BIGINT AS score
+  FROM u JOIN f l ON l.lang = u.lang AND l.phrase = array_to_string(ws[1:cut], ' ') JOIN f r ON r.lang = u.lang AND r.phrase = array_to_string(ws[cut + 1:len(ws)], ' ') JOIN t ON t.lang = u.lang),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS i FROM v),
+o AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM b WHERE i = 1)
+SELECT lang, rank, phrase, a, l, r, n, score FROM o WHERE rank <= 2000
+"""
+
+OP13_SQL = """
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(d.t) AS text_sha256 FROM d JOIN g ON g.t = d.t
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_secrets": OP2_SQL, "op4_jaccard": OP4_SQL, "op6_url_filter": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op2_secrets": OP2_SQL, "op4_jaccard": OP4_SQL, "op6_url_filter": OP6_SQL, "op7_decontamination": OP7_SQL, "op8_quality": OP8_SQL, "op9_line_dedup": OP9_SQL,
+            "op12_phrases": OP12_SQL, "op13_exact_dedup": OP13_SQL}
