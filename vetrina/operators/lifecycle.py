@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from vetrina.operators.folds import fold, merged_runs, merged_updates, runs_of, update, updates_of
+
 #: Legal transitions of a key, the rollback and the reset of an expired one among them; final states.
 EDGES = (("NEW", "CATALOG_PARSING"), ("CATALOG_PARSING", "CATALOG_PARSED"), ("CATALOG_PARSED", "VALIDATING"), ("VALIDATING", "VALIDATED"),
          ("VALIDATED", "OBJECT_PARSING"), ("VALIDATING", "REJECTED_BY_MIN_COUNT"), ("VALIDATING", "CATALOG_PARSED"), ("CATALOG_PARSING", "NEW"))
 FINAL = ("OBJECT_PARSING", "REJECTED_BY_MIN_COUNT")
 
 
+#: Requests of a piece of guarded_updates().
+UPDATES = 128
+
+
 def transition_audit(events: DataFrame, edges: tuple = EDGES, final: tuple = FINAL) -> DataFrame:
     """(id, ts, source, target, verdict) of each change of state in (id, ts, seq, state) events."""
     w = Window.partitionBy("id").orderBy("ts", "seq")
@@ -25,10 +31,25 @@ def latest_state(events: DataFrame) -> DataFrame:
     return events.groupBy("id").agg(F.max_by("state", F.struct("ts", "seq")).alias("state"))
 
 
-def guarded_update(snapshot: DataFrame, requests: DataFrame) -> DataFrame:
-    """(id, value, applied): the snapshot (id, value) after requests (id, expected, new); applied is null without a request."""
-    ok = F.col("value") == F.col("expected")
-    return snapshot.join(requests, "id", "left").select("id", F.when(ok, F.col("new")).otherwise(F.col("value")).alias("value"), F.when(F.col("expected").isNotNull(), ok).alias("applied"))
+def guarded_updates(snapshot: DataFrame, requests: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """(id, value, applied, skipped): the snapshot (id, value) after all requests (id, expected, new, and order), and their counts.
+
+    The requests for an id come one after the other in the order given, each guarded by the state that the one before left: it
+    is applied if the state is the one expected. A null equals no state, and a request may set one. Requests that tie come by
+    expected and new. Requests are folded in pieces (folds.py), which have an entry for each state that is expected, so a
+    key may have any number of requests.
+    """
+    asked = requests.select("id", "expected", "new", *order)
+    moves = fold(asked, "id", list(order), updates_of, merged_updates, UPDATES).select(F.col("id").alias("_id"), F.col("s").alias("_moves"))
+    n = asked.groupBy(F.col("id").alias("_rid")).agg(F.count("*").alias("_n"))
+    rows = snapshot.join(moves, F.col("id").eqNullSafe(F.col("_id")), "left").join(n, F.col("id").eqNullSafe(F.col("_rid")), "left").withColumn("_after", update(F.col("value"), F.col("_moves")))
+    return rows.select("id", F.col("_after.v").alias("value"), F.col("_after.n").alias("applied"), (F.coalesce("_n", F.lit(0)) - F.col("_after.n")).alias("skipped"))
+
+
+def guarded_update(snapshot: DataFrame, requests: DataFrame, order: tuple[str, ...] = ()) -> DataFrame:
+    """(id, value, applied): as guarded_updates(); whether any request was applied, null without a request."""
+    some = F.col("applied") + F.col("skipped") > 0
+    return guarded_updates(snapshot, requests, order).select("id", "value", F.when(some, F.col("applied") > 0).alias("applied"))
 
 
 def update_counts(after: DataFrame) -> DataFrame:
@@ -68,10 +89,12 @@ def rollback(keys: DataFrame, verdicts: DataFrame, wanted: DataFrame, source: st
 
 
 def consecutive_errors(events: DataFrame, limit: int = 3) -> DataFrame:
-    """(id, run, blocked) of (id, ts, seq, failed) events: the present run of failures, and whether any run reached the limit. Islands are counted by successes."""
-    w = Window.partitionBy("id").orderBy("ts", "seq").rowsBetween(Window.unboundedPreceding, 0)
-    islands = events.withColumn("island", F.count(F.when(~F.col("failed"), 1)).over(w)).groupBy("id", "island").agg(F.count_if("failed").alias("n"))
-    return islands.groupBy("id").agg(F.max_by("n", "island").alias("run"), (F.max("n") >= limit).alias("blocked"))
+    """(id, run, blocked) of (id, ts, seq, failed) events: the present run of failures, and whether any run reached the limit.
+
+    Runs are summed up in pieces and merged (folds.py); an event that neither failed nor succeeded counts as none.
+    """
+    rows = events.select("id", "ts", "seq", "failed")
+    return fold(rows, "id", ["ts", "seq"], runs_of, merged_runs).select("id", F.col("s.trail").alias("run"), (F.col("s.longest") >= limit).alias("blocked"))
 
 
 def retry_counter(events: DataFrame) -> DataFrame:

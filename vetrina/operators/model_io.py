@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetrina.operators.stages import cap_per_key
+from vetrina.sources.sinks import kept
 
 #: Which noise around an answer is cut off, and how broken answers are read.
 THINK = "(?s)<think>.*?</think>"
@@ -16,7 +17,6 @@ QUOTED_ID = r'"(\d+)"'
 REJECTED = r'\{"id"\s*:\s*"(\d+)"\s*,\s*"reason"\s*:\s*"([^"]*)"'
 #: Classes of photos.
 PHOTO_CLASSES = ("new", "used", "catalog")
-_ANSWER = "passed_ids array<string>, rejected array<struct<id:string,reason:string>>"
 
 
 def prompt_batches(listings: DataFrame, head: str, n: int = 30) -> DataFrame:
@@ -26,35 +26,42 @@ def prompt_batches(listings: DataFrame, head: str, n: int = 30) -> DataFrame:
     return cap_per_key(listings, n).groupBy("key").agg(F.array_sort(F.collect_list(item)).alias("items")).select("key", F.concat(F.lit(head), F.to_json("items")).alias("prompt"))
 
 
-def _valid(text: Column) -> Column:
-    return F.try_parse_json(text).isNotNull()
-
-
 def _found(text: Column, pattern: str) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
 
 
+def _list(json: Column, name: str) -> Column:
+    """The elements of a list of a Variant object, each a Variant; null where there is none."""
+    return F.try_variant_get(json, f"$.{name}", "array<variant>")
+
+
+def _text(x: Column, path: str = "$") -> Column:
+    return F.try_variant_get(x, path, "string")
+
+
 def parse_verdicts(answers: DataFrame, asked: DataFrame) -> DataFrame:
     """(key, item_id, passed, reason, status) from (key, raw) answers to (key, item_id) questions.
 
-    Noise around the JSON is cut off; broken JSON is read by patterns, digits only. An id that the
-    answer doesn't mention is rejected as not covered; an answer without any id gives one error row.
+    Noise around the JSON is cut off; broken JSON is read by patterns, digits only. An answer is parsed once, to a Variant, and the part
+    of it that looks like an object only if the whole is no JSON; what was said is written once for the steps that follow. An id
+    that the answer doesn't mention is rejected as not covered; an answer without any id gives one error row.
     """
     cleaned = F.trim(F.regexp_replace("raw", THINK, ""))
-    text = F.when(_valid(F.col("cleaned")), F.col("cleaned")).otherwise(F.coalesce(
-        _found(F.col("cleaned"), OBJECT), _found(F.col("cleaned"), ANY_OBJECT), F.col("cleaned")))
-    read = answers.select("key", "raw", cleaned.alias("cleaned")).withColumn("text", text).withColumn("json", F.when(_valid(F.col("text")), F.from_json("text", _ANSWER)))
+    part = F.coalesce(_found(F.col("cleaned"), OBJECT), _found(F.col("cleaned"), ANY_OBJECT))
+    read = answers.select("key", "raw", cleaned.alias("cleaned")).withColumn("json", F.coalesce(F.try_parse_json("cleaned"), F.try_parse_json(part)))
     broken = F.col("json").isNull()
-    ids = F.when(broken, F.regexp_extract_all(F.regexp_extract("raw", PASSED_LIST, 1), F.lit(QUOTED_ID), F.lit(1))).otherwise(F.col("json.passed_ids"))
-    pairs = F.when(broken, F.zip_with(F.regexp_extract_all("raw", F.lit(REJECTED), F.lit(1)), F.regexp_extract_all("raw", F.lit(REJECTED), F.lit(2)), lambda i, r: F.struct(i.alias("id"), r.alias("reason")))).otherwise(F.col("json.rejected"))
+    ids = F.when(broken, F.regexp_extract_all(F.regexp_extract("raw", PASSED_LIST, 1), F.lit(QUOTED_ID), F.lit(1))).otherwise(F.transform(_list(F.col("json"), "passed_ids"), lambda x: _text(x)))
+    pairs = F.when(broken, F.zip_with(F.regexp_extract_all("raw", F.lit(REJECTED), F.lit(1)), F.regexp_extract_all("raw", F.lit(REJECTED), F.lit(2)), lambda i, r: F.struct(i.alias("id"), r.alias("reason")))).otherwise(
+        F.transform(_list(F.col("json"), "rejected"), lambda x: F.struct(_text(x, "$.id").alias("id"), _text(x, "$.reason").alias("reason"))))
     some = lambda a, kind: F.coalesce(a, F.expr(f"cast(array() as {kind})"))
     both = read.select("key", some(ids, "array<string>").alias("ids"), some(pairs, "array<struct<id:string,reason:string>>").alias("pairs"))
     said = F.concat(F.transform("ids", lambda i: F.struct(i.alias("item_id"), F.lit(True).alias("passed"), F.lit(None).cast("string").alias("reason"))),
                     F.transform("pairs", lambda p: F.struct(p["id"].alias("item_id"), F.lit(False).alias("passed"), F.coalesce(p["reason"], F.lit("no reason given")).alias("reason"))))
-    rows = both.select("key", F.explode_outer(said).alias("v")).select("key", "v.*")
+    rows = kept(both.select("key", F.explode_outer(said).alias("v")).select("key", "v.*"), "said")
     best = rows.where("item_id is not null").groupBy("key", "item_id").agg(F.max(F.struct("passed", "reason")).alias("x")).select("key", "item_id", "x.passed", "x.reason", F.lit("ok").alias("status"))
     silent = rows.where("item_id is null").select("key", F.lit(None).cast("string").alias("item_id"), F.lit(None).cast("boolean").alias("passed"), F.lit("no id recognised").alias("reason"), F.lit("error").alias("status"))
-    missing = asked.join(best.select("key").distinct(), "key", "left_semi").join(best, ["key", "item_id"], "left_anti").select(
+    heard = rows.where("item_id is not null").select("key").distinct()
+    missing = asked.join(heard, "key", "left_semi").join(rows.where("item_id is not null").select("key", "item_id"), ["key", "item_id"], "left_anti").select(
         "key", "item_id", F.lit(False).alias("passed"), F.lit("not covered by the answer").alias("reason"), F.lit("ok").alias("status"))
     return best.unionByName(silent).unionByName(missing)
 
@@ -75,9 +82,10 @@ def fallback_verdicts(primary: DataFrame, secondary: DataFrame) -> DataFrame:
 def parse_photo_classes(answers: DataFrame) -> DataFrame:
     """(batch_id, name, class, reason) from (batch_id, names, raw): the first mention of a photo counts; unknown classes and silence are errors."""
     cleaned = F.trim(F.regexp_replace("raw", THINK, ""))
-    read = answers.select("batch_id", "names", cleaned.alias("c")).withColumn("c", F.when(_valid(F.col("c")), F.col("c")).otherwise(_found(F.col("c"), r"(?s)\{.*\}")))
-    read = read.withColumn("r", F.when(_valid(F.col("c")), F.from_json("c", "results array<struct<photo:int,status:string,reason:string>>")["results"]))
-    broken = F.col("c").isNull() | ~F.coalesce(_valid(F.col("c")), F.lit(False))
+    read = answers.select("batch_id", "names", cleaned.alias("c")).withColumn("v", F.coalesce(F.try_parse_json("c"), F.try_parse_json(_found(F.col("c"), ANY_OBJECT))))
+    one = lambda x: F.struct(F.try_variant_get(x, "$.photo", "int").alias("photo"), _text(x, "$.status").alias("status"), _text(x, "$.reason").alias("reason"))
+    read = read.select("batch_id", "names", F.col("v").isNull().alias("broken"), F.transform(_list(F.col("v"), "results"), one).alias("r"))
+    broken = F.col("broken")
 
     def first(i: Column) -> Column:
         hit = F.get(F.filter("r", lambda x: x["photo"] == i + 1), F.lit(0))

@@ -1,12 +1,13 @@
-"""Price statistics of a key's listings, from counts of its prices, and verdicts."""
+"""Price statistics of a key's listings, from ranks of its prices, and verdicts."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from vetrina.config import Config
+from vetrina.operators.selection import SPLIT, Count, Rank, Step, by_key, counts
+from vetrina.sources.sinks import kept
 
 STATS = ("n_prices", "q1", "q3", "clean_median", "top_median", "upper_bound")
 
@@ -16,48 +17,46 @@ def price_floor(price: Column, cfg: Config) -> Column:
     return F.coalesce(price >= cfg.min_price, F.lit(False))
 
 
-def stats_by_key(df: DataFrame, cfg: Config = Config(), eligible: Column | None = None, key: str = "key", price: str = "price") -> DataFrame:
-    """(key, STATS): the statistics of the eligible rows' prices of each key, one row a key.
-
-    Rows are counted by (key, price) before they meet, so that a key of very many rows brings one task its distinct
-    prices only. Quartiles are exclusive, from ranks; the rows inside the fences are consecutive ranks, so every median
-    is the mean of two ranks and no array of prices is gathered. One sort by (key, price).
-    """
-    whole = Window.partitionBy(key)
-    upto = whole.orderBy(F.asc_nulls_last("_p")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    p = F.when(F.lit(True) if eligible is None else eligible, F.col(price).cast("double"))
-    ranked = df.select(key, p.alias("_p")).groupBy(key, "_p").agg(F.count("_p").alias("_m")).withColumns(
-        {"_r": F.sum("_m").over(upto), "_n": F.sum("_m").over(whole)})
-    at = lambda rank: F.min(F.when(F.col("_r") >= rank, F.col("_p"))).over(whole)
-    count = lambda rule: F.coalesce(F.sum(F.when(rule, F.col("_m"))).over(whole), F.lit(0))
-    mid = lambda low, high: (at(F.floor((low + high) / 2)) + at(F.ceil((low + high) / 2))) / 2
-    n = F.col("_n")
+def _steps(cfg: Config) -> list[Step]:
+    """The statistics by ranks: quartiles are exclusive; the rows inside the fences are consecutive ranks, so every median is the mean of two."""
+    n, fence = F.col("n"), cfg.fence * (F.col("q3") - F.col("q1"))
+    j = {i: F.greatest(F.lit(1), F.least(n - 1, F.floor(i * (n + 1) / 4))) for i in (1, 3)}
 
     def quartile(i: int) -> Column:
-        j = F.greatest(F.lit(1), F.least(n - 1, F.floor(i * (n + 1) / 4)))
-        d = i * (n + 1) - 4 * j
-        return F.when(n >= 4, (at(j) * (4 - d) + at(j + 1) * d) / 4)
-
-    steps = [
-        {"q1": quartile(1), "q3": quartile(3), "_all": mid(F.lit(1), n)},
-        {"_low": F.col("q1") - cfg.fence * (F.col("q3") - F.col("q1")), "_high": F.col("q3") + cfg.fence * (F.col("q3") - F.col("q1"))},
-        {"_a": count(F.col("_p") < F.col("_low")) + 1, "_b": count(F.col("_p") <= F.col("_high"))},
-        {"_clean": F.when(F.col("_b") >= F.col("_a"), mid(F.col("_a"), F.col("_b")))},
-        {"_c": count((F.col("_p") <= F.col("_high")) & (F.col("_p") <= cfg.extreme * F.col("_clean")))},
-        {"_c": F.when(F.col("_c") < F.col("_a"), F.col("_b")).otherwise(F.col("_c"))},
+        d = i * (n + 1) - 4 * j[i]
+        return F.when(n >= 4, (F.col(f"_at{i}") * (4 - d) + F.col(f"_next{i}") * d) / 4)
+
+    def middle(name: str, low: Column, high: Column) -> Step:
+        return {f"_{name}_low": Rank(F.floor((low + high) / 2)), f"_{name}_high": Rank(F.ceil((low + high) / 2))}
+
+    mean = lambda name: (F.col(f"_{name}_low") + F.col(f"_{name}_high")) / 2
+    clean = F.col("_clean").isNotNull()
+    return [
+        {f"_at{i}": Rank(j[i]) for i in j} | {f"_next{i}": Rank(j[i] + 1) for i in j} | middle("all", F.lit(1), n),
+        {"q1": quartile(1), "q3": quartile(3), "_all": mean("all")},
+        {"_low": F.col("q1") - fence, "_high": F.col("q3") + fence},
+        {"_below": Count(lambda p: p < F.col("_low")), "_b": Count(lambda p: p <= F.col("_high"))},
+        {"_a": F.col("_below") + 1},
+        middle("clean", F.col("_a"), F.col("_b")),
+        {"_clean": F.when(F.col("_b") >= F.col("_a"), mean("clean"))},
+        {"_near": Count(lambda p: (p <= F.col("_high")) & (p <= cfg.extreme * F.col("_clean")))},
+        {"_c": F.when(F.col("_near") < F.col("_a"), F.col("_b")).otherwise(F.col("_near"))},
         {"_k": F.greatest(F.lit(1), F.floor((F.col("_c") - F.col("_a") + 1) * 2 / 5))},
-        {"_top": mid(F.col("_c") - F.col("_k") + 1, F.col("_c"))},
-        {"n_prices": n, "clean_median": F.coalesce("_clean", "_all"), "top_median": F.when(F.col("_clean").isNotNull(), F.col("_top")).otherwise(F.col("_all")),
-         "upper_bound": F.when(F.col("_clean").isNotNull(), F.col("_high")).otherwise(cfg.small_bound * F.col("_all"))},
+        middle("top", F.col("_c") - F.col("_k") + 1, F.col("_c")),
+        {"n_prices": n, "clean_median": F.coalesce("_clean", "_all"), "top_median": F.when(clean, mean("top")).otherwise(F.col("_all")),
+         "upper_bound": F.when(clean, F.col("_high")).otherwise(cfg.small_bound * F.col("_all"))},
     ]
-    for step in steps:
-        ranked = ranked.withColumns(step)
-    return ranked.groupBy(key).agg(*(F.first(c).alias(c) for c in STATS))
+
+
+def stats_by_key(df: DataFrame, cfg: Config = Config(), eligible: Column | None = None, key: str = "key", price: str = "price", split: int = SPLIT) -> DataFrame:
+    """(key, STATS): the statistics of the eligible rows' prices of each key, one row a key, by exact selection (selection.py)."""
+    p = F.when(F.lit(True) if eligible is None else eligible, F.col(price).cast("double"))
+    return by_key(counts(df, key, p), key, _steps(cfg), list(STATS), split)
 
 
 def price_stats(df: DataFrame, cfg: Config = Config(), eligible: Column | None = None, key: str = "key", price: str = "price") -> DataFrame:
-    """df with STATS of its key, see stats_by_key; df is read twice."""
-    return with_key(df, stats_by_key(df, cfg, eligible, key, price), key)
+    """df with STATS of its key, see stats_by_key; df is read for its counts, which are written at once, and for its rows."""
+    return with_key(df, kept(stats_by_key(df, cfg, eligible, key, price), "stats"), key)
 
 
 def with_key(df: DataFrame, by_key: DataFrame, key: str = "key") -> DataFrame:

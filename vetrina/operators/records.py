@@ -48,6 +48,21 @@ def dispatch(rows: DataFrame, status: str = "status", rules: tuple = OUTCOMES, d
                             "close_page": F.coalesce("close_page", F.lit(default[2]))})
 
 
+def variant_path(path: str) -> str:
+    """A dotted path as Spark's path into a Variant: digits are a place in an array, all else a name."""
+    def name(x: str) -> str:
+        if '"' in x and "'" in x:
+            raise ValueError(f"a name with both quotes can't be in a path: {x}")
+        return f"['{x}']" if '"' in x else f'["{x}"]'
+
+    return "$" + "".join(f"[{x}]" if x.isdigit() else name(x) for x in path.split("."))
+
+
 def json_paths(rows: DataFrame, source: str, paths: dict[str, str]) -> DataFrame:
-    """rows with a column for each dotted path into a JSON text."""
-    return rows.withColumns({name: F.get_json_object(source, f"$.{path}") for name, path in paths.items()})
+    """rows with a column, a text, for each dotted path into a JSON text: priceDetailed.value, images.0.url.
+
+    A text is parsed once, to a Variant, however many paths are read; lists and objects are given as JSON. What is no JSON has
+    no values.
+    """
+    parsed = rows.withColumn("_v", F.try_parse_json(source))
+    return parsed.withColumns({name: F.try_variant_get("_v", variant_path(path), "string") for name, path in paths.items()}).drop("_v")

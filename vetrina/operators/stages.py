@@ -2,8 +2,9 @@
 
 A row that a stage rejects stays in the frame with ``alive`` false, so that nothing is computed
 twice for survivors and verdicts. A stage adds its verdict column (null: not judged) and a reason
-column. One key may hold most rows: what a stage must know of a key is aggregated before it moves
-and joined back, and no window gathers a key's rows.
+column. One key may hold most rows: what a stage must know of a key, or of a seller or content in it, is
+aggregated before it moves and joined back. The only window is the limit of rows that a model is
+asked about, which each task applies to its own rows first.
 """
 
 from __future__ import annotations
@@ -14,7 +15,9 @@ from pyspark.sql.window import Window
 
 from vetrina.config import Config
 from vetrina.functions.text import stopword_first_match
+from vetrina.operators.joins import with_group
 from vetrina.operators.price import STATS, price_floor, price_stats, price_verdict, with_key
+from vetrina.sources.sinks import kept
 
 
 def _after(df: DataFrame, stage: str, passed: Column, reason: Column) -> DataFrame:
@@ -30,22 +33,28 @@ def min_count_gate(df: DataFrame, least: int, stage: str, key: str = "key") -> D
         "alive", F.col("alive") & F.col("gate").isNull()).drop("_n")
 
 
-def min_count_gates(df: DataFrame, least: int, stages: list[str], key: str = "key") -> DataFrame:
-    """min_count_gate before the first and after each of the stages at once, for a frame that went through them without gates.
+def gates(df: DataFrame, least: int, stages: list[str], key: str = "key") -> DataFrame:
+    """(key, gate, at): the first gate that a key fails, before the first stage ("catalog") or after each, and its place; null where it passes all.
 
-    A gate takes or leaves whole keys and a stage looks at one key at a time, so the rows of a key are the same up to its first
-    gate: one count a key of the rows that passed so far finds it, and later verdicts become null.
+    For a frame that went through the stages without gates. A gate takes or leaves whole keys and a stage looks at one key at a
+    time, so the rows of a key are the same up to its first gate: one count a key of the rows that passed so far finds it.
     """
     passed, alive = F.lit(True), {"catalog": F.lit(True)}
     for s in stages:
         passed = passed & F.coalesce(F.col(s), F.lit(True))
         alive[s] = passed
     alive[stages[-1]] = passed & F.col("alive")
-    n = df.groupBy(key).agg(*(F.count_if(a).alias(f"_n{i}") for i, a in enumerate(alive.values()))).select(
-        key, F.coalesce(*(F.when(F.col(f"_n{i}") < least, F.struct(F.lit(i).alias("i"), F.lit(s).alias("stage"))) for i, s in enumerate(alive))).alias("_gate"))
-    seen = lambda i: F.col("_gate").isNull() | (F.col("_gate.i") >= i)
-    return with_key(df, n, key).withColumns({c: F.when(seen(i), F.col(c)) for i, s in enumerate(stages, 1) for c in (s, f"{s}_reason")}).withColumns(
-        {"alive": F.col("alive") & F.col("_gate").isNull(), "gate": F.col("_gate.stage")}).drop("_gate")
+    first = F.coalesce(*(F.when(F.col(f"_n{i}") < least, F.struct(F.lit(i).alias("i"), F.lit(s).alias("stage"))) for i, s in enumerate(alive)))
+    return df.groupBy(key).agg(*(F.count_if(a).alias(f"_n{i}") for i, a in enumerate(alive.values()))).select(key, first.alias("_gate")).select(
+        key, F.col("_gate.stage").alias("gate"), F.col("_gate.i").alias("at"))
+
+
+def min_count_gates(df: DataFrame, least: int, stages: list[str], key: str = "key") -> DataFrame:
+    """min_count_gate before the first and after each of the stages at once, see gates(); verdicts after a key's gate become null."""
+    by = gates(df, least, stages, key).select(key, F.col("gate").alias("_failed"), F.col("at").alias("_at"))
+    seen = lambda i: F.col("_at").isNull() | (F.col("_at") >= i)
+    return with_key(df, by, key).withColumns({c: F.when(seen(i), F.col(c)) for i, s in enumerate(stages, 1) for c in (s, f"{s}_reason")}).withColumns(
+        {"alive": F.col("alive") & F.col("_at").isNull(), "gate": F.col("_failed")}).drop("_failed", "_at")
 
 
 def price_stage(df: DataFrame, cfg: Config) -> DataFrame:
@@ -74,17 +83,19 @@ def mechanical_stage(df: DataFrame, cfg: Config, by_row: Column | None = None) -
     return _after(df, "mechanical", F.col("_why").isNull(), F.col("_why")).drop("_why", *STATS)
 
 
-def _best_of(df: DataFrame, stage: str, group: list[Column], bypass: Column) -> DataFrame:
+def _best_of(df: DataFrame, stage: str, group: Column, bypass: Column) -> DataFrame:
     """The best alive row of a group stays: most images, lowest price, then item_id. Only fail rows get a verdict.
 
-    Rows that take no part are dealt by item_id.
+    A group's best is an aggregate that starts in each task, and is joined back without gathering a group. Rows of one key and
+    item_id are one item.
     """
-    in_group = F.col("alive") & ~bypass
-    w = Window.partitionBy("key", F.when(~in_group, F.xxhash64("item_id")), *(F.when(in_group, g) for g in group)).orderBy(F.coalesce("images_count", F.lit(0)).desc(), F.coalesce("price", F.lit(0.0)), "item_id")
-    df = df.withColumns({"_i": F.row_number().over(w), "_kept": F.first("item_id").over(w), "_in": in_group})
-    loses = F.col("_in") & (F.col("_i") > 1)
-    return df.withColumns({stage: F.when(loses, False), f"{stage}_reason": F.when(loses, F.concat(F.lit("kept:"), F.col("_kept")))}).withColumn(
-        "alive", F.col("alive") & ~loses).drop("_i", "_kept", "_in")
+    rows = df.withColumns({"_g": group, "_in": F.col("alive") & ~bypass})
+    order = F.struct((-F.coalesce("images_count", F.lit(0))).alias("i"), F.coalesce("price", F.lit(0.0)).alias("p"), "item_id")
+    best = kept(rows.where("_in").groupBy("key", "_g").agg(F.min(order)["item_id"].alias("_kept"), F.count("*").alias("_n")), "best")
+    rows = with_group(rows, best, ["key", "_g"], "_n", F.xxhash64("item_id"), F.col("_in"))
+    loses = F.col("_kept").isNotNull() & ~F.col("item_id").eqNullSafe(F.col("_kept"))
+    return rows.withColumn("_loses", loses).withColumns({stage: F.when(F.col("_loses"), False), f"{stage}_reason": F.when(F.col("_loses"), F.concat(F.lit("kept:"), F.col("_kept")))}).withColumn(
+        "alive", F.col("alive") & ~F.col("_loses")).drop("_g", "_in", "_kept", "_n", "_loses")
 
 
 def seller_key() -> Column:
@@ -93,12 +104,12 @@ def seller_key() -> Column:
 
 
 def seller_dedup(df: DataFrame) -> DataFrame:
-    return _best_of(df, "seller_dedup", [seller_key()], F.lit(False))
+    return _best_of(df, "seller_dedup", seller_key(), F.lit(False))
 
 
 def content_hash_dedup(df: DataFrame, hash_col: str = "image_hash") -> DataFrame:
     """Rows without content bypass."""
-    return _best_of(df, "image_dedup", [F.col(hash_col)], F.col(hash_col).isNull())
+    return _best_of(df, "image_dedup", F.col(hash_col), F.col(hash_col).isNull())
 
 
 def share_above(values: Column, level: float) -> Column:

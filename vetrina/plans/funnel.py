@@ -13,23 +13,32 @@ from vetrina.sources.sinks import kept
 STAGES = ("price_filter", "mechanical", "seller_dedup", "image_dedup", "white_bg", "ai")
 
 
-def funnel(listings: DataFrame, cfg: Config = Config(), accepted: Column | None = None) -> DataFrame:
-    """(key, item_id) of listings with a verdict and a reason column a stage, ``alive`` (passed all) and ``gate`` (stage after which
-    the key had too few).
+def judged(listings: DataFrame, cfg: Config = Config(), accepted: Column | None = None, reasons: bool = True) -> tuple[DataFrame, list[str]]:
+    """The listings after all stages, without gates, and the stages that judged.
 
-    accepted: a model's verdict, if there is a model. What a row shows by itself is computed first, so texts and arrays never move;
-    the narrow rows are written once before the last steps, which read them more than once.
+    What a row shows by itself is computed first, so texts and arrays never move; these narrow rows are written once, as stages
+    read them for what they need of a key and for the rows. So are the rows before the model, which reads them twice.
     """
-    rows = listings.select("key", "item_id", "price", "images_count", "seller_id", "seller_name", "image_hash", S.row_reason(cfg).alias("by_row"),
+    rows = listings.select("key", "item_id", "price", "images_count", S.seller_key().alias("seller_id"), F.lit("").alias("seller_name"), "image_hash", S.row_reason(cfg).alias("by_row"),
                            S.share_above(F.col("pixels"), cfg.white_level).alias("share"), (F.lit(None).cast("boolean") if accepted is None else accepted).alias("accepted"))
-    df = S.price_stage(rows.withColumns({"alive": F.lit(True), "gate": F.lit(None).cast("string")}), cfg)
-    df = S.mechanical_stage(df, cfg, F.col("by_row"))
+    rows = kept(rows, "listings").withColumns({"alive": F.lit(True), "gate": F.lit(None).cast("string")})
+    df = S.mechanical_stage(S.price_stage(rows, cfg), cfg, F.col("by_row"))
     df = S.array_share_stage(S.content_hash_dedup(S.seller_dedup(df)), cfg, share=F.col("share"))
-    judged = [s for s in STAGES if s in df.columns]
-    df = kept(df.select("key", "item_id", "accepted", "alive", "gate", *judged, *(f"{s}_reason" for s in judged)), "funnel")
+    stages = [s for s in STAGES if s in df.columns]
+    df = kept(df.select("key", "item_id", "accepted", "alive", "gate", *stages, *(f"{s}_reason" for s in stages if reasons)), "funnel")
     if accepted is not None:
-        df, judged = S.model_stage(df, cfg, F.col("accepted")), [*judged, "ai"]
-    return S.min_count_gates(df, cfg.min_items, judged).drop("accepted")
+        df, stages = S.model_stage(df, cfg, F.col("accepted")), [*stages, "ai"]
+    return df, stages
+
+
+def funnel(listings: DataFrame, cfg: Config = Config(), accepted: Column | None = None) -> DataFrame:
+    """(key, item_id) of listings with a verdict and a reason column a stage, ``alive`` (passed all) and ``gate`` (stage after which
+    the key had too few).
+
+    accepted: a model's verdict, if there is a model.
+    """
+    df, stages = judged(listings, cfg, accepted)
+    return S.min_count_gates(df, cfg.min_items, stages).drop("accepted")
 
 
 def verdict_log(wide: DataFrame) -> DataFrame:
@@ -40,9 +49,18 @@ def verdict_log(wide: DataFrame) -> DataFrame:
 
 
 def key_states(wide: DataFrame) -> DataFrame:
-    """(key, state, gate): the final state of each key."""
-    gate = F.max("gate").alias("gate")
-    return wide.groupBy("key").agg(gate).select("key", F.when(F.col("gate").isNull(), "VALIDATED").otherwise("REJECTED_BY_MIN_COUNT").alias("state"), "gate")
+    """(key, state, gate): the final state of each key of a funnel frame."""
+    return _states(wide.groupBy("key").agg(F.max("gate").alias("gate")))
+
+
+def final_states(listings: DataFrame, cfg: Config = Config(), accepted: Column | None = None) -> DataFrame:
+    """(key, state, gate) as key_states() of the funnel, from counts alone: no row is joined to its key's gate."""
+    df, stages = judged(listings, cfg, accepted, reasons=False)
+    return _states(S.gates(df, cfg.min_items, stages))
+
+
+def _states(gates: DataFrame) -> DataFrame:
+    return gates.select("key", F.when(F.col("gate").isNull(), "VALIDATED").otherwise("REJECTED_BY_MIN_COUNT").alias("state"), "gate")
 
 
 def stage_counts(log: DataFrame) -> DataFrame:

@@ -114,11 +114,14 @@ def cap(spark: SparkSession, d: str) -> DataFrame:
     return S.cap_per_key(X.listings(spark, d), 10).select("key", "item_id")
 
 
+def _listings(spark: SparkSession, d: str) -> DataFrame:
+    pixels = X.table(spark, d, "embeddings").selectExpr("vec_id", "embedding as pixels")
+    return X.listings(spark, d).join(pixels, "vec_id", "left")
+
+
 def wide(spark: SparkSession, d: str) -> DataFrame:
     """The funnel on the fixture; the model accepts sellers with more than 20 reviews."""
-    pixels = X.table(spark, d, "embeddings").selectExpr("vec_id", "embedding as pixels")
-    rows = X.listings(spark, d).join(pixels, "vec_id", "left")
-    return PF.funnel(rows, CFG, F.col("seller_reviews") > 20)
+    return PF.funnel(_listings(spark, d), CFG, F.col("seller_reviews") > 20)
 
 
 def funnel_ctes() -> list[str]:
@@ -150,7 +153,7 @@ def funnel(spark: SparkSession, d: str) -> DataFrame:
   WHEN key NOT IN (SELECT key FROM l3) THEN 'seller_dedup' WHEN key NOT IN (SELECT key FROM l4) THEN 'image_dedup' WHEN key NOT IN (SELECT key FROM l5) THEN 'white_bg'
   WHEN key NOT IN (SELECT key FROM l6) THEN 'ai' END AS gate FROM (SELECT DISTINCT key FROM listings)""")
 def states(spark: SparkSession, d: str) -> DataFrame:
-    return PF.key_states(wide(spark, d))
+    return PF.final_states(_listings(spark, d), CFG, F.col("seller_reviews") > 20)
 
 
 @query("funnel_stage_counts", X.sql(*funnel_ctes()) + "SELECT key, stage, count(*) AS n, count(*) FILTER (passed) AS n_passed, count(*) FILTER (NOT passed) AS n_failed FROM log GROUP BY key, stage")

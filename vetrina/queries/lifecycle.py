@@ -40,6 +40,24 @@ def guarded_counts(spark: SparkSession, d: str) -> DataFrame:
     return L.update_counts(guarded(spark, d))
 
 
+_STEPS = "(['NEW','CATALOG_PARSED','VALIDATING','VALIDATED'])"
+_REQUESTS = f"""asked AS (SELECT l_partkey::VARCHAR AS id, CASE WHEN l_quantity < 49 THEN {_STEPS}[l_linenumber % 4 + 1] END AS expected, CASE WHEN l_tax < 0.08 THEN {_STEPS}[(l_linenumber + 1) % 4 + 1] END AS new,
+    row_number() OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber, l_suppkey, l_quantity, l_tax) AS i FROM lineitem),
+  walk AS (SELECT key AS id, state AS value, 0 AS i, 0::BIGINT AS applied FROM keys
+    UNION ALL SELECT w.id, CASE WHEN w.value = a.expected THEN a.new ELSE w.value END, a.i, w.applied + CASE WHEN w.value = a.expected THEN 1 ELSE 0 END FROM walk w JOIN asked a ON a.id = w.id AND a.i = w.i + 1)"""
+
+
+@query("guarded_update_sequence", X.sql(X.KEYS, _REQUESTS).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT id, value, applied, i - applied AS skipped FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY i DESC) AS last FROM walk) WHERE last = 1")
+def guarded_sequence(spark: SparkSession, d: str) -> DataFrame:
+    """A part's line items are requests to move its key on, one after the other; some expect or set no state."""
+    steps = "array('NEW','CATALOG_PARSED','VALIDATING','VALIDATED')"
+    asked = t(spark, d, "lineitem").selectExpr(
+        "cast(l_partkey as string) as id", f"case when l_quantity < 49 then {steps}[cast(l_linenumber % 4 as int)] end as expected", f"case when l_tax < 0.08 then {steps}[cast((l_linenumber + 1) % 4 as int)] end as new",
+        "l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_tax")
+    order = ("l_shipdate", "l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_tax")
+    return L.guarded_updates(X.keys(spark, d).selectExpr("key as id", "state as value"), asked, order)
+
+
 @query("oldest_pending", X.sql(X.TASKS) + "SELECT task_id, key FROM tasks WHERE status = 'pending' AND key::BIGINT % 2 = 0 ORDER BY heartbeat_at, task_id LIMIT 25")
 def oldest(spark: SparkSession, d: str) -> DataFrame:
     parents = t(spark, d, "customer").where("c_custkey % 2 = 0").selectExpr("cast(c_custkey as string) as key")

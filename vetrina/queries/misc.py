@@ -95,6 +95,27 @@ def parse_verdicts(spark: SparkSession, d: str) -> DataFrame:
     return M.parse_verdicts(answers(rows), rows.select("key", "item_id"))
 
 
+def odd_answers(rows: DataFrame) -> DataFrame:
+    """Answers in five other forms by key: empty lists, ids as numbers, further fields, no reasons, no list of the passed."""
+    ids = F.array_sort(F.collect_list(F.when(F.col("price") > 50000, F.col("item_id"))))
+    bad = F.array_sort(F.collect_list(F.when(F.col("price") <= 20000, F.struct(F.col("item_id").alias("id"), F.lit("far").alias("reason")))))
+    json = rows.groupBy("key").agg(F.to_json(F.struct(ids.alias("passed_ids"), bad.alias("rejected"))).alias("j"))
+    forms = [F.lit('{"passed_ids": [], "rejected": []}'), F.regexp_replace("j", '"([0-9]+)"', "$1"),
+             F.concat(F.lit('<think>[1]</think>\n{"note": {"ids": ["1"]}, "x": null, '), F.substring("j", F.lit(2), F.length("j"))),
+             F.regexp_replace("j", ',"reason":"far"', ""), F.regexp_replace("j", r'"passed_ids":\[[^\]]*\],', "")]
+    return json.select("key", F.element_at(F.array(*forms), (F.col("key").cast("bigint") % 5 + 1).cast("int")).alias("raw"))
+
+
+@query("parse_llm_verdicts_odd", X.sql(X.LISTINGS, "items AS (SELECT DISTINCT key, replace(item_id, '-', '0') AS item_id, price, key::BIGINT % 5 AS form FROM listings)",
+       """said AS (SELECT key, item_id, price > 50000 AS passed, CASE WHEN price <= 20000 THEN CASE WHEN form = 3 THEN 'no reason given' ELSE 'far' END END AS reason
+    FROM items WHERE (price > 50000 AND form IN (1, 2, 3)) OR (price <= 20000 AND form IN (1, 2, 3, 4)))""") + """SELECT key, item_id, passed, reason, 'ok' AS status FROM said
+  UNION ALL SELECT DISTINCT key, NULL, NULL::BOOLEAN, 'no id recognised', 'error' FROM items WHERE key NOT IN (SELECT key FROM said)
+  UNION ALL SELECT i.key, i.item_id, false, 'not covered by the answer', 'ok' FROM items i LEFT JOIN said s ON s.key = i.key AND s.item_id = i.item_id WHERE s.key IS NULL AND i.key IN (SELECT key FROM said)""")
+def parse_odd(spark: SparkSession, d: str) -> DataFrame:
+    rows = items(spark, d)
+    return M.parse_verdicts(odd_answers(rows), rows.select("key", "item_id"))
+
+
 @query("apply_verdicts", X.sql(X.LISTINGS, _ITEMS, _SAID) + "SELECT key, item_id, coalesce(v.passed, false) AS passed, CASE WHEN NOT coalesce(v.passed, false) THEN coalesce(v.reason, 'not_relevant') END AS reason FROM items LEFT JOIN v USING (key, item_id)")
 def apply_verdicts(spark: SparkSession, d: str) -> DataFrame:
     return M.apply_verdicts(items(spark, d), parse_verdicts(spark, d))

@@ -103,6 +103,23 @@ def brand_tokens(spark: SparkSession, d: str) -> DataFrame:
     return P.brand_tokens(rows, brands)
 
 
+_WORDS = "list_transform(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}#]+'), lambda x: x <> '' AND x NOT IN (" + _STOP + ")), lambda x: " + _LATIN + ")"
+
+
+@query("brand_longest_match", "WITH RECURSIVE r AS (SELECT DISTINCT l_partkey AS key, concat_ws(' ', p_name, p_brand, o_orderpriority) AS text FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey), "
+       "b AS (SELECT DISTINCT array_to_string(" + _WORDS + ", ' ') AS brand FROM (SELECT p_brand AS text FROM part UNION SELECT p_name FROM part WHERE p_size < 20 UNION SELECT concat_ws(' ', p_name, p_brand) FROM part WHERE p_size < 5 UNION SELECT o_orderpriority FROM orders)), "
+       "w AS (SELECT key, text, " + _WORDS + """ AS ws FROM r),
+  m AS (SELECT key, text, i, max(n) AS n FROM (SELECT key, text, ws, i, unnest(range(1, len(ws) - i + 2)) AS n FROM (SELECT key, text, ws, unnest(range(1, len(ws) + 1)) AS i FROM w)) x JOIN b ON b.brand = array_to_string(ws[i:i + n - 1], ' ') GROUP BY key, text, i),
+  walk AS (SELECT key, text, 1::BIGINT AS i, len(ws) AS size FROM w UNION ALL SELECT k.key, k.text, k.i + coalesce(m.n, 1), k.size FROM walk k LEFT JOIN m ON m.key = k.key AND m.text = k.text AND m.i = k.i WHERE k.i <= k.size)
+  SELECT m.key, array_to_string(ws[m.i:m.i + m.n - 1], ' ') AS brand, count(*) AS n FROM walk k JOIN m ON m.key = k.key AND m.text = k.text AND m.i = k.i JOIN w ON w.key = m.key AND w.text = m.text GROUP BY ALL""")
+def brand_longest(spark: SparkSession, d: str) -> DataFrame:
+    """Brands, names, names with a brand and priorities, of one word and more, in the texts of a part's listings."""
+    part, orders = t(spark, d, "part"), t(spark, d, "orders")
+    rows = t(spark, d, "lineitem").join(part, F.expr("l_partkey = p_partkey")).join(orders, F.expr("l_orderkey = o_orderkey")).selectExpr("l_partkey as key", "concat_ws(' ', p_name, p_brand, o_orderpriority) as text")
+    brands = part.selectExpr("p_brand as brand").union(part.where("p_size < 20").selectExpr("p_name")).union(part.where("p_size < 5").selectExpr("concat_ws(' ', p_name, p_brand)")).union(orders.selectExpr("o_orderpriority"))
+    return P.brand_matches(rows, brands)
+
+
 @query("missing_keys_sample", X.sql(X.LISTINGS) + "SELECT key, min(price) AS min_price FROM listings WHERE price > 50000 AND key NOT IN (SELECT key FROM listings WHERE images_count = 5) GROUP BY key ORDER BY key LIMIT 20")
 def missing_sample(spark: SparkSession, d: str) -> DataFrame:
     rows = X.listings(spark, d)

@@ -37,7 +37,7 @@ def stream_velocity(spark: SparkSession, d: str) -> DataFrame:
 @query("stream_consecutive_errors", _RUNS)
 def stream_errors(spark: SparkSession, d: str) -> DataFrame:
     rows = events(spark, d).selectExpr("user_id as id", "ts", "event_id as seq", "event_type = 'error' as failed")
-    return J.latest(J.run_once(J.consecutive_errors(rows), shared_path(spark, "errors"), "update"), ["id"]).withColumn("run", F.col("run").cast("long"))
+    return J.consecutive_errors(rows, shared_path(spark, "errors"))
 
 
 @query("stream_status_counts", "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vetrina.sources.tables import StoredTable
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that the session names; a local one only on a local master that names none."""
@@ -24,14 +29,40 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: its readers share one computation, which outlives lost executors."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    if not _KEPT:
+        atexit.register(clear_kept, df.sparkSession)
+    _KEPT.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def append(df: DataFrame, path: str, stamp: str | None = "created_at") -> None:
-    """Appends rows, with the time of writing where stamp names a column that df lacks."""
-    if stamp and stamp not in df.columns:
-        df = df.withColumn(stamp, F.current_timestamp())
-    df.write.mode("append").parquet(path)
+#: Tables that kept() has written and nobody has cleared.
+_KEPT: list[str] = []
+
+
+def clear_kept(spark: SparkSession, but: int = 0) -> int:
+    """Deletes the tables of kept() except the first ones: frames that read them are of no use afterwards. Called as the driver ends."""
+    gone = 0
+    while len(_KEPT) > but:
+        with contextlib.suppress(Exception):  # the session's JVM may have ended before
+            path = spark._jvm.org.apache.hadoop.fs.Path(_KEPT[-1])
+            gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+        _KEPT.pop()
+    return gone
+
+
+@contextlib.contextmanager
+def cleared(spark: SparkSession) -> Iterator[None]:
+    """The tables that kept() writes inside are deleted on leaving, as for a stream's batch, whose result is then written."""
+    before = len(_KEPT)
+    try:
+        yield
+    finally:
+        clear_kept(spark, before)
+
+
+def append(df: DataFrame, path: str, stamp: str | None = "created_at", label: str | None = None) -> bool:
+    """Appends rows in one commit, with the time of writing where stamp names a column that df lacks; a label is committed once."""
+    return StoredTable(df.sparkSession, path).append(df, label, stamp)
 
 
 def unseen(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame:
@@ -47,8 +78,19 @@ def insert_counts(incoming: DataFrame, target: DataFrame, key: str) -> DataFrame
     return incoming.agg(F.count("*").alias("n"), new.scalar().alias("inserted")).select("inserted", (F.col("n") - F.col("inserted")).alias("duplicates"))
 
 
-def replace(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def insert_absent(df: DataFrame, path: str, key: str, label: str | None = None) -> bool:
+    """Inserts the rows whose key the table lacks, in one commit."""
+    return StoredTable(df.sparkSession, path).insert_absent(df, key, label)
+
+
+def replace(df: DataFrame, path: str, label: str | None = None) -> bool:
+    """Replaces a table's rows in one commit."""
+    return StoredTable(df.sparkSession, path).replace(df, label)
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of the last commit."""
+    return StoredTable(spark, path).read()
 
 
 def binary_objects(spark: SparkSession, path: str, wanted: DataFrame, key: str = "name", part: int = -1) -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from vetrina.operators.folds import SIZE, fold, merged_runs, pieces, runs_of
+from vetrina.sources.sinks import cleared
+from vetrina.sources.tables import StoredTable
+
 
 def velocity(rows: DataFrame) -> DataFrame:
     """First and last views of every item, all-time: for update or complete mode, no watermark."""
@@ -59,79 +62,66 @@ def silence_alert(rows: DataFrame, seconds: int, late: str = "1 minute") -> Data
         _Silence(seconds), "id long, silent_since timestamp", "Append", "EventTime")
 
 
-def _runs(none: np.ndarray, key: np.ndarray, part: np.ndarray, at: np.ndarray, seq: np.ndarray, failed: np.ndarray) -> pd.DataFrame:
-    """A row for each key and part: its rows' number, leading, trailing and longest run of failures, in order of at and seq."""
-    order = np.lexsort((seq, at, part, key, none))
-    none, key, part, failed = none[order], key[order], part[order], failed[order]
-    first = np.ones(len(key), dtype=bool)
-    first[1:] = (none[1:] != none[:-1]) | (key[1:] != key[:-1]) | (part[1:] != part[:-1])
-    starts, here = np.flatnonzero(first), np.arange(len(key))
-    size = np.diff(np.append(starts, len(key)))
-    run = here - np.maximum.accumulate(np.where(~failed, here, np.where(first, here - 1, -1)))
-    lead = np.minimum(np.minimum.reduceat(np.where(failed, len(key), here), starts) - starts, size)
-    return pd.DataFrame({"none": none[starts], "key": key[starts], "part": part[starts], "size": size, "lead": lead,
-                         "trail": run[starts + size - 1], "longest": np.maximum.reduceat(run, starts)})
+def _summaries(rows: DataFrame, size: int = SIZE) -> DataFrame:
+    """(id, part, size, lead, trail, longest): the runs of failures of each piece of an id's rows, of so many rows at most."""
+    found, _ = pieces(rows.select("id", "ts", "seq", F.coalesce("failed", F.lit(False)).alias("failed")), "id", ["ts", "seq"], runs_of, size)
+    return found.select("id", F.col("_b").alias("part"), "s.*")
 
 
-def _summaries(rows: DataFrame, seconds: int) -> DataFrame:
-    """(id, part, size, lead, trail, longest) of every slice of time of an id; the slices of one id are dealt to many tasks."""
-    last = F.lit((1 << 63) - 1)  # nulls are last
-    at = F.coalesce(F.unix_micros(F.col("ts").cast("timestamp")), last)
-    flat = rows.select(F.col("id").isNull().alias("none"), F.coalesce(F.col("id").cast("long"), F.lit(0)).alias("key"), at.alias("at"),
-                       F.coalesce(F.col("seq").cast("long"), last).alias("seq"), F.coalesce("failed", F.lit(False)).alias("failed"))
-    names = ["none", "key", "part", "at", "seq", "failed"]
+#: Batches after which the states of all ids are written anew, so that few folders are read for them.
+COMPACT = 16
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found = [[x[c].to_numpy() for c in names] for x in batches if len(x)]
-        if found:
-            yield _runs(*(np.concatenate(c) for c in zip(*found)))
 
-    dealt = flat.withColumn("part", F.expr(f"at div {seconds * 1_000_000}")).select(*names).repartition("none", "key", "part")
-    out = dealt.mapInPandas(run, "none boolean, key long, part long, size long, lead long, trail long, longest long")
-    return out.select(F.when(~F.col("none"), F.col("key")).alias("id"), "part", "size", "lead", "trail", "longest")
+def consecutive_errors(rows: DataFrame, path: str, limit: int = 3) -> DataFrame:
+    """Drives a stream of (id, ts, seq, failed) over all there is: (id, run, blocked) of every id. Rows of a later batch count as later.
 
+    A batch's runs are summed up in pieces and merged (folds.py), and joined to the runs that the batches before left. The rows of
+    the ids that changed are committed under the batch's number, so a batch that is run again changes nothing.
+    """
+    table = StoredTable(rows.sparkSession, f"{path}/states")
 
-class _Errors(StatefulProcessor):
-    """The present run of failures of a resource and whether a run has ever reached the limit."""
+    def write(part: DataFrame, batch: int) -> None:
+        failed = part.select("id", "ts", "seq", F.coalesce("failed", F.lit(False)).alias("failed"))
 
-    def __init__(self, limit: int) -> None:
-        self.limit = limit
+        def after(now: DataFrame | None) -> DataFrame:
+            new = fold(failed, "id", ["ts", "seq"], runs_of, merged_runs)
+            old = new.select("id").limit(0).withColumns({"run": F.lit(0).cast("long"), "blocked": F.lit(False)}) if now is None else latest(now, ["id"])
+            old = old.select(F.col("id").alias("_id"), "run", "blocked")
+            run, was = F.coalesce("run", F.lit(0)), F.coalesce("blocked", F.lit(False))
+            s = F.col("s")
+            changed = new.join(old, F.col("id").eqNullSafe(F.col("_id")), "left").select(
+                "id", F.when(s["trail"] == s["size"], run + s["size"]).otherwise(s["trail"]).alias("run"),
+                (was | (run + s["lead"] >= limit) | (s["longest"] >= limit)).alias("blocked"), F.lit(batch).cast("long").alias("batch"))
+            if now is None or batch % COMPACT:
+                return changed
+            return latest(now.unionByName(changed), ["id"]).withColumn("batch", F.lit(batch).cast("long"))
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("run", "n int, blocked boolean")
+        with cleared(rows.sparkSession):
+            table.commit(after, keep=bool(batch % COMPACT), label=str(batch))
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        n, blocked = self.state.get() if self.state.exists() else (0, False)
-        for x in pd.concat(list(rows)).sort_values("part").itertuples(index=False, name="Slice"):  # a row for each slice of time
-            blocked = blocked or n + x.lead >= self.limit or x.longest >= self.limit
-            n = n + x.size if x.lead == x.size else x.trail
-        n = int(n)
-        self.state.update((n, bool(blocked)))
-        yield pd.DataFrame({"id": [key[0]], "run": [n], "blocked": [bool(blocked)]})
+    _drive(rows, path, "append", write)
+    return latest(table.read(), ["id"])
 
 
-def consecutive_errors(rows: DataFrame, limit: int = 3, seconds: int = 600) -> DataFrame:
-    """(id, run, blocked) after each micro-batch; rows have id (long), ts, seq and failed. Rows of a later batch count as later.
+def run_once(df: DataFrame, path: str, mode: str = "append") -> DataFrame:
+    """Drives a streaming frame over all there is and gives the rows, in a table under path. A batch's rows carry its number, ``batch``.
 
-    Only the runs of each slice of so many seconds reach the task that keeps an id's state.
+    A batch is committed under its number, so one that is run again after a lost driver is not written twice.
     """
-    return _summaries(rows, seconds).groupBy("id").transformWithStateInPandas(_Errors(limit), "id long, run int, blocked boolean", "Update", "None")
+    table = StoredTable(df.sparkSession, f"{path}/rows")
+    _drive(df, path, mode, lambda part, batch: table.append(part.withColumn("batch", F.lit(batch).cast("long")), label=str(batch)))
+    return table.read()
 
 
-def run_once(df: DataFrame, path: str, mode: str = "append", latest_by: Column | None = None) -> DataFrame:
-    """Drives a streaming frame over all there is and gives the rows, in a table under path. A batch's rows carry its number, ``batch``."""
+def _drive(df: DataFrame, path: str, mode: str, write: Callable[[DataFrame, int], object]) -> None:
     spark = df.sparkSession
-
-    def write(part: DataFrame, batch: int) -> None:
-        part.withColumn("batch", F.lit(batch).cast("long")).write.mode("append").parquet(f"{path}/rows")
-
     store = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(store, None)
     spark.conf.set(store, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")  # keeps state off the heap; timers need it
-    df.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(write).start().awaitTermination()
-    spark.conf.unset(store) if before is None else spark.conf.set(store, before)
-    schema = df.schema.add("batch", "long")
-    return spark.read.schema(schema).parquet(f"{path}/rows")
+    try:
+        df.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(lambda part, batch: write(part, batch) and None).start().awaitTermination()
+    finally:
+        spark.conf.unset(store) if before is None else spark.conf.set(store, before)
 
 
 def latest(rows: DataFrame, keys: list[str]) -> DataFrame:
