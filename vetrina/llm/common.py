@@ -65,9 +65,9 @@ class Scratch:
     def __enter__(self) -> Scratch:
         return self
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.parquet(path)
+        df.write.parquet(path, compression=compression)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def step(self, df: DataFrame) -> DataFrame:
@@ -76,10 +76,14 @@ class Scratch:
         self.steps += 1
         return self.keep(df, f"step{self.steps}")
 
-    def __exit__(self, *_: object) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+    def drop(self, name: str = "") -> None:
+        """Removes a table that nothing reads any more."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def __exit__(self, *_: object) -> None:
+        self.drop()
+
 
 #: Bytes of text that a task holds at once in its own arrays, a single longer text apart.
 BLOCK_BYTES = 8 << 20
@@ -95,8 +99,8 @@ def blocks(batch: pa.RecordBatch, text: str, most: int = BLOCK_BYTES) -> Iterato
         at, done = end, int(ends[end - 1])
 
 
-def no_spans() -> Column:
-    return F.expr("cast(array() as array<struct<s:bigint,e:bigint,m:string>>)")
+def no_spans(context: bool = False) -> Column:
+    return F.expr(f"cast(array() as array<struct<s:bigint,e:bigint,m:string{',b:string,a:string' if context else ''}>>)")
 
 
 #: Lengths that are summed up at once to place the matches in a text.
@@ -107,17 +111,28 @@ def _sum(lengths: Column, start: Column | int, n: Column | int) -> Column:
     return F.aggregate(F.slice(lengths, start, n), F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def spans_of(text: Column, pattern: str, group: int = 0) -> Column:
+#: Matches and the texts before them that make up the context of a match, so that it is as long as asked for where matches are dense.
+BACK = 4
+
+
+def spans_of(text: Column, pattern: str, group: int = 0, around: int = 0) -> Column:
     """Leftmost non-overlapping matches as array<struct<s, e, m>>, in code points, end exclusive; m is the group.
 
     pattern must not match the empty string: the texts between the matches then give the offsets. These are sums over all
-    matches before, in two steps: of whole runs of matches, and within a run.
+    matches before, in two steps: of whole runs of matches, and within a run. With around, a match has that many characters
+    before it (b), or those of the last few matches and texts before it if these are fewer, and the one after it (a).
     """
     def placed(x: Column) -> Column:
         lengths = F.transform(x["found"], lambda f, i: (F.length(f) + F.length(F.get(x["between"], i))).cast("long"))
         return let(lengths, lambda ls: let(_bases(ls), lambda bases: F.transform(x["found"], lambda f, i: let(
             F.get(bases, F.floor(i / RUN).cast("int")) + _sum(ls, i - i % RUN + 1, i % RUN + 1), lambda e: F.struct(
-                (e - F.length(f)).alias("s"), e.alias("e"), F.get(x["part"], i).alias("m"))))))
+                (e - F.length(f)).alias("s"), e.alias("e"), F.get(x["part"], i).alias("m"), *(_context(x, i) if around else []))))))
+
+    def _context(x: Column, i: Column) -> list[Column]:
+        part = lambda k: F.coalesce(F.concat(F.get(x["between"], i - k), F.get(x["found"], i - k)), F.lit(""))
+        before = F.concat(*(F.when(i >= k, part(k)).otherwise("") for k in range(BACK, 0, -1)), F.get(x["between"], i))
+        after = F.concat(F.get(x["between"], i + 1), F.coalesce(F.get(x["found"], i + 1), F.lit("")))
+        return [F.right(before, F.lit(around)).alias("b"), F.left(after, F.lit(1)).alias("a")]
 
     def _bases(ls: Column) -> Column:
         starts = F.sequence(F.lit(0), F.size(ls) - 1, F.lit(RUN))
@@ -126,4 +141,17 @@ def spans_of(text: Column, pattern: str, group: int = 0) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     part = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     return F.when(F.regexp_like(text, F.lit(pattern)), let(
-        F.struct(F.split(text, pattern, -1).alias("between"), found.alias("found"), part.alias("part")), placed)).otherwise(no_spans())
+        F.struct(F.split(text, pattern, -1).alias("between"), found.alias("found"), part.alias("part")), placed)).otherwise(no_spans(around > 0))
+
+
+def first_that(sorted_array: Column, rule: Callable[[Column], Column]) -> Column:
+    """The place, from 0, of the first element for which a rule holds that holds for all after it too; the size if there is none."""
+    def half(a: Column, _: Column) -> Column:
+        def step(mid: Column) -> Column:
+            return F.when(a["low"] >= a["high"], a).when(rule(F.get(sorted_array, mid)), F.struct(a["low"].alias("low"), mid.alias("high"))).otherwise(
+                F.struct((mid + 1).alias("low"), a["high"].alias("high")))
+
+        return let(F.floor((a["low"] + a["high"]) / 2).cast("int"), step)
+
+    steps = F.sequence(F.lit(1), F.ceil(F.log2(F.size(sorted_array) + 1.0)).cast("int") + 1)
+    return F.aggregate(steps, F.struct(F.lit(0).alias("low"), F.size(sorted_array).alias("high")), half)["low"]

@@ -1,11 +1,12 @@
 """Collocations: phrases of two to five words that are frequent and hold together, by language.
 
-Texts are packed into blocks of word ids. A block brings its own dictionary of its distinct words;
-their counts are added up over all blocks, frequent words get ids in a distributed ranking, and each
-block gets the ids of its own words back, so no task holds the whole vocabulary. Then phrases are
-counted length by length in counting quotient filters (quotient_filter.py): a task counts the
-phrases of its blocks, cuts its filter at quotient bounds, and the pieces of one quotient range are
-merged as sorted runs. The number of ranges grows with the words, so ranges stay of one size.
+Texts are packed into blocks of word ids. A block brings its own dictionary of its distinct words, in
+pieces by hash ranges of the vocabulary; the pieces of one range meet, their counts are added up, and
+frequent words get ids, which go back to the blocks. So no task holds the whole vocabulary, and the
+ranges grow in number with the tasks that read the texts. Then phrases are counted length by length
+in counting quotient filters (quotient_filter.py): a task counts the phrases of its blocks, cuts its
+filter at quotient bounds, and the pieces of one quotient range are merged as sorted runs. The number of
+ranges grows with the words, so ranges stay of one size.
 
 A phrase can only be frequent if all its parts are: words that aren't frequent break blocks up, and
 before counting length k a position is looked up in a bit table of the frequent phrases of length
@@ -18,11 +19,13 @@ goes for one of just one word more.
 
 Defined cases: a null text is empty; a null language is ``und``; a language without frequent phrases
 has no row; rows that repeat count each time; an empty table gives an empty result. Only text and
-language are read. Texts are taken whole. More than 2^32 frequent words are an error.
+language are read. Texts are taken whole. More than 2^31 frequent words are an error.
 """
 
 from __future__ import annotations
 
+import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +38,6 @@ from pyspark.sql.window import Window
 
 from vetrina.llm.common import Scratch, blocks, cut
 from vetrina.llm.quotient_filter import Limbs, QuotientFilter, permute, restore
-from vetrina.operators.ranks import ranked
 
 BREAKS, BLANK = "[.,;:!?\n-\r]+", "[ \t]+"
 LONGEST = 5
@@ -47,54 +49,126 @@ RANGE_WORDS = 1 << 20
 HELD = 1 << 21
 #: The bit table's bits: so many a phrase, but no more than these.
 BITS_EACH, TABLE_BITS = 16, 1 << 26
-#: Frequent words that are broadcast to the blocks; beyond these they are joined by shuffle.
-BROADCAST_ROWS = 300_000
+#: Words of a block, and distinct words of a task's open blocks, before they are passed on.
+BLOCK_WORDS, BLOCK_NAMES = 1 << 23, 1 << 20
 
 
-def _packed(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """(words, their counts, the texts as places of words from 1 on, with 0 for breaks)."""
+def _packed(texts: pa.Array) -> tuple[list[str], np.ndarray]:
+    """(distinct words, the texts as places of words from 1 on, with 0 for breaks)."""
     spaced = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), BREAKS, " \n ")
     flat = pc.list_flatten(pc.split_pattern_regex(pc.binary_join_element_wise(spaced, "\n", " "), BLANK))
     found = flat.filter(pc.not_equal(flat, "")).dictionary_encode()
-    names = found.dictionary
-    word = pc.not_equal(names, "\n").to_numpy(zero_copy_only=False)
+    word = pc.not_equal(found.dictionary, "\n").to_numpy(zero_copy_only=False)
     place = np.where(word, np.cumsum(word), 0).astype(np.int32)
-    ids = place[found.indices.to_numpy()]
-    return names.filter(pa.array(word)), np.bincount(ids, minlength=int(word.sum()) + 1)[1:], ids
+    return found.dictionary.filter(pa.array(word)).to_pylist(), place[found.indices.to_numpy()]
 
 
-def _blocks(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(block, lang, words, counts, ids): blocks of texts of one language."""
+def _planes(ids: np.ndarray) -> bytes:
+    """32-bit ids with their first bytes first, then their second ones and so on: the high ones are mostly zero."""
+    return ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: pa.Scalar) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data.as_buffer(), dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.uint32)
+
+
+class _Block:
+    """Texts of one language that a task has read, as places in their dictionary."""
+
+    def __init__(self) -> None:
+        self.place: dict[str, int] = {}
+        self.parts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, texts: pa.Array) -> None:
+        words, ids = _packed(texts)
+        place = self.place
+        to = np.array([0, *(place.setdefault(w, len(place) + 1) for w in words)], dtype=np.int32)
+        self.parts.append(to[ids])
+        self.size += len(ids)
+
+    def pieces(self, block: int, lang: str, ranges: int) -> pa.RecordBatch:
+        """A row with the ids, of range -1, and one for each hash range of the dictionary."""
+        ids, words = np.concatenate(self.parts), list(self.place)
+        counts = np.bincount(ids, minlength=len(words) + 1)[1:]
+        part = np.array([zlib.crc32(w.encode()) for w in words], dtype=np.int64) % ranges
+        order = np.argsort(part, kind="stable")
+        some, starts = np.unique(part[order], return_index=True)
+        bounds = pa.array([0, *starts.tolist(), len(words)], pa.int32())  # the first row has no words
+        listed = lambda values: pa.ListArray.from_arrays(bounds, values)
+        n = len(some) + 1
+        return pa.RecordBatch.from_arrays(
+            [pa.array([block] * n), pa.array([lang] * n), pa.array([-1, *some.tolist()], pa.int32()), listed(pa.array(words, pa.string()).take(pa.array(order))),
+             listed(pa.array(order + 1, pa.int32())), listed(pa.array(counts[order], pa.int64())), pa.array([_planes(ids), *[None] * (n - 1)], pa.binary())],
+            ["block", "lang", "range", "words", "at", "counts", "ids"])
+
+
+def _blocks(docs: DataFrame, ranges: int, text: str, lang: str, names: int = BLOCK_NAMES) -> DataFrame:
+    """(block, lang, range, words, at, counts, ids), see _Block.pieces()."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = TaskContext.get().partitionId() << 32
+        number = itertools.count(TaskContext.get().partitionId() << 32)
+        held: dict[str, _Block] = {}
+
+        def out() -> Iterator[pa.RecordBatch]:
+            for name, block in held.items():
+                yield block.pieces(next(number), name, ranges)
+            held.clear()
+
         for batch in batches:
             for x in blocks(batch, "t"):
                 for name in pc.unique(x["lang"]).to_pylist():
-                    words, counts, ids = _packed(x["t"].filter(pc.equal(x["lang"], name)))
-                    if len(words):
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([block]), pa.array([name]), pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words),
-                             pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.array(counts, pa.int64())), pa.array([ids.tobytes()], pa.binary())],
-                            ["block", "lang", "words", "counts", "ids"])
-                        block += 1
+                    held.setdefault(name, _Block()).add(x["t"].filter(pc.equal(x["lang"], name)))
+                if sum(b.size for b in held.values()) > BLOCK_WORDS or sum(len(b.place) for b in held.values()) > names:
+                    yield from out()
+        yield from out()
 
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("t"))
-    return rows.mapInArrow(run, "block long, lang string, words array<string>, counts array<long>, ids binary")
+    return rows.mapInArrow(run, "block long, lang string, range int, words array<string>, at array<int>, counts array<long>, ids binary")
 
 
-def _encoded(packed: DataFrame, words: DataFrame) -> DataFrame:
+def _vocabulary(packed: DataFrame, least: int) -> DataFrame:
+    """(range, lang, n, first, words, f, block, at, place): of each range and language a row with n, the number of its words in all texts,
+    and its frequent words with their counts, whose places in the range start at first; and of each block a row with which of its words have which place among these."""
+    def merge(key: tuple, rows: pa.Table) -> pa.Table:
+        rows, out, base = rows.combine_chunks(), [], 0
+        for name in pc.unique(rows["lang"]).to_pylist():
+            own = rows.filter(pc.equal(rows["lang"], name)).combine_chunks()
+            flat = pc.list_flatten(own["words"]).combine_chunks().dictionary_encode()
+            index, counts = flat.indices.to_numpy(), pc.list_flatten(own["counts"]).to_numpy()
+            f = np.zeros(len(flat.dictionary), dtype=np.int64)
+            np.add.at(f, index, counts)
+            many = f >= least
+            place = np.where(many, base + np.cumsum(many) - 1, -1)
+            out.append((name, int(f.sum()), base, flat.dictionary.filter(pa.array(many)).to_pylist(), f[many].tolist(), None, None, None))
+            base += int(many.sum())
+            at, ids, ends = pc.list_flatten(own["at"]).to_numpy(), place[index], np.cumsum(pc.list_value_length(own["words"]).to_numpy())
+            for block, a, b in zip(own["block"].to_pylist(), np.append(0, ends[:-1]), ends):
+                some = ids[a:b] >= 0
+                if some.any():
+                    out.append((None, None, None, None, None, block, at[a:b][some], ids[a:b][some]))
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int64())]
+        columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+        return pa.Table.from_arrays([pa.array([key[0].as_py()] * len(out), pa.int32()), *columns], names=["range", "lang", "n", "first", "words", "f", "block", "at", "place"])
+
+    pieces = packed.where("range >= 0").select("block", "lang", "range", "words", "at", "counts")
+    return pieces.groupBy("range").applyInArrow(merge, "range int, lang string, n long, first long, words array<string>, f array<long>, block long, at array<int>, place array<long>")
+
+
+def _encoded(packed: DataFrame, vocabulary: DataFrame, bases: DataFrame) -> DataFrame:
     """(ids): the blocks in ids of frequent words, 0 for breaks and others."""
-    own = packed.select("block", "lang", F.posexplode("words").alias("at", "word"))
-    found = own.join(words, ["lang", "word"]).groupBy("block").agg(F.collect_list(F.struct("at", "id")).alias("found"))  # of one block
+    found = vocabulary.where("block is not null").join(F.broadcast(bases), "range").groupBy("block").agg(F.collect_list(F.struct("base", "at", "place")).alias("found"))  # of one block
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for size, raw, pairs in zip(batch["size"].to_pylist(), batch["ids"], batch["found"]):
-                to = np.zeros(size + 1, dtype=np.uint32)
-                to[pairs.values.field("at").to_numpy() + 1] = pairs.values.field("id").to_numpy()
-                yield pa.RecordBatch.from_arrays([pa.array([to[np.frombuffer(raw.as_buffer(), dtype=np.int32)].tobytes()], pa.binary())], ["ids"])
+            for raw, pieces in zip(batch["ids"], batch["found"]):
+                ids = _from_planes(raw)
+                to = np.zeros(int(ids.max(initial=0)) + 1, dtype=np.uint32)
+                lists = pieces.values
+                n = pc.list_value_length(lists.field("at")).to_numpy()
+                to[pc.list_flatten(lists.field("at")).to_numpy()] = pc.list_flatten(lists.field("place")).to_numpy() + np.repeat(lists.field("base").to_numpy(), n)
+                yield pa.RecordBatch.from_arrays([pa.array([_planes(to[ids])], pa.binary())], ["ids"])
 
-    return packed.select("block", F.size("words").alias("size"), "ids").join(found, "block").select("size", "ids", "found").mapInArrow(run, "ids binary")
+    return packed.where("range = -1").select("block", "ids").join(found, "block").select("ids", "found").mapInArrow(run, "ids binary")
 
 
 def _limbs(ids: np.ndarray, at: np.ndarray, k: int) -> Limbs:
@@ -164,7 +238,7 @@ def _frequent(encoded: DataFrame, k: int, tables: list[Table], bits: int, least:
 
         for batch in batches:
             for raw in batch["ids"]:
-                ids = np.frombuffer(raw.as_buffer(), dtype=np.uint32)
+                ids = _from_planes(raw)
                 held.append(QuotientFilter.of(_limbs(ids, _places(ids, k, tables), k)))
                 if sum(map(len, held)) > HELD:
                     yield from out()
@@ -180,17 +254,24 @@ def _frequent(encoded: DataFrame, k: int, tables: list[Table], bits: int, least:
 
 
 def phrases(docs: DataFrame, scratch: Scratch, least: int = LEAST, longest: int = LONGEST, text: str = "text", lang: str = "lang",
-            range_words: int = RANGE_WORDS, broadcast_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
+            range_words: int = RANGE_WORDS, block_names: int = BLOCK_NAMES) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(words, totals, phrases): (lang, word, f, id) of frequent words, (lang, n), and (ids, f) of frequent phrases of one word and more."""
-    packed = scratch.keep(_blocks(docs, text, lang), "packed")
-    counts = scratch.keep(packed.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("x")).groupBy("lang", F.col("x.words").alias("word")).agg(F.sum("x.counts").alias("f")), "counts")
-    totals = counts.groupBy("lang").agg(F.sum("f").alias("n"))
-    words = ranked(counts.where(F.col("f") >= least), ["lang", "word"], "id")
-    n_words, total = words.count(), int(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
-    if n_words >= 1 << 32:
+    tasks = docs.select(F.spark_partition_id().alias("p")).agg(F.coalesce(F.max("p"), F.lit(0)) + 1).first()[0]
+    packed = scratch.keep(_blocks(docs, tasks, text, lang, block_names), "packed", compression="zstd")
+    vocabulary = scratch.keep(_vocabulary(packed, least), "vocabulary")
+    listed = vocabulary.where("block is null")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = listed.groupBy("range").agg(F.sum(F.size("words")).alias("size"))  # as many rows as tasks read the texts
+    bases = scratch.keep(sizes.select("range", (F.coalesce(F.sum("size").over(before), F.lit(0)) + 1).alias("base"), "size"), "bases")
+    n_words = bases.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    words = scratch.keep(listed.join(F.broadcast(bases), "range").select("lang", (F.col("base") + F.col("first")).alias("id"), F.posexplode(F.arrays_zip("words", "f")).alias("i", "x")).select(
+        "lang", F.col("x.words").alias("word"), F.col("x.f").alias("f"), (F.col("id") + F.col("i")).alias("id")), "words")
+    if n_words >= 1 << 31:
         raise ValueError(f"{n_words} frequent words: ids have 32 bits")
-    names = words.select("lang", "word", "id")
-    encoded = scratch.keep(_encoded(packed, F.broadcast(names) if n_words <= broadcast_rows else names), "encoded")
+    totals = listed.groupBy("lang").agg(F.sum("n").alias("n"))
+    total = int(totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    encoded = scratch.keep(_encoded(packed, vocabulary, bases), "encoded", compression="zstd")
+    scratch.drop("packed")
     bits = max(0, (total // range_words).bit_length())
     found, tables = [words.select(F.array("id").alias("ids"), "f")], []
     for k in range(2, longest + 1):
