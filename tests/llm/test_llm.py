@@ -397,6 +397,21 @@ def test_proximity_matches(spark):
     assert rows[0].n_hit == 0 and rows[1].n_hit == 13 and rows[2].n_near == 0
 
 
+@pytest.mark.parametrize("at", [0, 3, 6, 9, 12])
+def test_proximity_is_found_across_one_added_word(spark, at):
+    w = words(13, 21).split()
+    marks = sorted(range(13), key=lambda i: (sum(x == w[i] for x in w), i))[:2]  # all terms are as frequent: the first two places
+    moved = [*w[:at], "extra", *w[at:]]
+    out = decontamination.report(docs(spark, [" ".join(moved)]), spark.createDataFrame([(0, " ".join(w))], "item_id long, text string")).first()
+    assert (out.n_hit, out.n_near) == ((13, 0) if at == 0 else (0, int(min(marks) < at <= max(marks))))
+
+
+def test_proximity_is_of_one_text(spark):
+    item = spark.createDataFrame([(0, "w0 w1")], "item_id long, text string")
+    df = spark.createDataFrame([(1, "w0 a b c"), (1, "z z w1 a b"), (1, "w0 a w1"), (1, "w0 a w1")], "doc_id long, text string")
+    assert sorted((r.n_words, r.n_near) for r in decontamination.report(df, item).collect()) == [(3, 1), (3, 1), (4, 0), (5, 0)]
+
+
 # line dedup
 
 

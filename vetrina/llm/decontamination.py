@@ -29,6 +29,8 @@ SLACK = 3
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Test terms, or anchor rows, up to which that side of a join is broadcast: about 64 MB.
 BROADCAST_ROWS = 500_000
+#: Bits a listed term of the table that longer lists are told by, and all of its bits.
+BITS_EACH, TABLE_BITS = 64, 1 << 26
 
 
 def words_of(text: Column) -> Column:
@@ -52,11 +54,24 @@ def windows(items: DataFrame, size: int = WINDOW, key: str = "item_id", text: st
         F.collect_set("item").alias("items")).select(F.sha2(F.array_join("words", " "), 256).alias("wid"), "words", "items")
 
 
+def _listed(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """The rows of words (term, ...) whose term is listed and, as the filter is hashed, a few others; nothing is moved.
+
+    For lists too large to be broadcast: a bit table of their hashes is, of TABLE_BITS at most.
+    """
+    n = terms.count()
+    bits = max(1 << 12, min(TABLE_BITS, 1 << (BITS_EACH * n).bit_length()))
+    place = F.pmod(F.xxhash64("term"), F.lit(bits))
+    table = terms.select(place.alias("_b")).groupBy(F.expr("_b div 64").alias("_w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_b % 64 as int))")).alias("_m"))
+    hit = words.withColumn("_b", place).withColumn("_w", F.expr("_b div 64")).join(F.broadcast(table), "_w")
+    return hit.where("shiftright(_m, cast(_b % 64 as int)) & 1 = 1").drop("_w", "_b", "_m")
+
+
 def term_counts(docs: DataFrame, terms: DataFrame, text: str = "text") -> DataFrame:
     """(term, n): occurrences in the corpus of the terms listed."""
     words = docs.select(F.explode(words_of(F.col(text))).alias("term"))
-    # where the terms can't be broadcast, the words are counted before they are moved
-    seen = words.join(F.broadcast(terms), "term").groupBy("term").count() if _fits(terms) else words.groupBy("term").count()
+    # where the terms can't be broadcast, the words that may be among them are counted before they are moved
+    seen = (words.join(F.broadcast(terms), "term") if _fits(terms) else _listed(words, terms)).groupBy("term").count()
     return terms.join(seen, "term", "left").select("term", F.coalesce("count", F.lit(0)).alias("n"))
 
 
@@ -73,7 +88,7 @@ def postings(docs: DataFrame, terms: DataFrame, key: str = "doc_id", text: str =
     words = docs.select(F.col(key), F.posexplode(words_of(F.col(text))).alias("pos", "term"))
     if _fits(terms):
         return words.join(F.broadcast(terms), "term")
-    return salted_join(words, terms, "term", F.xxhash64(key, "pos")).where("wid is not null")
+    return salted_join(_listed(words, terms), terms, "term", F.xxhash64(key, "pos")).where("wid is not null")
 
 
 def phrase_starts(docs: DataFrame, wins: DataFrame, slack: int = SLACK, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -100,11 +115,12 @@ def _moved(starts: Column, by: int) -> Column:
 def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, hits, near): hits is array<struct<start, words, items>> of exact phrases, near lists windows with a proximity match."""
     wins = cut(windows(items))
-    found = phrase_starts(docs, wins, key=key, text=text).join(_small(wins), "wid")
-    listed = found.groupBy(F.col(key).alias("_key")).agg(
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t"), F.xxhash64(key, text).alias("row"))  # ids may repeat with other texts
+    found = phrase_starts(rows, wins, key="row", text="t").join(_small(wins), "wid")
+    listed = found.groupBy("row").agg(
         F.collect_list(F.struct("starts", "words", "items")).alias("found"),
         F.collect_set(F.when(F.col("near"), F.col("wid"))).alias("near"))
-    rows = docs.select(key, text).join(listed, F.col(key).eqNullSafe(F.col("_key")), "left")
+    rows = rows.join(listed, "row", "left")
 
     def exact(words: Column) -> Column:
         hits = F.flatten(F.transform("found", lambda x: F.transform(F.filter(
@@ -112,7 +128,7 @@ def matches(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str =
             lambda s: F.struct(s.alias("start"), F.size(x["words"]).alias("n"), x["items"].alias("items")))))
         return F.struct(F.size(words).cast("long").alias("n_words"), hits.alias("hits"))
 
-    return rows.select(key, let(words_of(F.col(text)), exact).alias("x"), F.coalesce(F.size("near"), F.lit(0)).cast("long").alias("n_near")).select(
+    return rows.select(F.col("k").alias(key), let(words_of(F.col("t")), exact).alias("x"), F.coalesce(F.size("near"), F.lit(0)).cast("long").alias("n_near")).select(
         key, "x.n_words", "x.hits", "n_near")
 
 
