@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vetrina.llm import exact_dedup, phrases, resampling
+from vetrina.llm import exact_dedup, language_id, phrases, pii, resampling
 from vetrina.llm.quotient_filter import QuotientFilter, permute, restore
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -141,7 +141,7 @@ def brute_phrases(rows, top, least):
     return ranked
 
 
-@pytest.mark.parametrize("sizes", [{}, {"range_words": 64, "broadcast_rows": 0}])
+@pytest.mark.parametrize("sizes", [{}, {"range_words": 64, "block_names": 5}])
 def test_phrases(spark, sizes):
     texts = ODD + [prose(200, n) for n in range(40)] + ["The cat sat\ton the mat. The cat sat on" for _ in range(30)] + [prose(30_000, 9)]
     langs = ("en", "de", None)
@@ -202,3 +202,59 @@ def test_exact_dedup_edges(spark):
     nulls = rows.withColumn("doc_id", F.when(F.col("doc_id") == 0, 0))
     assert {(r.doc_id, r.keep_id, r.kept) for r in exact_dedup.digest(nulls).collect()} == {(0, 0, True), (None, None, True), (None, 0, False)}
     assert sorted(str(r.doc_id) for r in exact_dedup.keep(nulls).collect()) == ["0", "None"]
+
+
+# letters of languages, spans of long texts
+
+
+def test_only_letters_make_words(spark):
+    assert language_id.words_of("½ ² Ⅷ ① 12_3 a²b É ß ñ́x") == ["a", "b", "é", "ß", "ñ", "x"]
+    texts = ["the cat sat"] * 10 + ["le chat noir"] * 10 + ["½ ²", "Ⅷ ①", "٣٤", "_ - _", "the"]
+    df = spark.createDataFrame([(i, t, "fr" if t.startswith("le") else "en" if i < 20 else None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.digest(df).collect()}
+    assert [got[i] for i in range(20, 25)] == ["und"] * 4 + ["en"]
+
+
+def brute_beside(cands, base):
+    return [(any(b[0] <= s and e <= b[1] for b in base), any(b[0] < e and s < b[1] for b in base)) for s, e in cands]
+
+
+def test_pii_candidates_beside_base_spans(spark):
+    r = random.Random(5)
+    text = "".join(r.choice(["a.b@c.de ", "(at)", "+49 170 1234567 ", "1.2.3.4 ", "4111 1111 1111 1111 ", "12-34-56-78", "x", " ", "99"]) for _ in range(400))
+    rows = pii.propose(docs(spark, [text]))
+    row = rows.first()
+    base = [(b.s, b.e) for k in pii.KINDS for b in row[k]]
+    got = {(x.g, x.s, x.e): x.new for x in pii.features(rows).where("copy < 0").collect()}
+    cands = [(c.gen, c.s, c.e) for c in row.cands if c.copy < 0]
+    assert len(base) > 50 and {c: not inside for c, (inside, _) in zip(cands, brute_beside([c[1:] for c in cands], base))} == got
+    for c in row.cands:
+        assert text[c.s : c.e] == c.src and text[max(0, c.s - 16) : c.s] == c.before and text[c.e : c.e + 1] == c.after
+
+
+def test_pii_of_a_text_of_100_000_emails(spark):
+    import time
+
+    began = time.time()
+    text = " ".join(f"user{i}@mail{i % 97}.com" for i in range(100_000))
+    row = pii.digest(docs(spark, [text])).first()
+    assert row["n_email"] == 100_000 and time.time() - began < 60
+
+
+def test_a_benchmark_too_large_to_broadcast(spark, monkeypatch):
+    """Words that no anchor has are dropped where they are: the filter's only exchanges are those of the listed terms."""
+    from vetrina.llm import decontamination as dc
+
+    r = random.Random(4)
+    ws = [f"w{i}" for i in range(400)]
+    items = spark.createDataFrame([(i, " ".join(r.choice(ws) for _ in range(r.choice([2, 13, 30])))) for i in range(40)], "item_id long, text string")
+    texts = [" ".join(r.choice(ws) for _ in range(60)) for _ in range(30)] + [x["text"] + " and more" for x in items.collect()] + [None, ""]
+    want = sorted(map(tuple, dc.report(docs(spark, texts), items).collect()))
+    monkeypatch.setattr(dc, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, dc.report(docs(spark, texts), items).collect())) == want and sum(x[2] > 0 for x in want) >= 40
+    words = docs(spark, texts).select("doc_id", F.explode(dc.words_of(F.col("text"))).alias("term"))
+    terms = spark.createDataFrame([(w,) for w in ws[:50]], "term string")
+    found = dc._listed(words, terms)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert found.join(terms, "term").count() == words.join(terms, "term").count() and found.count() < words.count() / 4
