@@ -17,12 +17,12 @@ by one. Labels that are null teach nothing. An empty table gives an empty result
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,7 +37,7 @@ SMOOTH = 0.5
 BLOCK = 512
 #: Words whose score vectors a task keeps.
 KNOWN_WORDS = 200_000
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str | None) -> list[str]:
