@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vetrina.config import Config
-from vetrina.operators.selection import SPLIT, Count, Rank, Step, by_key, counts
+from vetrina.operators.selection import SPLIT, Step, by_key, counts
 from vetrina.sources.sinks import kept
 
 STATS = ("n_prices", "q1", "q3", "clean_median", "top_median", "upper_bound")
@@ -19,32 +19,20 @@ def price_floor(price: Column, cfg: Config) -> Column:
 
 def _steps(cfg: Config) -> list[Step]:
     """The statistics by ranks: quartiles are exclusive; the rows inside the fences are consecutive ranks, so every median is the mean of two."""
-    n, fence = F.col("n"), cfg.fence * (F.col("q3") - F.col("q1"))
-    j = {i: F.greatest(F.lit(1), F.least(n - 1, F.floor(i * (n + 1) / 4))) for i in (1, 3)}
-
-    def quartile(i: int) -> Column:
-        d = i * (n + 1) - 4 * j[i]
-        return F.when(n >= 4, (F.col(f"_at{i}") * (4 - d) + F.col(f"_next{i}") * d) / 4)
-
-    def middle(name: str, low: Column, high: Column) -> Step:
-        return {f"_{name}_low": Rank(F.floor((low + high) / 2)), f"_{name}_high": Rank(F.ceil((low + high) / 2))}
-
-    mean = lambda name: (F.col(f"_{name}_low") + F.col(f"_{name}_high")) / 2
-    clean = F.col("_clean").isNotNull()
+    j = {i: f"greatest(1, least(n - 1, floor({i} * (n + 1) / 4)))" for i in (1, 3)}
+    quartile = lambda i: f"if(n >= 4, (_at{i} * (4 - ({i} * (n + 1) - 4 * {j[i]})) + _next{i} * ({i} * (n + 1) - 4 * {j[i]})) / 4, null)"
+    middle = lambda name, low, high: {f"_{name}_low": f"floor(({low} + {high}) / 2)", f"_{name}_high": f"ceil(({low} + {high}) / 2)"}
+    mean = lambda name: f"(_{name}_low + _{name}_high) / 2"
     return [
-        {f"_at{i}": Rank(j[i]) for i in j} | {f"_next{i}": Rank(j[i] + 1) for i in j} | middle("all", F.lit(1), n),
-        {"q1": quartile(1), "q3": quartile(3), "_all": mean("all")},
-        {"_low": F.col("q1") - fence, "_high": F.col("q3") + fence},
-        {"_below": Count(lambda p: p < F.col("_low")), "_b": Count(lambda p: p <= F.col("_high"))},
-        {"_a": F.col("_below") + 1},
-        middle("clean", F.col("_a"), F.col("_b")),
-        {"_clean": F.when(F.col("_b") >= F.col("_a"), mean("clean"))},
-        {"_near": Count(lambda p: (p <= F.col("_high")) & (p <= cfg.extreme * F.col("_clean")))},
-        {"_c": F.when(F.col("_near") < F.col("_a"), F.col("_b")).otherwise(F.col("_near"))},
-        {"_k": F.greatest(F.lit(1), F.floor((F.col("_c") - F.col("_a") + 1) * 2 / 5))},
-        middle("top", F.col("_c") - F.col("_k") + 1, F.col("_c")),
-        {"n_prices": n, "clean_median": F.coalesce("_clean", "_all"), "top_median": F.when(clean, mean("top")).otherwise(F.col("_all")),
-         "upper_bound": F.when(clean, F.col("_high")).otherwise(cfg.small_bound * F.col("_all"))},
+        Step(ranks={f"_at{i}": j[i] for i in j} | {f"_next{i}": f"{j[i]} + 1" for i in j} | middle("all", "1", "n"),
+             then={"q1": quartile(1), "q3": quartile(3), "_all": mean("all"), "_low": f"q1 - {cfg.fence}D * (q3 - q1)", "_high": f"q3 + {cfg.fence}D * (q3 - q1)"}),
+        Step(counts={"_below": "{p} < _low", "_b": "{p} <= _high"}, then={"_a": "_below + 1"}),
+        Step(ranks=middle("clean", "_a", "_b"), then={"_clean": f"if(_b >= _a, {mean('clean')}, null)"}),
+        Step(counts={"_near": f"{{p}} <= _high and {{p}} <= {cfg.extreme}D * _clean"},
+             then={"_c": "if(_near < _a, _b, _near)", "_k": "greatest(1, floor((_c - _a + 1) * 2 / 5))"}),
+        Step(ranks=middle("top", "_c - _k + 1", "_c"),
+             then={"n_prices": "n", "clean_median": "coalesce(_clean, _all)", "top_median": f"if(_clean is null, _all, {mean('top')})",
+                   "upper_bound": f"if(_clean is null, {cfg.small_bound}D * _all, _high)"}),
     ]
 
 

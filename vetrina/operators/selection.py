@@ -1,19 +1,18 @@
 """Exact order statistics of every key, however many rows and distinct values one key has.
 
 Values are counted by (key, value) first. A key of few distinct values is one row with the sorted
-counts, in which a rank or a count is found by one pass. The values of the other keys are dealt into
+counts, in which ranks and counts are found by one pass. The values of the other keys are dealt into
 sampled ranges of (key, value), so that many tasks share a key; each range is counted, the counts of
 the ranges before it give every value its rank in the key, and a rank is the least value whose rank
 reaches it, by an aggregate that starts in each task. No task gathers a key.
 
-A plan is a list of steps. A step of Rank and Count looks values up, at ranks and under bounds that
-steps before it have computed; a step of columns computes.
+A plan is a list of steps, in SQL: values are looked up at ranks and under bounds, then columns are
+computed from them, which the next step's ranks and bounds may use.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,24 +28,16 @@ BROADCAST_KEYS = 100_000
 
 
 @dataclass
-class Rank:
-    """The value at a rank from 1 on; null beyond the last."""
+class Step:
+    """ranks: the value at a rank from 1 on, null beyond the last; counts: how many rows have a value {p} for which a rule holds;
+    then: columns computed afterwards, each of which may use those before it."""
 
-    at: Column
+    ranks: dict[str, str] = field(default_factory=dict)
+    counts: dict[str, str] = field(default_factory=dict)
+    then: dict[str, str] = field(default_factory=dict)
 
-
-@dataclass
-class Count:
-    """How many rows have a value for which a rule holds."""
-
-    rule: Callable[[Column], Column]
-
-
-Step = dict[str, Rank | Count | Column]
-
-
-def _looks(step: Step) -> bool:
-    return all(isinstance(x, (Rank, Count)) for x in step.values())
+    def computed(self) -> list[str]:
+        return [f"{sql} AS {name}" for name, sql in self.then.items()]
 
 
 def counts(df: DataFrame, key: str, value: Column) -> DataFrame:
@@ -57,11 +48,11 @@ def counts(df: DataFrame, key: str, value: Column) -> DataFrame:
 def by_key(counted: DataFrame, key: str, steps: list[Step], wanted: list[str], split: int = SPLIT) -> DataFrame:
     """(key, wanted): what the steps give for each key of counts(); they start from ``n``, the key's number of values."""
     sizes = counted.groupBy(key).agg(F.count("_p").alias("_d"), F.sum("_m").alias("n"))
+    if (sizes.agg(F.max("_d")).first()[0] or 0) <= split:
+        return _in_row(counted, key, steps).select(key, *wanted)
     large = kept(sizes.where(F.col("_d") > split).select(key, "n"), "large")
     many = large.count()
-    if not many:
-        return _in_row(counted, key, steps).select(key, *wanted)
-    sides = large.withColumnRenamed(key, "_key").select("_key")
+    sides = large.select(F.col(key).alias("_key"))
     sides = F.broadcast(sides) if many <= BROADCAST_KEYS else sides
     same = F.col(key).eqNullSafe(F.col("_key"))
     small = _in_row(counted.join(sides, same, "left_anti"), key, steps).select(key, *wanted)
@@ -69,58 +60,35 @@ def by_key(counted: DataFrame, key: str, steps: list[Step], wanted: list[str], s
 
 
 def _in_row(counted: DataFrame, key: str, steps: list[Step]) -> DataFrame:
-    pair = F.struct(F.col("_p").alias("p"), F.col("_m").alias("m"))
-    rows = counted.groupBy(key).agg(F.sort_array(F.collect_list(F.when(F.col("_p").isNotNull(), pair))).alias("_ps"), F.sum("_m").alias("n"))
+    kind = counted.schema["_p"].dataType.simpleString()
+    rows = counted.groupBy(key).agg(F.expr("sort_array(collect_list(if(_p is null, null, struct(_p as p, _m as m))))").alias("_ps"), F.sum("_m").alias("n"))
     for step in steps:
-        if not _looks(step):
-            rows = rows.withColumns(step)
-            continue
-        names = {c: f"_l{i}" for i, c in enumerate(step)}
-        rows = rows.withColumn("_found", F.aggregate("_ps", _start(rows, step, names), _onward(step, names))).withColumns(
-            {c: F.col("_found")[n] for c, n in names.items()}).drop("_found")
+        start = [f"'{c}', cast(null as {kind})" for c in step.ranks] + [f"'{c}', 0L" for c in step.counts]
+        onward = [f"'{c}', coalesce(acc.{c}, if(acc._r + x.m >= {at}, x.p, null))" for c, at in step.ranks.items()] + [
+            f"'{c}', acc.{c} + if({rule.format(p='x.p')}, x.m, 0L)" for c, rule in step.counts.items()]
+        pass_over = f"aggregate(_ps, named_struct('_r', 0L, {', '.join(start)}), (acc, x) -> named_struct('_r', acc._r + x.m, {', '.join(onward)})) AS _found"
+        looked = [f"_found.{c} AS {c}" for c in (*step.ranks, *step.counts)]
+        rows = rows.selectExpr("*", pass_over).selectExpr(*rows.columns, *looked, *step.computed())
     return rows.drop("_ps")
 
 
-def _start(rows: DataFrame, step: Step, names: dict[str, str]) -> Column:
-    """Nothing seen so far."""
-    kind = next(f.dataType.elementType["p"].dataType for f in rows.schema.fields if f.name == "_ps")
-    zero = F.lit(0).cast("long")
-    return F.struct(zero.alias("r"), *((F.lit(None).cast(kind) if isinstance(x, Rank) else zero).alias(names[c]) for c, x in step.items()))
-
-
-def _onward(step: Step, names: dict[str, str]) -> Callable[[Column, Column], Column]:
-    """What is known after one value more."""
-    def onward(acc: Column, x: Column) -> Column:
-        r = acc["r"] + x["m"]
-
-        def look(c: str, what: Rank | Count) -> Column:
-            before = acc[names[c]]
-            if isinstance(what, Rank):
-                return F.coalesce(before, F.when(r >= what.at, x["p"]))
-            return before + F.when(what.rule(x["p"]), x["m"]).otherwise(F.lit(0).cast("long"))
-
-        return F.struct(r.alias("r"), *(look(c, what).alias(names[c]) for c, what in step.items()))
-
-    return onward
-
-
 def _in_ranges(counted: DataFrame, large: DataFrame, many: int, key: str, steps: list[Step]) -> DataFrame:
     order = [key, "_p"]
     rows = kept(counted.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_range", F.shiftright(F.monotonically_increasing_id(), WITHIN)), "ranges")
     sizes = rows.groupBy(key, "_range").agg(F.sum("_m").alias("m"))
     pieces = sizes.groupBy(F.col(key).alias("_key")).agg(F.collect_list(F.struct("_range", "m")).alias("_sizes"))  # a piece for each range that a key is in
-    before = F.aggregate(F.filter("_sizes", lambda x: x["_range"] < F.col("_range")), F.lit(0).cast("long"), lambda a, x: a + x["m"])
+    before = F.expr("aggregate(filter(_sizes, x -> x._range < _range), 0L, (a, x) -> a + x.m)")
     starts = kept(sizes.join(pieces, F.col(key).eqNullSafe(F.col("_key"))).select(F.col("_key"), F.col("_range").alias("_at"), before.alias("_start")), "starts")
     upto = Window.partitionBy("_range", key).orderBy("_p").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = kept(rows.withColumn("_r", F.sum("_m").over(upto)).join(starts, F.col(key).eqNullSafe(F.col("_key")) & (F.col("_range") == F.col("_at"))).select(
         key, "_p", "_m", (F.col("_r") + F.col("_start")).alias("_r")), "ranks")
     known = large
     for step in steps:
-        if not _looks(step):
-            known = known.withColumns(step)
-            continue
         have = [c for c in known.columns if c != key]
         sides = known.withColumnRenamed(key, "_key")
-        looked = [(F.min(F.when(F.col("_r") >= x.at, F.col("_p"))) if isinstance(x, Rank) else F.coalesce(F.sum(F.when(x.rule(F.col("_p")), F.col("_m"))), F.lit(0))).alias(c) for c, x in step.items()]
-        known = rows.join(F.broadcast(sides) if many <= BROADCAST_KEYS else sides, F.col(key).eqNullSafe(F.col("_key"))).groupBy(key).agg(*(F.any_value(c).alias(c) for c in have), *looked)
+        looked = [F.expr(f"min(if(_r >= {at}, _p, null))").alias(c) for c, at in step.ranks.items()] + [
+            F.expr(f"coalesce(sum(if({rule.format(p='_p')}, _m, 0L)), 0L)").alias(c) for c, rule in step.counts.items()]
+        found = rows.join(F.broadcast(sides) if many <= BROADCAST_KEYS else sides, F.col(key).eqNullSafe(F.col("_key"))).groupBy(key).agg(
+            *(F.any_value(c).alias(c) for c in have), *looked)
+        known = found.selectExpr("*", *step.computed())
     return known

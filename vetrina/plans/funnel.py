@@ -17,10 +17,11 @@ def judged(listings: DataFrame, cfg: Config = Config(), accepted: Column | None
     """The listings after all stages, without gates, and the stages that judged.
 
     What a row shows by itself is computed first, so texts and arrays never move; these narrow rows are written once, as stages
-    read them for what they need of a key and for the rows. So are the rows before the model, which reads them twice.
+    read them for what they need of a key and for the rows. So are the rows before the model, which reads them twice. Listings may
+    bring the ``share`` of their pixels, found once an image, in place of ``pixels``.
     """
     rows = listings.select("key", "item_id", "price", "images_count", S.seller_key().alias("seller_id"), F.lit("").alias("seller_name"), "image_hash", S.row_reason(cfg).alias("by_row"),
-                           S.share_above(F.col("pixels"), cfg.white_level).alias("share"), (F.lit(None).cast("boolean") if accepted is None else accepted).alias("accepted"))
+                           (F.col("share") if "share" in listings.columns else S.share_above(F.col("pixels"), cfg.white_level)).alias("share"), (F.lit(None).cast("boolean") if accepted is None else accepted).alias("accepted"))
     rows = kept(rows, "listings").withColumns({"alive": F.lit(True), "gate": F.lit(None).cast("string")})
     df = S.mechanical_stage(S.price_stage(rows, cfg), cfg, F.col("by_row"))
     df = S.array_share_stage(S.content_hash_dedup(S.seller_dedup(df)), cfg, share=F.col("share"))

@@ -7,16 +7,16 @@ from pyspark.sql import functions as F
 
 from vetrina.config import Config
 from vetrina.operators.price import stats_by_key, with_key
-from vetrina.operators.selection import SPLIT, Rank, Step, by_key, counts
+from vetrina.operators.selection import SPLIT, Step, by_key, counts
 from vetrina.sources.sinks import kept
 
 
 def price_profile(rows: DataFrame, max_min: float, low: float, high: float, split: int = SPLIT) -> DataFrame:
     """(key, listings, min, median, avg and max of the price, n_low, n_high) of keys with a cheap listing; the median is exact, by selection."""
-    p, n = F.col("price"), F.col("n")
+    p = F.col("price")
     flat = rows.groupBy("key").agg(F.count("*").alias("listings"), F.min(p).alias("min_price"), F.avg(p).alias("avg_price"), F.max(p).alias("max_price"),
                                    F.count_if(p <= low).alias("n_low"), F.count_if(p <= high).alias("n_high")).where(F.col("min_price") < max_min)
-    steps: list[Step] = [{"_a": Rank(F.floor((n + 1) / 2)), "_b": Rank(F.ceil((n + 1) / 2))}, {"median_price": (F.col("_a") + F.col("_b")) / 2}]
+    steps = [Step(ranks={"_a": "floor((n + 1) / 2)", "_b": "ceil((n + 1) / 2)"}, then={"median_price": "(_a + _b) / 2"})]
     return with_key(flat, by_key(counts(rows, "key", p), "key", steps, ["median_price"], split)).select(
         "key", "listings", "min_price", "median_price", "avg_price", "max_price", "n_low", "n_high")
 

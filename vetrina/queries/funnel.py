@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vetrina import fixtures as X
@@ -12,14 +12,18 @@ from vetrina.operators import price as P
 from vetrina.operators import stages as S
 from vetrina.plans import funnel as PF
 from vetrina.queries import query
+from vetrina.sources.sinks import kept
 
 EDGE = r"[^\p{L}\p{N}_]"
 _TEXT = "lower(concat_ws(' ', coalesce(title, ''), coalesce(snippet, ''), coalesce(seller_name, '')))"
 _WORD = "CASE " + " ".join(f"WHEN regexp_matches({_TEXT}, '(^|{EDGE}){w}($|{EDGE})') THEN '{w}'" for w in CFG.stopwords) + " END"
 
 
-def _alive(spark: SparkSession, d: str) -> DataFrame:
-    return X.listings(spark, d).withColumns({"alive": F.lit(True), "gate": F.lit(None).cast("string")})
+def _alive(spark: SparkSession, d: str, *columns: str | Column) -> DataFrame:
+    """The listings before any stage; with columns, these alone, written once for the stages that read them twice."""
+    rows = X.listings(spark, d)
+    rows = kept(rows.select("key", "item_id", *columns), "rows") if columns else rows
+    return rows.withColumns({"alive": F.lit(True), "gate": F.lit(None).cast("string")})
 
 
 def stats_sql(rows: str) -> str:
@@ -76,7 +80,8 @@ def mechanical_sql(rows: str, name: str) -> str:
 
 @query("mechanical_stage", X.sql(X.LISTINGS, mechanical_sql("listings", "m")) + "SELECT key, item_id, why IS NULL AS passed, why AS reason FROM m")
 def mechanical(spark: SparkSession, d: str) -> DataFrame:
-    return S.mechanical_stage(_alive(spark, d), CFG).select("key", "item_id", F.col("mechanical").alias("passed"), F.col("mechanical_reason").alias("reason"))
+    rows = _alive(spark, d, "price", "images_count", S.row_reason(CFG).alias("by_row"))
+    return S.mechanical_stage(rows, CFG, F.col("by_row")).select("key", "item_id", F.col("mechanical").alias("passed"), F.col("mechanical_reason").alias("reason"))
 
 
 @query("min_count_gate", X.sql(X.LISTINGS) + "SELECT key, count(*) AS n, count(*) >= 30 AS kept FROM listings GROUP BY key")
@@ -94,12 +99,12 @@ _SELLER = "coalesce(nullif(seller_id, ''), nullif(seller_name, ''), '')"
 
 @query("seller_dedup", X.sql(X.LISTINGS, best_sql("listings", _SELLER, "b")) + "SELECT key, item_id, 'kept:' || best AS reason FROM b WHERE i > 1")
 def seller(spark: SparkSession, d: str) -> DataFrame:
-    return S.seller_dedup(_alive(spark, d)).where("not seller_dedup").select("key", "item_id", F.col("seller_dedup_reason").alias("reason"))
+    return S.seller_dedup(_alive(spark, d, "price", "images_count", "seller_id", "seller_name")).where("not seller_dedup").select("key", "item_id", F.col("seller_dedup_reason").alias("reason"))
 
 
 @query("content_hash_dedup", X.sql(X.LISTINGS, best_sql("(SELECT * FROM listings WHERE images_count > 0)", "image_hash", "b")) + "SELECT key, item_id, 'kept:' || best AS reason FROM b WHERE i > 1")
 def image(spark: SparkSession, d: str) -> DataFrame:
-    rows = _alive(spark, d).withColumn("image_hash", F.when(F.col("images_count") > 0, F.col("image_hash")))
+    rows = _alive(spark, d, "price", "images_count", F.when(F.col("images_count") > 0, F.col("image_hash")).alias("image_hash"))
     return S.content_hash_dedup(rows).where("not image_dedup").select("key", "item_id", F.col("image_dedup_reason").alias("reason"))
 
 
@@ -115,8 +120,8 @@ def cap(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _listings(spark: SparkSession, d: str) -> DataFrame:
-    pixels = X.table(spark, d, "embeddings").selectExpr("vec_id", "embedding as pixels")
-    return X.listings(spark, d).join(pixels, "vec_id", "left")
+    share = X.table(spark, d, "embeddings").select("vec_id", S.share_above(F.col("embedding"), CFG.white_level).alias("share"))
+    return X.listings(spark, d).join(kept(share, "share"), "vec_id", "left")
 
 
 def wide(spark: SparkSession, d: str) -> DataFrame:
