@@ -28,13 +28,16 @@ def bounded(word: str) -> str:
 
 
 def stopword_first_match(words: Iterable[str], *parts: Column) -> Column:
-    """The first listed word in the lower-cased, blank-joined parts; null if there is none. The list is walked only for texts that have one."""
+    """The first listed word in the lower-cased, blank-joined parts; null if there is none.
+
+    The list is walked only for texts that have one of the words anywhere, and a word's edges are looked at only where it is found.
+    """
     words = list(words)
     if not words:
         return F.lit(None).cast("string")
     text = F.lower(F.concat_ws(" ", *(F.coalesce(p, F.lit("")) for p in parts)))
-    some = f"(^|{EDGE})({'|'.join(escaped(w.lower()) for w in words)})($|{EDGE})"
-    return F.when(text.rlike(some), F.coalesce(*(F.when(text.rlike(bounded(w)), F.lit(w)) for w in words)))
+    some = "|".join(escaped(w.lower()) for w in words)
+    return F.when(text.rlike(some), F.coalesce(*(F.when(F.contains(text, F.lit(w.lower())) & text.rlike(bounded(w)), F.lit(w)) for w in words)))
 
 
 def nul_scrub(text: Column) -> Column:

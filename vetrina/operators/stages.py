@@ -65,7 +65,7 @@ def row_reason(cfg: Config) -> Column:
     """The first rule that a row fails by itself: image, stop-word, reviews. Null: none."""
     word = stopword_first_match(cfg.stopwords, F.col("title"), F.col("snippet"), F.col("seller_name"))
     few = F.coalesce(F.col("seller_reviews") < cfg.min_reviews, F.lit(True)) if cfg.min_reviews > 0 else F.lit(False)
-    rules = [F.when(word.isNotNull(), F.concat(F.lit("stopword:"), word)), F.when(few, "few_reviews")]
+    rules = [F.concat(F.lit("stopword:"), word), F.when(few, "few_reviews")]  # null without a word
     if cfg.require_images:
         rules.insert(0, F.when(F.coalesce("images_count", F.lit(0)) == 0, "no_image"))
     return F.coalesce(*rules)
@@ -86,12 +86,12 @@ def mechanical_stage(df: DataFrame, cfg: Config, by_row: Column | None = None) -
 def _best_of(df: DataFrame, stage: str, group: Column, bypass: Column) -> DataFrame:
     """The best alive row of a group stays: most images, lowest price, then item_id. Only fail rows get a verdict.
 
-    A group's best is an aggregate that starts in each task, and is joined back without gathering a group. Rows of one key and
-    item_id are one item.
+    A group's best is an aggregate that starts in each task, and is joined back without gathering a group; a row that is alone
+    in its group has nothing to lose to, so only groups of more rows are written and joined. Rows of one key and item_id are one item.
     """
     rows = df.withColumns({"_g": group, "_in": F.col("alive") & ~bypass})
     order = F.struct((-F.coalesce("images_count", F.lit(0))).alias("i"), F.coalesce("price", F.lit(0.0)).alias("p"), "item_id")
-    best = kept(rows.where("_in").groupBy("key", "_g").agg(F.min(order)["item_id"].alias("_kept"), F.count("*").alias("_n")), "best")
+    best = kept(rows.where("_in").groupBy("key", "_g").agg(F.min(order)["item_id"].alias("_kept"), F.count("*").alias("_n")).where("_n > 1"), "best")
     rows = with_group(rows, best, ["key", "_g"], "_n", F.xxhash64("item_id"), F.col("_in"))
     loses = F.col("_kept").isNotNull() & ~F.col("item_id").eqNullSafe(F.col("_kept"))
     return rows.withColumn("_loses", loses).withColumns({stage: F.when(F.col("_loses"), False), f"{stage}_reason": F.when(F.col("_loses"), F.concat(F.lit("kept:"), F.col("_kept")))}).withColumn(
