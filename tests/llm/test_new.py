@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vetrina.llm import exact_dedup, language_id, phrases, pii, resampling
+from vetrina.llm import exact_dedup, language_id, phrases, pii, resampling, secrets
 from vetrina.llm.quotient_filter import QuotientFilter, permute, restore
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -258,3 +258,21 @@ def test_a_benchmark_too_large_to_broadcast(spark, monkeypatch):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 1
     assert found.join(terms, "term").count() == words.join(terms, "term").count() and found.count() < words.count() / 4
+
+
+def test_signed_tokens_by_their_definition(spark):
+    rule = next(r for r in secrets.MORE if r.kind == "jwt")
+    r, parts = random.Random(5), ["eyJ", "eyJabcdefgh", "abcdefgh", "a-_0", ".", ".eyJabcdefgh", ".eyJabcdefgh", ".abcdefgh", " é", "ey"]
+    texts = ["".join(r.choice(parts) for _ in range(r.randrange(40))) for _ in range(600)] + ["xeyJeyJ12345678.eyJ12345678.12345678.eyJ12345678.12345678"]
+    got = {x.doc_id: [(s.s, s.e) for s in x.spans if s.kind == "jwt"] for x in secrets.scan(docs(spark, texts)).collect()}
+    want = {i: [m.span() for m in re.finditer(rule.pattern, t)] for i, t in enumerate(texts)}
+    assert got == want
+    assert sum(map(len, want.values())) > 100
+
+
+def test_secrets_of_a_text_of_200_000_marks(spark):
+    import time
+
+    began = time.time()
+    text = "eyJ" * 200_000 + " eyJabcdefgh.eyJabcdefgh.abcdefgh"
+    assert secrets.digest(docs(spark, [text])).first()["spans"] == f"jwt:600001:{len(text)}" and time.time() - began < 60

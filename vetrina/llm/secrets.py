@@ -7,7 +7,7 @@ are then verified with the expression itself. A rule without mandatory trigrams
 
 Defined cases: a null text is empty and has no spans; a null key is joined null-safely;
 repeated rows are judged one by one; an empty table gives an empty result; other columns of the
-input are not read. Very long texts are scanned whole.
+input are not read. Very long texts are scanned whole, in time that grows as their length.
 """
 
 from __future__ import annotations
@@ -25,12 +25,16 @@ from vetrina.llm.common import no_spans, spans_of
 
 @dataclass(frozen=True)
 class Rule:
-    """kind; pattern, with no flags; group whose length is at least least."""
+    """kind; pattern, with no flags; group whose length is at least least.
+
+    once: an expression whose group 1, at its end, is each match of pattern, where pattern would read one run again from many places.
+    """
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 0
+    once: str = ""
 
 
 def either_case(word: str) -> str:
@@ -43,10 +47,13 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+#: Characters of a part of a signed token; a part ends where its run of them does, so what its first mark can't begin, no later one can.
+PART = "[A-Za-z0-9_-]"
 MORE = (
     Rule("github", r"gh[opsu]_[A-Za-z0-9]{36}"),
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
+    Rule("jwt", rf"eyJ{PART}{{8,}}\.eyJ{PART}{{8,}}\.{PART}{{8,}}",
+         once=rf"(?<!{PART})(?>{PART}*?(?=eyJ))(eyJ{PART}{{8,}}+\.eyJ{PART}{{8,}}+\.{PART}{{8,}}+)"),
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("url_login", r"[a-z]{2,12}://[A-Za-z0-9._-]+:[^\x00-\x20/:@]+@"),
@@ -124,6 +131,8 @@ def candidates(docs: DataFrame, rules: Iterable[Rule], key: str = "doc_id", text
 
 def _verified(text: Column, r: Rule) -> Column:
     """array<struct<s, k, e, kind>> of a rule, unordered kinds apart."""
+    if r.once:
+        return F.transform(spans_of(text, r.once, 1), lambda x: F.struct((x["e"] - F.length(x["m"])).alias("s"), x["e"].alias("e"), x["m"].alias("m")))
     found = spans_of(text, r.pattern, r.group)
     return F.filter(found, lambda x: F.length(x["m"]) >= r.least) if r.least else found
 
