@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from vetrina.llm import exact_dedup, language_id, phrases, pii, resampling, secrets
@@ -276,3 +277,33 @@ def test_secrets_of_a_text_of_200_000_marks(spark):
     began = time.time()
     text = "eyJ" * 200_000 + " eyJabcdefgh.eyJabcdefgh.abcdefgh"
     assert secrets.digest(docs(spark, [text])).first()["spans"] == f"jwt:600001:{len(text)}" and time.time() - began < 60
+
+
+def labelled(spark, n, **columns):
+    """n labelled candidates of one generator; features not named are zero."""
+    given = {"g": "1", "gen": "1", "src": "string(id)"} | columns
+    return spark.range(n).select(F.col("id").alias("rid"), *(F.expr(given.get(c, "0")).cast(t).alias(c) for c, t in
+                                 [("g", "int"), ("s", "long"), ("e", "long"), ("new", "boolean"), ("copy", "int"), ("src", "string"), *((f, "double") for f in ("label", *pii.FEATURES))]))
+
+
+def test_pii_fits_on_all_labelled_candidates(spark):
+    """Many more of them than weigh in full: the first tree's leaves are the means of all, and thresholds are those of all."""
+    cands = labelled(spark, 60_000, luhn="id % 2", label="if(crc32(string(id)) % 10 < if(id % 2 = 1, 9, 3), 1, 0)").cache()
+    model, limits = pii.fit(cands)
+    n = {(r.luhn, r.label): r.n for r in cands.groupBy("luhn", "label").agg(F.count("*").alias("n")).collect()}
+    wrong, right = (sum(n[x, y] for x in (0, 1)) for y in (0, 1))
+    for x in (0, 1):
+        p, q = n[x, 1] / right, n[x, 0] / wrong
+        assert model.trees[0].predict(Vectors.dense([float(x) if f == "luhn" else 1.0 if f == "gen" else 0.0 for f in pii.FEATURES])) == pytest.approx((p - q) / (p + q), abs=1e-9)
+    assert limits == {}  # of those with the digit right, less than 95 % are hits
+    assert pii.tally(cands).agg(F.sum("n")).first()[0] == 60_000
+
+
+def test_pii_splits_at_values_of_one_candidate_in_many(spark):
+    """More candidates that differ than Spark ML would look at for split places: the few that have a label's features are still told apart."""
+    rare = ("plus", "parens", "ats", "octets")
+    cands = labelled(spark, 30_000, chars="id % 300", seps="floor(id / 300)", label="if(id in (7, 777, 7777, 17777), 1, 0)",
+                     **{f: f"if(id = {i}, 1, 0)" for f, i in zip(rare, (7, 777, 7777, 17777))}).cache()
+    model, _ = pii.fit(cands)
+    for f in rare:
+        assert model.featureImportances[pii.FEATURES.index(f)] > 0, f

@@ -10,20 +10,24 @@ Whether a base rule matched is not what the trees learn, as they are to find wha
 Weak labels come from copies of base spans in other forms at the same place ('+' or the country
 code left out, '@' written as '(at)', other separators; dates and broken check digits as
 negatives) and from rules on format and context (cue words, glued letters, impossible counts of
-digits). Other candidates have no label, but all are scored. The trees are fitted on at most
-``FIT_ROWS`` labelled candidates (in expectation), picked by hash, an equal share for each
-generator and label; all copies of one span are in one fold. As copies do not come in the numbers
-in which cases occur, a threshold weighs the positives of a generator as much as its negatives,
-and it is at least even odds.
+digits). Other candidates have no label, but all are scored. The trees are fitted on all labelled
+candidates: those with the same features and label are one row with their number as weight, which
+comes to the same. A label of a generator with very many candidates is weighed down, so that none
+outweighs the rest. The candidates are in folds, all copies of one span in one; each fold is scored
+by trees fitted on the others, and the thresholds come from these scores of all labelled candidates.
+As copies do not come in the numbers in which cases occur, a threshold weighs the positives of a
+generator as much as its negatives, and it is at least even odds.
 
 Defined cases: a null text is empty and has no spans; repeated rows are judged one by one; with no
-labelled candidates of both classes nothing is added to the base spans; an empty table gives an empty
-result. Other columns are not read. Texts are scanned whole.
+labelled candidates of both classes nothing is added to the base spans; a fold whose others lack a
+class is not scored; an empty table gives an empty result. Other columns are not read. Texts are scanned whole.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -51,7 +55,10 @@ GENERATORS = {
     "x_dotted": DIGITS + r"(?:\.[0-9]++){3,}+",
     "x_groups": r"[0-9]{2,4}(?:[\x20-][0-9]{2,4}){2,4}+",
 }
-FIT_ROWS = 20_000
+FOLDS = 4
+#: What all labels of all generators weigh together at most, each as much; one with fewer candidates than its part weighs their number.
+FULL_WEIGHT = 20_000
+LEAST_SPLITS = 32
 MIN_PRECISION = 0.95
 BINS = 50
 FEATURES = ("gen", "chars", "digits", "seps", "plus", "parens", "dots", "dashes", "ats", "groups", "luhn", "octets", "left_word", "right_word", "left_digit", "cue")
@@ -172,10 +179,10 @@ def propose(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
 def features(rows: DataFrame) -> DataFrame:
     """(rid, gen, s, e, new, copy, src, label, features as doubles): a row for each candidate; new ones are to be scored."""
     def beside(x: Column, kind: str) -> Column:
-        """Whether a candidate lies inside a base span of a kind, and whether it touches one: the first that ends after it begins tells."""
+        """Whether a candidate lies inside a base span of a kind, and whether it touches one: the first that ends after it begins tells. Copies need neither."""
         at = let(F.get(kind, first_that(F.col(kind), lambda b: b["e"] > x["s"])), lambda b: F.struct(
             F.coalesce((b["s"] <= x["s"]) & (x["e"] <= b["e"]), F.lit(False)).alias("inside"), F.coalesce(b["s"] < x["e"], F.lit(False)).alias("touch")))
-        return F.when(F.size(kind) > 0, at).otherwise(F.struct(F.lit(False).alias("inside"), F.lit(False).alias("touch")))
+        return F.when((F.size(kind) > 0) & x["given"].isNull(), at).otherwise(F.struct(F.lit(False).alias("inside"), F.lit(False).alias("touch")))
 
     c = F.explode(F.transform("cands", lambda x: let(F.array(*(beside(x, k) for k in KINDS)), lambda found: F.struct(
         x.alias("c"), F.exists(found, lambda f: f["inside"]).alias("inside"), F.exists(found, lambda f: f["touch"]).alias("touch"))))).alias("x")
@@ -210,30 +217,46 @@ def _weak() -> Column:
     return F.when(mail, F.when(bad_mail, 0.0)).when(bad_number, 0.0).when(said, 1.0)
 
 
-def fit(cands: DataFrame, fit_rows: int = FIT_ROWS):  # noqa: ANN201
-    """(model or None, {generator: threshold}): fitted and calibrated on disjoint hash folds of a bounded sample."""
-    known = cands.where("label is not null")
-    counts = [tuple(r) for r in known.groupBy("g", "label").count().collect()]  # at most two a generator
-    if len({x for _, x, _ in counts}) < 2:
+def tally(cands: DataFrame) -> DataFrame:
+    """(label, fold, features, n): all labelled candidates, with those alike counted instead of repeated."""
+    fold = F.pmod(F.xxhash64("src"), F.lit(FOLDS)).cast("int").alias("fold")
+    return cands.where("label is not null").groupBy("label", fold, *FEATURES).agg(F.count("*").cast("double").alias("n"))
+
+
+def fit(cands: DataFrame):  # noqa: ANN201
+    """(model or None, {generator: threshold}): fitted on all labelled candidates; for the thresholds each fold is scored by trees fitted on the others."""
+    known = cut(tally(cands))
+    counts = [tuple(r) for r in known.groupBy("fold", "gen", "label").agg(F.count("*"), F.sum("n")).collect()]  # at most folds x generators x 2
+    weighed: dict[tuple, float] = {}
+    for _, g, x, _, n in counts:
+        weighed[g, x] = weighed.get((g, x), 0.0) + n
+    share = F.element_at(F.create_map(*(F.lit(v) for (g, x), n in weighed.items() for v in (f"{g:.0f} {x:.0f}", min(1.0, FULL_WEIGHT / len(weighed) / n)))),
+                         F.format_string("%.0f %.0f", "gen", "label")) if weighed else F.lit(1.0)
+    rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known.withColumn("weight", F.col("n") * share))
+
+    def trees(without: int | None = None):  # noqa: ANN202
+        """Fitted on all folds but one; None if they lack a label."""
+        parts = [(x, k) for f, _, x, k, _ in counts if f != without]
+        if len({x for x, _ in parts}) < 2:
+            return None
+        # Spark ML looks for split places in a sample of maxBins squared rows, or 10,000: so many bins that it is all rows
+        bins = max(LEAST_SPLITS, math.isqrt(sum(k for _, k in parts)) + 1)
+        return GBTClassifier(maxIter=6, maxDepth=3, maxBins=bins, stepSize=0.3, seed=7, featuresCol="features", labelCol="label", weightCol="weight").fit(
+            rows if without is None else rows.where(F.col("fold") != without))
+
+    model = trees()
+    apart = {f: m for f in sorted({f for f, *_ in counts}) if model and (m := trees(f))}
+    if not apart:
         return None, {}
-    share = F.element_at(F.create_map(*(F.lit(v) for g, x, n in counts for v in (f"{g} {x:.0f}", min(1.0, fit_rows / len(counts) / n)))), F.format_string("%d %.0f", "g", "label"))
-    pick = F.pmod(F.xxhash64("rid", "s", "e", "g", "copy"), F.lit(1 << 52)) / (1 << 52)
-    sample = cut(known.where(pick < share).withColumn("held", F.pmod(F.xxhash64("src"), F.lit(4)) == 0))
-    joined = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    trees = GBTClassifier(maxIter=6, maxDepth=3, maxBins=32, stepSize=0.3, seed=7, featuresCol="features", labelCol="label")
-    train = joined.transform(sample.where("not held"))
-    if train.select("label").distinct().count() < 2:
-        return None, {}
-    model = trees.fit(train)
-    scored = model.transform(joined.transform(sample.where("held"))).select("g", "label", _bin().alias("b"))
+    scored = reduce(DataFrame.union, (m.transform(rows.where(F.col("fold") == f)).select(F.col("gen").cast("int").alias("g"), "label", "n", _bin().alias("b")) for f, m in apart.items()))
     bins: dict[int, list] = {}
-    for r in scored.groupBy("g", "b").agg(F.sum("label").alias("hits"), F.count("*").alias("n")).orderBy("g", F.desc("b")).collect():  # at most generators x bins rows
+    for r in scored.groupBy("g", "b").agg(F.sum(F.col("label") * F.col("n")).alias("hits"), F.sum("n").alias("n")).orderBy("g", F.desc("b")).collect():  # at most generators x bins rows
         bins.setdefault(r["g"], []).append((r["b"], r["hits"], r["n"]))
     limits = {}
-    for g, rows in bins.items():
-        right, wrong = sum(h for _, h, _ in rows), sum(k - h for _, h, k in rows)
+    for g, found in bins.items():
+        right, wrong = sum(h for _, h, _ in found), sum(k - h for _, h, k in found)
         hits = misses = 0.0
-        for b, h, k in rows:
+        for b, h, k in found:
             hits, misses = hits + h / max(1, right), misses + (k - h) / max(1, wrong)
             if h and 2 * b >= BINS and hits >= MIN_PRECISION * (hits + misses):
                 limits[g] = b
