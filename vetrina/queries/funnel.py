@@ -124,9 +124,17 @@ def _listings(spark: SparkSession, d: str) -> DataFrame:
     return X.listings(spark, d).join(kept(share, "share"), "vec_id", "left")
 
 
+#: Rows of a slice of keys, about, while the slices are fewer than SLICES; the disk grows with the rows of a slice beyond.
+SLICE_ROWS, SLICES = 16_000_000, 8
+
+
+def _slices(spark: SparkSession, d: str) -> int:
+    return max(1, min(SLICES, -(-X.table(spark, d, "lineitem").count() // SLICE_ROWS)))
+
+
 def wide(spark: SparkSession, d: str) -> DataFrame:
     """The funnel on the fixture; the model accepts sellers with more than 20 reviews."""
-    return PF.funnel(_listings(spark, d), CFG, F.col("seller_reviews") > 20)
+    return PF.funnel(_listings(spark, d), CFG, F.col("seller_reviews") > 20, _slices(spark, d))
 
 
 def funnel_ctes() -> list[str]:

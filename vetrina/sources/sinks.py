@@ -6,7 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,10 +25,26 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Whether a query's shuffle files go as it ends; else they stay until the driver happens to collect its garbage.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a table that is written inside go when it is written, as nothing reads them again."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREED) if before is None else spark.conf.set(FREED, before)
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """df written to the shared folder and read again: its readers share one computation, which outlives lost executors."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path, compression="zstd")
     if not _KEPT:
         atexit.register(clear_kept, df.sparkSession)
     _KEPT.append(path)
@@ -60,6 +76,16 @@ def cleared(spark: SparkSession) -> Iterator[None]:
         clear_kept(spark, before)
 
 
+def settled(spark: SparkSession, make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """make()'s frame as kept(), without the tables that kept() writes in making it: these go once it is written."""
+    before = len(_KEPT)
+    out = kept(make(), name)
+    path = _KEPT.pop()
+    clear_kept(spark, before)
+    _KEPT.append(path)
+    return out
+
+
 def append(df: DataFrame, path: str, stamp: str | None = "created_at", label: str | None = None) -> bool:
     """Appends rows in one commit, with the time of writing where stamp names a column that df lacks; a label is committed once."""
     return StoredTable(df.sparkSession, path).append(df, label, stamp)
