@@ -37,7 +37,11 @@ def test_slices_of_keys_make_the_same_funnel(spark):
     before = len(sinks._KEPT)
     with sinks.cleared(spark):
         whole = sorted(map(repr, PF.funnel(rows, cfg, F.col("price") > 2000).collect()))
+        states = sorted(map(repr, PF.final_states(rows, cfg, F.col("price") > 2000).collect()))
     with sinks.cleared(spark):
         sliced = PF.funnel(rows, cfg, F.col("price") > 2000, slices=4)
         assert len(sinks._KEPT) == before + 4 and all("/slice-" in p for p in sinks._KEPT[before:])  # nothing but the results is left
         assert sorted(map(repr, sliced.collect())) == whole and len(whole) == 1200
+    with sinks.cleared(spark):
+        assert sorted(map(repr, PF.final_states(rows, cfg, F.col("price") > 2000, slices=4).collect())) == states
+    assert {"VALIDATED", "REJECTED_BY_MIN_COUNT"} <= {s.split("state='")[1].split("'")[0] for s in states}

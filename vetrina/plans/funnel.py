@@ -72,10 +72,13 @@ def key_states(wide: DataFrame) -> DataFrame:
     return _states(wide.groupBy("key").agg(F.max("gate").alias("gate")))
 
 
-def final_states(listings: DataFrame, cfg: Config = Config(), accepted: Column | None = None) -> DataFrame:
+def final_states(listings: DataFrame, cfg: Config = Config(), accepted: Column | None = None, slices: int = 1) -> DataFrame:
     """(key, state, gate) as key_states() of the funnel, from counts alone: no row is joined to its key's gate."""
-    df, stages = judged(listings, cfg, accepted, reasons=False)
-    return _states(S.gates(df, cfg.min_items, stages))
+    def whole(rows: DataFrame) -> DataFrame:
+        df, stages = judged(rows, cfg, accepted, reasons=False)
+        return _states(S.gates(df, cfg.min_items, stages))
+
+    return by_slice(listings, slices, whole)
 
 
 def _states(gates: DataFrame) -> DataFrame:

@@ -166,7 +166,7 @@ def funnel(spark: SparkSession, d: str) -> DataFrame:
   WHEN key NOT IN (SELECT key FROM l3) THEN 'seller_dedup' WHEN key NOT IN (SELECT key FROM l4) THEN 'image_dedup' WHEN key NOT IN (SELECT key FROM l5) THEN 'white_bg'
   WHEN key NOT IN (SELECT key FROM l6) THEN 'ai' END AS gate FROM (SELECT DISTINCT key FROM listings)""")
 def states(spark: SparkSession, d: str) -> DataFrame:
-    return PF.final_states(_listings(spark, d), CFG, F.col("seller_reviews") > 20)
+    return PF.final_states(_listings(spark, d), CFG, F.col("seller_reviews") > 20, _slices(spark, d))
 
 
 @query("funnel_stage_counts", X.sql(*funnel_ctes()) + "SELECT key, stage, count(*) AS n, count(*) FILTER (passed) AS n_passed, count(*) FILTER (NOT passed) AS n_failed FROM log GROUP BY key, stage")
