@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -54,6 +55,22 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Bytes, as Spark expects them of files, up to which a table of many rows is broadcast: at most some 250,000 rows with a key of 64 bits.
+BROADCAST_BYTES = 2 << 20
+THRESHOLD = "spark.sql.autoBroadcastJoinThreshold"
+
+
+@contextlib.contextmanager
+def small_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark broadcasts no larger tables of itself: one takes the driver ten times its file and more, and a query makes several at once."""
+    before = spark.conf.get(THRESHOLD, None)
+    spark.conf.set(THRESHOLD, str(min(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold(), BROADCAST_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.unset(THRESHOLD) if before is None else spark.conf.set(THRESHOLD, before)
+
+
 class Scratch:
     """Parquet tables in the shared folder, removed on leaving: results must be cut() before."""
 

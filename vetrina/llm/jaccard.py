@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vetrina.llm.common import Scratch, cut
+from vetrina.llm.common import Scratch, cut, small_broadcasts
 from vetrina.llm.url_filter import salted_join
 
 WORDS = 5
@@ -136,8 +136,10 @@ def _frequent(docs: DataFrame, k: int, scratch: Scratch) -> tuple[np.ndarray, np
         if total > FREQUENT:
             break
         least = c
-    top = counts.where(F.col("class") >= least).select("token", "n").toPandas().sort_values("token")
-    return top["token"].to_numpy(np.int64), top["n"].to_numpy(np.int64)
+    top = counts.where(F.col("class") >= least).select("token", "n").toArrow()  # a row object each would take the driver 100 MB and more
+    tokens, n = top["token"].to_numpy(), top["n"].to_numpy()
+    order = np.argsort(tokens)
+    return tokens[order], n[order]
 
 
 def _ordered_sets(docs: DataFrame, k: int, percent: int, scratch: Scratch) -> DataFrame:
@@ -382,7 +384,7 @@ def links(docs: DataFrame, scratch: Scratch, key: str = "doc_id", text: str = "t
 
 def classes(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(key, n_shingles, component_id): the least key reachable by links."""
-    with Scratch(docs.sparkSession) as scratch:
+    with Scratch(docs.sparkSession) as scratch, small_broadcasts(docs.sparkSession):
         rows, roots = links(docs, scratch, key, text, k, percent)
         sets = rows.where("sid is not null").groupBy("sid").agg(F.min("_key").alias("least"))
         tops = sets.join(roots, "sid", "left").withColumn("top", F.coalesce("root", "sid"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vetrina.llm.common import cut
+from vetrina.llm.common import BROADCAST_BYTES, cut
 
 #: (host, path, verdict)
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
@@ -64,9 +64,17 @@ def domain_of(host: Column) -> Column:
 
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, salt: Column) -> DataFrame:
-    """left join whose hot keys are dealt over SALTS tasks; right has one row a key."""
+    """left join whose hot keys are dealt over SALTS tasks; right has one row a key.
+
+    A small right side is broadcast as it is, as hot keys don't matter then. A larger one gets SALTS rows a key, of which Spark knows
+    nothing when it compares sizes with its threshold, before and during the run: it would send the driver SALTS times that.
+    """
+    size = right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    limit = right.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    if size <= min(limit, BROADCAST_BYTES):
+        return left.join(F.broadcast(right), key, "left")
     spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int")).join(spread, [key, "_salt"], "left").drop("_salt")
+    return left.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int")).join(spread.hint("merge"), [key, "_salt"], "left").drop("_salt")
 
 
 def _strength(groups: DataFrame) -> Column:
