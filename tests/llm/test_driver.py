@@ -66,3 +66,16 @@ def test_similar_texts_are_joined_with_small_broadcasts(spark, monkeypatch):
             assert spark.conf.get(THRESHOLD) == asked and seen.pop() == inside
         finally:
             spark.conf.unset(THRESHOLD)
+
+
+def test_the_pipelines_near_duplicates_send_no_salted_side(spark, monkeypatch):
+    """Salted sides were broadcast with 16 rows a key, whatever the threshold made of them."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, f"one two three four five six seven {i % 3}", "en", "s", 9) for i in range(9)], "doc_id long, text string, lang string, source string, n_chars long")
+    plans, join = [], url_filter.salted_join
+    monkeypatch.setattr(url_filter, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(jaccard, "salted_join", lambda *a: plans.append(out := join(*a)) or out)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()) == [0, 1, 2]
+    hints = [p._jdf.queryExecution().optimizedPlan().toString() for p in plans]
+    assert plans and all("rightHint=(strategy=merge)" in x for x in hints)
